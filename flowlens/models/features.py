@@ -12,6 +12,8 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.operators.distributions import value_counts
+
 # The order of the parts of a feature vector.
 NUMERIC = [
     "duration", "orig_bytes", "resp_bytes", "orig_port", "resp_port", "total_bytes",
@@ -46,26 +48,14 @@ def vocabularies(
     NULL has no place in a vocabulary. The values become model parameters on the driver, so a
     column with more than ``max_values`` of them is refused instead of collected.
     """
-    counts = (
-        df.groupingSets([[c] for c in columns], *columns)
-        .agg(F.grouping_id().alias("level"), F.count("*").alias("n"))
-        .select(
-            # Of the grouping columns only the one of this level is set.
-            F.col("level"), F.coalesce(*columns).alias("value"), "n"
-        )
-        .where(F.col("value").isNotNull())
-    )
+    counts = value_counts(df, columns).where(F.col("value").isNotNull())
     limit = max_values * len(columns)
     rows = counts.limit(limit + 1).collect()
-    result = {}
-    for position, column in enumerate(columns):
-        # A bit of the level is 0 for the column that is grouped by; the first column is highest.
-        level = 2 ** len(columns) - 1 - 2 ** (len(columns) - 1 - position)
-        found = sorted((-r["n"], r["value"]) for r in rows if r["level"] == level)
-        result[column] = [value for _, value in found]
-    if len(rows) > limit or any(len(v) > max_values for v in result.values()):
+    found = {c: [r for r in rows if r["column"] == c] for c in columns}
+    if len(rows) > limit or any(len(v) > max_values for v in found.values()):
         raise ValueError(f"more than {max_values} distinct values in one of {columns}")
-    return result
+    ordered = {c: sorted(v, key=lambda r: (-r["count"], r["value"])) for c, v in found.items()}
+    return {c: [r["value"] for r in v] for c, v in ordered.items()}
 
 
 def category_indexer(words: dict[str, list[str]]) -> StringIndexerModel:

@@ -26,7 +26,7 @@ from flowlens.models.features import (
 from flowlens.models.split import train_test_split
 from flowlens.operators.cleaning import labelled
 from flowlens.operators.evaluation import class_weights
-from flowlens.session import shared_dir
+from flowlens.session import shared_dir, written
 
 SEED = 42
 WEIGHT = "class_weight"
@@ -61,14 +61,20 @@ def with_class_weight(df: DataFrame) -> DataFrame:
     return df.withColumn(WEIGHT, F.create_map(*pairs)[F.col(LABEL)])
 
 
-def train(flows: DataFrame, classifier=None, weighted: bool = False) -> Trained:
+def train(
+    flows: DataFrame, classifier=None, weighted: bool = False, stage: bool = False
+) -> Trained:
     """Split labelled flows, fit features on the training part alone, then the classifier.
 
-    ``flows`` carry the feature columns. Rows that cannot be assembled take no part.
+    ``flows`` carry the feature columns. Rows that cannot be assembled take no part. Fitting
+    reads them several times; ``stage`` writes them to a table first, for flows that would be
+    parsed from text each time.
     """
     shared_dir(flows.sparkSession)  # long tree lineages are cut by checkpoints in it
     classifier = classifier or boosted_trees()
     usable = labelled(flows).where(assemblable())
+    if stage:
+        usable = written(usable, "training")
     train_rows, test_rows = train_test_split(usable)
     words = vocabularies(train_rows, [*CATEGORIES, LABEL])
     if weighted:

@@ -12,7 +12,7 @@ from flowlens.models.features import assemblable, split_assemblable
 from flowlens.operators.cleaning import add_features, clean
 from flowlens.schema import CORRUPT
 from flowlens.sources.topics import decode
-from flowlens.streaming.sinks import stored_columns, write_batch
+from flowlens.streaming.sinks import BatchWriter, stored_columns, write_batch
 
 
 def prepare(messages: DataFrame, **options) -> DataFrame:
@@ -34,12 +34,13 @@ def start_scoring(
     checkpoint: str,
     every: str | None = None,
     available_now: bool = False,
+    write: BatchWriter = write_batch,
 ) -> StreamingQuery:
     """Score a stream into ``output``; unfit messages go to ``quarantine``.
 
     Each micro-batch replaces its own partition of both tables, so a batch that is run again
     after a failure adds nothing twice. An error in a sink ends the query, and the checkpoint
-    repeats the batch on restart.
+    repeats the batch on restart. ``write`` may put predictions elsewhere than in a table.
     """
     flows = prepare(messages, corrupt=True, keep_value=True)
 
@@ -53,7 +54,7 @@ def start_scoring(
             query_id = context.getLocalProperty("sql.streaming.queryId")
             usable = F.col(CORRUPT).isNull() & assemblable()
             scored = bundle.score(batch.where(usable))
-            write_batch(stored_columns(scored, batch_id), output, query_id, batch_id)
+            write(stored_columns(scored, batch_id), output, query_id, batch_id)
             reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise("incomplete")
             unfit = batch.where(~usable).select("value", reason.alias("reason"), "timestamp")
             write_batch(unfit, quarantine, query_id, batch_id)

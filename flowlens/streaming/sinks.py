@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.schema import STORED_NAMES
 
+BatchWriter = Callable[[DataFrame, str, str, int], None]
+
 # The columns of a stored prediction, before the bookkeeping columns.
 STORED = [
     "uid", "timestamp", "id_orig_h", "id_orig_p", "id_resp_h", "id_resp_p", "proto",
@@ -50,6 +54,27 @@ def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
     )
 
 
+def document_writer(uri: str, database: str, collection: str) -> BatchWriter:
+    """A batch writer for a MongoDB collection, which needs Spark's MongoDB connector.
+
+    Executors write their own rows. A document is replaced by one with the same id, so a batch
+    that is run again adds nothing twice.
+    """
+    options = {
+        "connection.uri": uri,
+        "database": database,
+        "collection": collection,
+        "operationType": "replace",
+        "upsertDocument": "true",
+        "idFieldList": "uid",
+    }
+
+    def write(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
+        df.write.format("mongodb").mode("append").options(**options).save()
+
+    return write
+
+
 def start_table(
     stream: DataFrame, path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
