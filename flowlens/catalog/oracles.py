@@ -184,7 +184,9 @@ ORACLES = {
         SELECT uid, strftime("timestamp", {CLOCK}) AS "timestamp", predicted_label
         FROM (SELECT * FROM predictions ORDER BY "timestamp" DESC, uid LIMIT 8000)""",
     "par1_decode": f"{BASE} SELECT * FROM flows",
-    "par2_quarantine": f"{BASE} SELECT uid, uid % 13 <> 0 AS decoded FROM flows",
+    "par2_quarantine": f"""{BASE}
+        SELECT uid, CASE WHEN uid % 13 <> 0 THEN label END AS label, uid % 13 <> 0 AS decoded
+        FROM flows""",
     "par3_encode": f"""{BASE}
         SELECT CAST(uid AS VARCHAR) AS uid, orig_h, detailed_label, label, true AS has_clock
         FROM flows""",

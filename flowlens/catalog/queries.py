@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ from flowlens.operators import timeline as L
 from flowlens.plans.explore import cached, explore
 from flowlens.plans.offline import count_predictions, score_flows
 from flowlens.plans.reports import label_distribution
-from flowlens.session import fresh_path, shared_dir
+from flowlens.schema import CORRUPT
+from flowlens.session import fresh_path, shared_dir, spread
 from flowlens.sources.files import (
     flows_from_events,
     read_delimited,
@@ -43,7 +45,6 @@ from flowlens.sources.topics import (
     decode,
     encode,
     read_topic,
-    split_corrupt,
     stream_topic,
     write_topic,
 )
@@ -84,6 +85,16 @@ def featured(spark: SparkSession, folder: str) -> DataFrame:
     return C.add_features(cleaned(spark, folder))
 
 
+def spread_flows(spark: SparkSession, folder: str) -> DataFrame:
+    """Flows for work that is costly per row; the small test tables are one split each."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    return flows_from_events(spread(events, "event_id"))
+
+
+def spread_featured(spark: SparkSession, folder: str) -> DataFrame:
+    return C.add_features(C.clean(spread_flows(spark, folder)))
+
+
 def predicted_label() -> Column:
     """The rule that stands in for a model where a query needs fixed predictions."""
     risky = (F.col("resp_p") >= 80) | (F.col("conn_state") == "S0")
@@ -138,10 +149,14 @@ def trained(spark: SparkSession, folder: str, kind: str = "boosted") -> T.Traine
     key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _trained:
         classifier = T.random_forest() if kind == "forest" else T.boosted_trees()
-        _trained[key] = T.train(featured(spark, folder), classifier)
+        _trained[key] = T.train(featured(spark, folder), classifier, stage=True)
     return _trained[key]
 
 
+def forget_trained() -> None:
+    _trained.clear()
+
+
 def checked(scored: DataFrame, bundle: ModelBundle, *also: str) -> DataFrame:
     """What must hold for every scored flow, whatever the model has learned."""
     total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
@@ -212,13 +227,17 @@ def par2_quarantine(spark, folder):
     """Every thirteenth message is cut in half."""
     messages = encode(flows(spark, folder).withColumn("cut", F.col("uid") % 13 == 0))
     half = F.expr("substring(value, 1, length(value) div 2)")
-    is_cut = F.get_json_object("value", "$.cut") == "true"
-    good, bad = split_corrupt(
-        messages.withColumn("value", F.when(is_cut, half).otherwise(F.col("value")))
+    value = F.when(F.col("value").contains('"cut":true'), half).otherwise(F.col("value"))
+    decoded = decode(
+        messages.withColumn("value", value), ["uid", "label"], corrupt=True, keep_value=True
     )
     uid = F.regexp_extract("value", r'^\{"uid":([0-9]+)', 1)
-    good = good.select(F.col("uid").cast("long").alias("uid"), F.lit(True).alias("decoded"))
-    return good.union(bad.select(uid.cast("long"), F.lit(False)))
+    good = F.col(CORRUPT).isNull()
+    return decoded.select(
+        F.when(good, F.col("uid")).otherwise(uid).cast("long").alias("uid"),
+        F.when(good, F.col("label")).alias("label"),
+        good.alias("decoded"),
+    )
 
 
 @query
@@ -431,7 +450,7 @@ def agg12_classification_report(spark, folder):
 def agg13_prediction_total(spark, folder):
     """Counts by predicted class of a model; their sum is the number of flows."""
     model = trained(spark, folder).bundle
-    counts = count_predictions(score_flows(flows(spark, folder), model))
+    counts = count_predictions(score_flows(spread_flows(spark, folder), model))
     return counts.agg(F.sum("count").alias("scored"))
 
 
@@ -539,7 +558,8 @@ def mlf1_category_index(spark, folder):
     words = M.vocabularies(C.labelled(rows), M.CATEGORIES)
     state = F.when(F.col("uid") % 18 == 0, None).when(F.col("uid") % 9 == 0, "new")
     rows = rows.withColumn("conn_state", state.otherwise(F.col("conn_state")))
-    return M.category_indexer(words).transform(rows).select("uid", *M.INDEXES)
+    indexed = PipelineModel(stages=M.category_indexers(words)).transform(rows)
+    return indexed.select("uid", *M.INDEXES)
 
 
 @query
@@ -556,21 +576,21 @@ def _slots(vector: str, n: int) -> list[Column]:
 
 @query
 def mlf3_one_hot(spark, folder):
-    rows = C.labelled(featured(spark, folder))
+    rows = C.labelled(spread_featured(spark, folder))
     encoded = M.fit_encoding(rows).transform(rows)
     return encoded.select("uid", *_slots("proto_vec", 3), *_slots("conn_state_vec", 3))
 
 
 @query
 def mlf4_assembled(spark, folder):
-    rows = C.labelled(featured(spark, folder))
+    rows = C.labelled(spread_featured(spark, folder))
     assembled = M.assembler().transform(M.fit_encoding(rows).transform(rows))
     return assembled.select("uid", *_slots("features_raw", 15))
 
 
 @query
 def mlf5_scaled(spark, folder):
-    rows = C.labelled(featured(spark, folder))
+    rows = C.labelled(spread_featured(spark, folder))
     scaled = M.fit_features(rows).transform(rows).select("uid", *_slots("features", 15))
     return rounded(scaled, *scaled.columns[1:])
 
@@ -578,7 +598,7 @@ def mlf5_scaled(spark, folder):
 @query
 def mlf6_pipeline_equals_steps(spark, folder):
     """One pipeline, and encoding followed by assembly and scaling, give the same vectors."""
-    rows = C.labelled(featured(spark, folder))
+    rows = C.labelled(spread_featured(spark, folder))
     whole = M.fit_features(rows).transform(rows)
     assembled = M.assembler().transform(M.fit_encoding(rows).transform(rows))
     steps = M.scaler().fit(assembled).transform(assembled)
@@ -664,14 +684,14 @@ def sco1_features_on_stream(spark, folder):
 @query
 def sco2_scored_flows(spark, folder):
     model = trained(spark, folder).bundle
-    return checked(score_flows(flows(spark, folder), model), model)
+    return checked(score_flows(spread_flows(spark, folder), model), model)
 
 
 @query
 def sco3_decoded_labels(spark, folder):
     """The learned order of labels is by frequency, so the decoding follows the data."""
     model = trained(spark, folder).bundle
-    scored = score_flows(flows(spark, folder), model)
+    scored = score_flows(spread_flows(spark, folder), model)
     pairs = D.distinct_pairs(scored, "prediction", "predicted_label")
     return pairs.withColumnRenamed("predicted_label", "label")
 
@@ -746,7 +766,7 @@ def snk3_snapshot(spark, folder):
 @query
 def snk4_offline_scoring(spark, folder):
     path = fresh_path(spark, "delimited")
-    write_delimited(flows(spark, folder), path)
+    write_delimited(spread_flows(spark, folder), path)
     model = trained(spark, folder).bundle
     counts = count_predictions(score_flows(read_delimited(spark, path), model))
     return counts.agg(F.sum("count").alias("scored"))

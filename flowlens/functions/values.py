@@ -15,13 +15,22 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def without_dash(value: Column | str) -> Column:
+    """NULL for ``-``, the mark of a missing value.
+
+    A cast would give NULL as well, but parsing text that is no number is slow, and in many
+    logs most values are missing.
+    """
+    return F.nullif(as_column(value), F.lit("-"))
+
+
 def to_double(value: Column | str) -> Column:
-    return as_column(value).try_cast("double")
+    return without_dash(value).try_cast("double")
 
 
 def to_long(value: Column | str) -> Column:
     """Text to long; a decimal text such as ``12.7`` is truncated to 12."""
-    value = as_column(value)
+    value = without_dash(value)
     return F.coalesce(value.try_cast("long"), value.try_cast("double").try_cast("long"))
 
 

@@ -39,8 +39,8 @@ class ModelBundle:
 
     @property
     def feature_names(self) -> list[str]:
-        known = self.pipeline.stages[0].labelsArray
-        return feature_names({c: list(known[i]) for i, c in enumerate(CATEGORIES)})
+        indexers = self.pipeline.stages
+        return feature_names({c: list(indexers[i].labels) for i, c in enumerate(CATEGORIES)})
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add prediction, probability (array) and predicted label, in batch or on a stream."""

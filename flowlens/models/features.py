@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     OneHotEncoder,
@@ -28,11 +31,13 @@ MAX_VALUES = 10_000
 
 
 def assemblable() -> Column:
-    """True if no numeric input of the feature vector is missing."""
-    complete = F.lit(True)
-    for name in NUMERIC:
-        complete = complete & F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
-    return complete
+    """True if no numeric input of the feature vector is missing.
+
+    Only these columns need a look: cleaning fills the measures, hour and day come from the
+    timestamp, and the rate is missing whenever the byte total is.
+    """
+    needed = ["timestamp", "orig_port", "resp_port", "bytes_per_sec"]
+    return reduce(and_, [F.col(name).isNotNull() for name in needed])
 
 
 def split_assemblable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -45,10 +50,10 @@ def vocabularies(
 ) -> dict[str, list[str]]:
     """Values of each column, most frequent first, ties by value, from one scan.
 
-    NULL has no place in a vocabulary. The values become model parameters on the driver, so a
+    NULL and empty text have no place in a vocabulary. The values become model parameters on the driver, so a
     column with more than ``max_values`` of them is refused instead of collected.
     """
-    counts = value_counts(df, columns).where(F.col("value").isNotNull())
+    counts = value_counts(df, columns).where(F.col("value") != "")
     limit = max_values * len(columns)
     rows = counts.limit(limit + 1).collect()
     found = {c: [r for r in rows if r["column"] == c] for c in columns}
@@ -58,14 +63,14 @@ def vocabularies(
     return {c: [r["value"] for r in v] for c, v in ordered.items()}
 
 
-def category_indexer(words: dict[str, list[str]]) -> StringIndexerModel:
-    """Index of protocol and state; an unseen or NULL value gets the last index."""
-    return StringIndexerModel.from_arrays_of_labels(
-        [words[c] for c in CATEGORIES],
-        inputCols=CATEGORIES,
-        outputCols=INDEXES,
-        handleInvalid="keep",
-    )
+def category_indexers(words: dict[str, list[str]]) -> list[StringIndexerModel]:
+    """Indexes of protocol and state; an unseen or NULL value gets the last index."""
+    return [
+        StringIndexerModel.from_labels(
+            words[c], inputCol=c, outputCol=f"{c}_index", handleInvalid="keep"
+        )
+        for c in CATEGORIES
+    ]
 
 
 def label_indexer(labels: list[str]) -> StringIndexerModel:
@@ -93,13 +98,13 @@ def scaler() -> StandardScaler:
 def fit_encoding(df: DataFrame) -> PipelineModel:
     """Category indexes and one-hot vectors, without assembly and scaling."""
     words = vocabularies(df, CATEGORIES)
-    return Pipeline(stages=[category_indexer(words), encoder()]).fit(df)
+    return Pipeline(stages=[*category_indexers(words), encoder()]).fit(df)
 
 
 def fit_features(df: DataFrame, words: dict[str, list[str]] | None = None) -> PipelineModel:
     """The whole feature pipeline; it needs no label, so it also serves unlabelled flows."""
     words = words or vocabularies(df, CATEGORIES)
-    stages = [category_indexer(words), encoder(), assembler(), scaler()]
+    stages = [*category_indexers(words), encoder(), assembler(), scaler()]
     return Pipeline(stages=stages).fit(df)
 
 

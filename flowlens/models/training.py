@@ -26,7 +26,7 @@ from flowlens.models.features import (
 from flowlens.models.split import train_test_split
 from flowlens.operators.cleaning import labelled
 from flowlens.operators.evaluation import class_weights
-from flowlens.session import shared_dir, written
+from flowlens.session import shared_dir, spread, written
 
 SEED = 42
 WEIGHT = "class_weight"
@@ -72,7 +72,7 @@ def train(
     """
     shared_dir(flows.sparkSession)  # long tree lineages are cut by checkpoints in it
     classifier = classifier or boosted_trees()
-    usable = labelled(flows).where(assemblable())
+    usable = spread(labelled(flows).where(assemblable()), "ts", "orig_p")
     if stage:
         usable = written(usable, "training")
     train_rows, test_rows = train_test_split(usable)

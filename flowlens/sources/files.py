@@ -38,7 +38,9 @@ def write_delimited(flows: DataFrame, path: str, separator: str = "|") -> None:
 
 def flows_from_events(events: DataFrame) -> DataFrame:
     """Parsed flows derived from the event table, one per event."""
-    k = F.get_json_object("props", "$.k")
+    # The number in the JSON text is taken out once; port and label both use it.
+    events = events.withColumn("k", F.get_json_object("props", "$.k"))
+    k = F.col("k")
     id_, user = F.col("event_id"), F.col("user_id")
     kind = F.col("event_type")
 

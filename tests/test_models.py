@@ -41,7 +41,7 @@ def test_vocabulary_is_the_indexers_order(flows):
 
 
 def test_vocabulary_ties_and_nulls(spark):
-    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("c",)], "x string")
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("",), ("c",), ("c",)], "x string")
     assert M.vocabularies(df, ["x"]) == {"x": ["c", "a", "b"]}
 
 

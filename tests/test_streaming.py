@@ -190,11 +190,12 @@ def test_minute_windows_drop_late_rows(spark, tmp_path):
         spark, path,
         [("2024-01-01 00:00:10", "Benign"), ("2024-01-01 00:00:50", "Benign")],
         [("2024-01-01 00:10:00", "Benign")],
+        [("2024-01-01 00:10:10", "Benign")],
         [("2024-01-01 00:00:20", "Benign"), ("2024-01-01 00:11:00", "Malicious")],
         [("2024-01-01 01:00:00", "Benign")],
     )
     rows = {(str(r.start)[11:16], r.predicted_label): r["count"] for r in results(counts_per_window(stream), path)}
-    assert rows == {("00:00", "Benign"): 2, ("00:10", "Benign"): 1, ("00:11", "Malicious"): 1}
+    assert rows == {("00:00", "Benign"): 2, ("00:10", "Benign"): 2, ("00:11", "Malicious"): 1}
 
 
 def test_sliding_alerts(spark, tmp_path):
