@@ -51,6 +51,7 @@ from flowlens.sources.topics import (
 from flowlens.streaming.progress import progress_table
 from flowlens.streaming.scorer import score_messages, start_scoring
 from flowlens.streaming.sinks import (
+    Batch,
     start_memory,
     start_table,
     stored_columns,
@@ -121,7 +122,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 def message_topic(spark: SparkSession, folder: str, files: int | None = None) -> str:
     """All flows as messages in a topic of text files; its path."""
     path = fresh_path(spark, "topic")
-    messages = encode(flows(spark, folder))
+    messages = encode(spread_flows(spark, folder))
     write_topic(messages.repartition(files) if files else messages, path=path)
     return path
 
@@ -218,14 +219,14 @@ def src5_newest_for_dashboard(spark, folder):
 
 @query
 def par1_decode(spark, folder):
-    rows = decode(encode(flows(spark, folder)))
+    rows = decode(encode(spread_flows(spark, folder)))
     return rows.withColumn("uid", F.col("uid").cast("long"))
 
 
 @query
 def par2_quarantine(spark, folder):
     """Every thirteenth message is cut in half."""
-    messages = encode(flows(spark, folder).withColumn("cut", F.col("uid") % 13 == 0))
+    messages = encode(spread_flows(spark, folder).withColumn("cut", F.col("uid") % 13 == 0))
     half = F.expr("substring(value, 1, length(value) div 2)")
     value = F.when(F.col("value").contains('"cut":true'), half).otherwise(F.col("value"))
     decoded = decode(
@@ -242,7 +243,7 @@ def par2_quarantine(spark, folder):
 
 @query
 def par3_encode(spark, folder):
-    messages = encode(flows(spark, folder))
+    messages = encode(spread_flows(spark, folder))
     field = {"uid": "uid", "orig_h": "id.orig_h", "detailed_label": "detailed-label", "label": "label"}
     names = [F.get_json_object("value", f"$['{wire}']").alias(c) for c, wire in field.items()]
     clock = F.get_json_object("value", "$.timestamp_simulated").isNotNull().alias("has_clock")
@@ -738,7 +739,7 @@ def str5_batch_written_twice(spark, folder):
     path = fresh_path(spark, "scored")
     for batch_id in (0, 1, 0):
         part = stored_columns(rows.where(F.col("uid") % 2 == batch_id), batch_id)
-        write_batch(part, path, "query", batch_id)
+        write_batch(part, path, Batch("query", batch_id, "2024-01-31"))
     return spark.read.parquet(path).select("uid", "batch_id", "predicted_label")
 
 

@@ -12,7 +12,7 @@ from flowlens.models.features import assemblable, split_assemblable
 from flowlens.operators.cleaning import add_features, clean
 from flowlens.schema import CORRUPT
 from flowlens.sources.topics import decode
-from flowlens.streaming.sinks import BatchWriter, stored_columns, write_batch
+from flowlens.streaming.sinks import Batch, BatchWriter, stored_columns, write_batch
 
 
 def prepare(messages: DataFrame, **options) -> DataFrame:
@@ -38,28 +38,35 @@ def start_scoring(
 ) -> StreamingQuery:
     """Score a stream into ``output``; unfit messages go to ``quarantine``.
 
-    Each micro-batch replaces its own partition of both tables, so a batch that is run again
+    Each micro-batch replaces its own folder of both tables, so a batch that is run again
     after a failure adds nothing twice. An error in a sink ends the query, and the checkpoint
     repeats the batch on restart. ``write`` may put predictions elsewhere than in a table.
     """
     flows = prepare(messages, corrupt=True, keep_value=True)
+    usable = F.col(CORRUPT).isNull() & assemblable()
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        # Parsed once for the two tables; the source's rate limit bounds a batch.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    def store(rows: DataFrame, batch_id: int) -> None:
+        # Parsed once for all uses; the source's rate limit bounds a batch.
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
+            found = rows.agg(
+                F.count("*").alias("all"),
+                F.count_if(~usable).alias("unfit"),
+                F.to_date(F.max("timestamp")).cast("string").alias("day"),
+            ).first()
+            if found["all"] == 0:
                 return
-            context = batch.sparkSession.sparkContext
-            query_id = context.getLocalProperty("sql.streaming.queryId")
-            usable = F.col(CORRUPT).isNull() & assemblable()
-            scored = bundle.score(batch.where(usable))
-            write(stored_columns(scored, batch_id), output, query_id, batch_id)
-            reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise("incomplete")
-            unfit = batch.where(~usable).select("value", reason.alias("reason"), "timestamp")
-            write_batch(unfit, quarantine, query_id, batch_id)
+            context = rows.sparkSession.sparkContext
+            batch = Batch(context.getLocalProperty("sql.streaming.queryId"), batch_id, found["day"])
+            if found["all"] > found["unfit"]:
+                scored = bundle.score(rows.where(usable))
+                write(stored_columns(scored, batch_id), output, batch)
+            if found["unfit"]:
+                reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise("incomplete")
+                unfit = rows.where(~usable).select("value", reason.alias("reason"), "timestamp")
+                write_batch(unfit, quarantine, batch)
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     writer = flows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:

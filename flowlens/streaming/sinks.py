@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.schema import STORED_NAMES
 
-BatchWriter = Callable[[DataFrame, str, str, int], None]
-
 # The columns of a stored prediction, before the bookkeeping columns.
 STORED = [
     "uid", "timestamp", "id_orig_h", "id_orig_p", "id_resp_h", "id_resp_p", "proto",
@@ -33,25 +32,30 @@ def stored_columns(scored: DataFrame, batch_id: int) -> DataFrame:
     )
 
 
-def write_batch(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
-    """Write one micro-batch, replacing what an earlier try of it left.
+@dataclass(frozen=True)
+class Batch:
+    """A micro-batch: the same input always has the same folder below a table's path.
 
-    Partitions: date of the flow, for pruning, and the batch. The batch's key includes the
-    query's id, which a new checkpoint changes, so that a new query never replaces the
-    batches of an old one. A batch read again has the same rows and thus the same partitions.
+    The query's id is part of it, as a new checkpoint starts a new query whose batches count
+    from 0 again. The day is that of the newest flow in the batch, for partition pruning.
     """
-    (
-        df.withColumns(
-            {
-                "flow_date": F.to_date("timestamp"),
-                "write_key": F.lit(f"{query_id}-{batch_id}"),
-            }
-        )
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("flow_date", "write_key")
-        .parquet(path)
-    )
+
+    query_id: str
+    batch_id: int
+    day: str | None
+
+    @property
+    def folder(self) -> str:
+        day = self.day or "__HIVE_DEFAULT_PARTITION__"
+        return f"batch_day={day}/write_key={self.query_id}-{self.batch_id}"
+
+
+def write_batch(df: DataFrame, path: str, batch: Batch) -> None:
+    """Write a micro-batch to its folder, replacing what an earlier try left there."""
+    df.write.mode("overwrite").parquet(f"{path}/{batch.folder}")
+
+
+BatchWriter = Callable[[DataFrame, str, Batch], None]
 
 
 def document_writer(uri: str, database: str, collection: str) -> BatchWriter:
@@ -69,7 +73,7 @@ def document_writer(uri: str, database: str, collection: str) -> BatchWriter:
         "idFieldList": "uid",
     }
 
-    def write(df: DataFrame, path: str, query_id: str, batch_id: int) -> None:
+    def write(df: DataFrame, path: str, batch: Batch) -> None:
         df.write.format("mongodb").mode("append").options(**options).save()
 
     return write
