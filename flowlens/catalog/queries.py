@@ -150,7 +150,7 @@ def trained(spark: SparkSession, folder: str, kind: str = "boosted") -> T.Traine
     key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _trained:
         classifier = T.random_forest() if kind == "forest" else T.boosted_trees()
-        _trained[key] = T.train(featured(spark, folder), classifier, stage=True)
+        _trained[key] = T.train(spread_featured(spark, folder), classifier, stage=True)
     return _trained[key]
 
 

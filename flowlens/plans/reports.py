@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from flowlens.operators import evaluation as E
 from flowlens.operators import timeline as L
 from flowlens.operators.distributions import count_by
+from flowlens.session import written
 from flowlens.sources.predictions import (
     REPORT_ROWS,
     newest,
@@ -25,7 +26,9 @@ def report(
     predictions: DataFrame, labels: list[str], rows: int = REPORT_ROWS
 ) -> dict[str, DataFrame]:
     """The dashboard's and the report's tables over the newest ``rows`` predictions."""
-    df = with_predicted_label(normalise_time(newest(predictions, rows)), labels)
+    # The rows are few and serve several tables, so they are looked up once.
+    found = written(newest(predictions, rows), "newest")
+    df = with_predicted_label(normalise_time(found), labels)
     tables = {"labels": label_distribution(df)}
     if "processing_time" in df.columns:
         tables["per_minute"] = L.per_bucket(df)
