@@ -380,7 +380,7 @@ ORACLES = {
     "mlf5_scaled": f"""{BASE} {RANKS}
         SELECT uid, {SCALED}
         FROM (SELECT f.uid, {_vector("x", VECTOR)} FROM {RANKED_FLOWS})""",
-    "mlf6_pipeline_equals_steps": f"{BASE} SELECT uid, true AS same FROM predictions",
+    "mlf6_stages_equal_steps": f"{BASE} SELECT uid, true AS same FROM predictions",
     "mlm1_split": f"""{BASE}
         SELECT uid, CASE WHEN bucket < 80 THEN 'train' ELSE 'test' END AS part, bucket
         FROM (SELECT uid, CAST(('0x' || substr(md5(CAST(uid AS VARCHAR)), 1, 8)) AS BIGINT)

@@ -597,7 +597,7 @@ def mlf5_scaled(spark, folder):
 
 
 @query
-def mlf6_pipeline_equals_steps(spark, folder):
+def mlf6_stages_equal_steps(spark, folder):
     """One pipeline, and encoding followed by assembly and scaling, give the same vectors."""
     rows = C.labelled(spread_featured(spark, folder))
     whole = M.fit_features(rows).transform(rows)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from flowlens.functions.features import FIRST_SECOND
 from flowlens.functions.values import label_of
+from flowlens.operators.ranking import GROUPS, first_rows
 
 # Time fields in the order in which they are looked for.
 SORT_FIELDS = ["processing_time", "timestamp", "original_ts"]
@@ -28,19 +28,24 @@ def newest(df: DataFrame, n: int = REPORT_ROWS, seconds: int = 60) -> DataFrame:
     field = next((f for f in SORT_FIELDS if f in df.columns), None)
     if field is None:
         return df.limit(n)
-    ties = [F.asc("uid")] if "uid" in df.columns else []
+    order = [F.desc(field), *([F.asc("uid")] if "uid" in df.columns else [])]
     if df.schema[field].dataType.typeName() == "timestamp":
-        df = df.where(_not_before_newest(df, field, n, seconds))
-    return df.orderBy(F.desc(field), *ties).limit(n)
-
-
-def _not_before_newest(df: DataFrame, field: str, n: int, seconds: int) -> Column:
-    """True for every row that can be among the n newest, false for nearly all others.
-
-    A top-n sends n rows of each task to a single one, which is much for many tasks. So counts
-    per time bucket, read from the time column alone, tell first from which bucket on there are
-    n rows. At most n buckets matter, as each holds a row. The scalar subquery's value also
-    reaches the Parquet scan, which then skips older files and row groups.
+        start, rows = _start_of_newest(df, field, n, seconds)
+        if start is not None:
+            df = df.where(F.col(field) >= F.timestamp_seconds(F.lit(start)))
+            if rows <= GROUPS * n:
+                return df.orderBy(*order).limit(n)
+    return first_rows(df, n, order)
+
+
+def _start_of_newest(
+    df: DataFrame, field: str, n: int, seconds: int
+) -> tuple[int | None, int | None]:
+    """Epoch second from which on there are n rows, and their number; None if there are fewer.
+
+    Counts per time bucket, from one scan of the time column. At most the newest n buckets
+    matter, as each holds a row. A filter on the result lets the next scan skip older
+    partitions, files and row groups.
     """
     bucket = F.floor(F.unix_seconds(F.col(field)) / seconds)
     counts = (
@@ -53,9 +58,9 @@ def _not_before_newest(df: DataFrame, field: str, n: int, seconds: int) -> Colum
     )
     newer = F.sum("rows").over(Window.orderBy(F.desc("bucket")))
     enough = counts.withColumn("newer", newer).where(F.col("newer") >= n)
-    first = F.coalesce(F.max("bucket") * seconds, F.lit(FIRST_SECOND))
-    start = enough.agg(F.timestamp_seconds(first)).scalar()
-    return (F.col(field) >= start) | F.col(field).isNull()
+    start = F.max("bucket") * seconds
+    found = enough.agg(start.alias("start"), F.min("newer").alias("rows")).first()
+    return found["start"], found["rows"]
 
 
 def _as_time(df: DataFrame, field: str) -> Column:
