@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.schema import CORRUPT, TABLE_NAMES, WIRE_NAMES, wire_schema
 from flowlens.functions.values import text_or_null
+from flowlens.schema import CORRUPT, TABLE_NAMES, WIRE_NAMES, wire_schema
 
 
 def _kafka_options(servers: str | None, topic: str | None) -> dict[str, str]:
@@ -92,12 +92,13 @@ def decode(
     schema = wire_schema(fields, corrupt)
     options = {"columnNameOfCorruptRecord": CORRUPT} if corrupt else {}
     text = F.col("value").cast("string")
-    parsed = messages.select(
-        F.from_json(text, schema, options).alias("data"), *([text.alias("value")] if keep_value else [])
-    )
+    # As an inlined array of one the message is parsed once. As a plain projection it would be
+    # parsed again for every later filter on its fields, which the optimizer moves below it.
+    record = F.inline(F.array(F.from_json(text, schema, options)))
+    parsed = messages.select(record, *([text.alias("value")] if keep_value else []))
     columns = []
     for field in schema.fields:
-        value = F.col(f"data.`{field.name}`")
+        value = F.col(f"`{field.name}`")
         is_text = field.dataType.typeName() == "string" and field.name != CORRUPT
         value = text_or_null(value) if is_text else value
         columns.append(value.alias(TABLE_NAMES.get(field.name, field.name)))

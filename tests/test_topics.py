@@ -4,6 +4,8 @@ import json
 
 import pytest
 
+from flowlens.models.features import split_assemblable
+from flowlens.operators.cleaning import add_features, clean, labelled
 from flowlens.sources.files import read_delimited, write_delimited
 from flowlens.sources.topics import decode, encode, read_topic, split_corrupt, stream_topic, write_topic
 
@@ -94,3 +96,19 @@ def test_delimited_file_with_other_header_fails(spark, tmp_path):
     file.write_text("a|b|c\n1|2|3\n")
     with pytest.raises(Exception, match="(?i)header|schema"):
         read_delimited(spark, str(file)).collect()
+
+
+def test_message_is_parsed_once_under_filters(spark, tmp_path):
+    path = str(tmp_path / "topic")
+    messages(spark, json.dumps(RECORD)).write.text(path)
+    flows = add_features(clean(decode(read_topic(spark, path=path))))
+    fit, _ = split_assemblable(labelled(flows))
+    plan = fit.select("label", "bytes_per_sec")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert fit.count() == 1
+
+
+def test_null_and_empty_messages_stay_rows_of_nulls(spark):
+    rows = decode(messages(spark, None, "", "[]", "{}"), keep_value=True).collect()
+    assert sorted(str(r.value) for r in rows) == ["", "None", "[]", "{}"]
+    assert all(r.uid is None and r.ts is None for r in rows)
