@@ -11,6 +11,7 @@ sys.path.insert(0, str(ROOT / "tools"))
 
 import __spark_entry__ as contract  # noqa: E402
 from check_oracles import compare, connect  # noqa: E402
+from flowlens.catalog.queries import QUERIES  # noqa: E402
 from flowlens import session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
@@ -23,14 +24,14 @@ def connection():
 
 def test_contract(spark):
     assert contract.oracle_sql().keys() <= contract.queries().keys()
-    rows_only = contract.queries().keys() - contract.oracle_sql().keys()
+    rows_only = QUERIES.keys() - contract.oracle_sql().keys()
     assert rows_only == {"mlm5_evaluators", "mlm8_importances"}
     result = contract.entry(spark)
     assert result.columns == ["resp_port", "proto", "malicious_count", "benign_count", "risk_ratio"]
     assert result.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, connection, name):
     assert compare(spark, connection, SMALL, name) is None
 
