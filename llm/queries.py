@@ -5,15 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import packing, token_counts
+from llm import packing, quality, token_counts, urls
 from llm.common import table
 
 
+def op3_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality.passes(quality.BASE)).alias("base_failed"),
+        quality.passes(quality.STRICT).alias("kept"), "failures",
+    )
+
+
 def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(table(spark, sf_dir, "documents"))
     return packed.select(
@@ -22,8 +35,48 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_url_verdicts": op3_url_verdicts,
     "op7_token_counts": op7_token_counts,
+    "op9_quality_rules": op9_quality_rules,
     "op10_packed_sequences": op10_packed_sequences,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_quality_rules": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT id, doc_id, text,
+         list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+         list_filter(string_split(text, chr(10)),
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs
+), windows AS (
+  SELECT id, i, list_slice(words, i, i + 7) AS w
+  FROM split, unnest(range(1, len(words) - 6)) AS t(i)
+), repeated AS (
+  SELECT id, i FROM (SELECT *, count(*) OVER (PARTITION BY id, w) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT id, count(DISTINCT i + o) AS n FROM repeated, range(8) AS r(o) GROUP BY id
+), measured AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_capitals,
+         length(regexp_replace(text, '[^.!?,;:]+', '', 'g')) AS n_marks
+  FROM split LEFT JOIN covered USING (id)
+), judged AS (
+  SELECT *, n_words < 20 AS r0, 100 * n_repeat_words > 30 * n_words AS r1,
+         100 * n_symbols > 10 * n_words AS r2, 100 * n_dup_lines > 50 * n_lines AS r3,
+         100 * n_capitals > 40 * word_chars AS r4, n_marks > n_words AS r5
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       r0 OR r1 AS base_failed, NOT (r0 OR r1 OR r2 OR r3 OR r4 OR r5) AS kept,
+       CAST(r0::INT + 2 * r1::INT + 4 * r2::INT + 8 * r3::INT + 16 * r4::INT + 32 * r5::INT
+            AS INT) AS failures
+FROM judged""",
+}
