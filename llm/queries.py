@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import packing, quality, token_counts, urls
+from llm import near, packing, quality, token_counts, urls
 from llm.common import table
 
 
@@ -13,6 +13,11 @@ def op3_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -36,6 +41,7 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_url_verdicts": op3_url_verdicts,
+    "op4_near_duplicates": op4_near_duplicates,
     "op7_token_counts": op7_token_counts,
     "op9_quality_rules": op9_quality_rules,
     "op10_packed_sequences": op10_packed_sequences,
