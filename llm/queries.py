@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import near, packing, quality, token_counts, urls
+from llm import near, packing, quality, suffixes, token_counts, urls
 from llm.common import table
 
 
+def op2_repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("key")
+
+
 def op3_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"))
 
@@ -40,6 +44,7 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_repeats_removed": op2_repeats_removed,
     "op3_url_verdicts": op3_url_verdicts,
     "op4_near_duplicates": op4_near_duplicates,
     "op7_token_counts": op7_token_counts,
