@@ -15,25 +15,39 @@ from llm.tokens import BYTE_BPE, pre_tokens
 
 SEQUENCE = 2048
 END = 0
-#: Pre-tokens whose ids a worker keeps; beyond it the memory is emptied and filled anew.
-REMEMBERED = 400_000
+#: Pre-tokens whose ids a worker keeps, by hash; beyond it the memory is emptied and filled anew.
+REMEMBERED = 600_000
 
-_memory: dict[str, dict[str, bytes]] = {}
+_memory: dict[str, dict[int, bytes]] = {}
 
 
-def _ids(path: str, pieces: list[str]) -> bytes:
-    """The ids of consecutive pre-tokens as little-endian 32-bit numbers."""
+def _ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, each with the closing id, and where each begins."""
+    tokens = pre_tokens(path)
+    body, text, starts, ends, hashes = tokens.spans(texts)
+    distinct, at, which = np.unique(hashes, return_index=True, return_inverse=True)
     memory = _memory.setdefault(path, {})
-    new = [p for p in dict.fromkeys(pieces) if p not in memory]
-    if len(memory) + len(new) > REMEMBERED:
+    if len(memory) > REMEMBERED:
         memory.clear()
-        new = list(dict.fromkeys(pieces))
-    for k in range(0, len(new), 20_000):
-        part = new[k : k + 20_000]
-        memory.update(
-            (p, np.array(i, "<u4").tobytes()) for p, i in zip(part, pre_tokens(path).ids(part))
-        )
-    return b"".join([memory[p] for p in pieces])
+    names = distinct.tolist()
+    new = [k for k, h in enumerate(names) if h not in memory]
+    strings = [body[a:b] for a, b in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
+    for k, found in zip(new, tokens.ids(strings)):
+        memory[names[k]] = np.array(found, "<u4").tobytes()
+    blobs = [memory[h] for h in names]
+    flat = np.frombuffer(b"".join(blobs), "<u4")
+    size = np.fromiter(map(len, blobs), np.int64, len(blobs)) // 4
+    begin = np.cumsum(size) - size
+    # Each text ends with the closing id, so text k is shifted by k places.
+    sizes = size[which]
+    put = np.cumsum(sizes) - sizes + text
+    edges = np.zeros(len(texts) + 1, np.int64)
+    np.add.at(edges[1:], text, sizes)
+    edges = np.cumsum(edges) + np.arange(len(texts) + 1)
+    out = np.full(int(edges[-1]), END, "<u4")
+    inner = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[np.repeat(put, sizes) + inner] = flat[np.repeat(begin[which], sizes) + inner]
+    return out, edges
 
 
 def pieces(
@@ -52,18 +66,18 @@ def pieces(
     schema = pa.schema(fields)
 
     def run(batches):
-        split = pre_tokens(path).split
-        for batch in chunks(batches, 1 << 20):
+        for batch in chunks(batches):
             out: list[list] = [[] for _ in fields]
-            for key, doc, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                blob = _ids(path, split(text)) + END.to_bytes(4, "little")
-                n = len(blob) // 4
+            ids, edges = _ids(path, batch.column("text").to_pylist())
+            keys, docs = batch.column("key").to_pylist(), batch.column("doc_id").to_pylist()
+            for key, doc, first, last in zip(keys, docs, edges.tolist(), edges[1:].tolist()):
+                n = last - first
                 cuts = [0, *range(n % size or size, n + 1, size)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    own = blob[4 * a : 4 * b]
+                    own = ids[first + a : first + b]
                     row = [key, doc, k, a, b - a, zlib.crc32(own)]
                     if with_ids:
-                        row.append(np.frombuffer(own, "<u4").astype(np.int32))
+                        row.append(own.astype(np.int32))
                     for c, v in zip(out, row):
                         c.append(v)
             yield pa.RecordBatch.from_arrays(
