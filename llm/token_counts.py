@@ -4,15 +4,15 @@ Documents become frequencies of pre-tokens, in chunks with a dictionary each. Di
 dealt out by hash of the pre-token; a group counts the pieces of each distinct pre-token once and
 answers every chunk that asked. A chunk's answers meet its frequencies, and the weighted sums are
 the token counts. No list of ids of a text is ever made. A frequent pre-token costs one entry a
-chunk, so no group grows with its frequency.
+chunk, so no group grows with its frequency. Within a chunk, pre-tokens are told apart by a 64-bit
+hash.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,59 +21,105 @@ from flowlens.session import written
 from llm.common import buckets, chunks, rows
 from llm.tokens import BYTE_BPE, pre_tokens
 
+_KIND = (
+    "chunk long, bucket int, pieces binary, doc_id array<long>, n_bytes array<long>, docs binary"
+)
 _CHUNK = pa.schema(
     [
-        ("chunk", pa.int64()), ("bucket", pa.int32()), ("pieces", pa.list_(pa.string())),
-        ("at", pa.binary()), ("doc_id", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64())),
-        ("sizes", pa.binary()), ("which", pa.binary()), ("freq", pa.binary()),
+        ("chunk", pa.int64()), ("bucket", pa.int32()), ("pieces", pa.binary()),
+        ("doc_id", pa.list_(pa.int64())), ("n_bytes", pa.list_(pa.int64())), ("docs", pa.binary()),
     ]
 )
 
 
-def frequencies(docs: DataFrame, path: str = BYTE_BPE, chunk_bytes: int = 8 << 20) -> DataFrame:
-    """Two kinds of rows: a chunk's dictionary by bucket, and (bucket null) its documents."""
+def _shrink(*arrays: np.ndarray) -> bytes:
+    """Arrays of 32-bit numbers as one compressed blob, bytes of equal weight together."""
+    sizes = np.array([len(a) for a in arrays], np.int64).tobytes()
+    planes = [a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays]
+    return zstandard.compress(b"".join([sizes, *planes]), 3)
+
+
+def _grow(blob: bytes, count: int) -> list[np.ndarray]:
+    data = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    out, at = [], 8 * count
+    for n in data[:at].view(np.int64).tolist():
+        planes = data[at : at + 4 * n].reshape(4, n).T
+        out.append(np.ascontiguousarray(planes).view("<u4").ravel())
+        at += 4 * n
+    return out
+
+
+def _strings(pieces: list[str]) -> bytes:
+    coded = [p.encode("utf-8", "surrogatepass") for p in pieces]
+    sizes = np.fromiter(map(len, coded), np.uint32, len(coded))
+    return zstandard.compress(
+        len(coded).to_bytes(8, "little") + sizes.tobytes() + b"".join(coded), 3
+    )
+
+
+def _pieces(blob: bytes) -> list[str]:
+    data = zstandard.decompress(blob)
+    n = int.from_bytes(data[:8], "little")
+    ends = (8 + 4 * n + np.cumsum(np.frombuffer(data, np.uint32, n, 8))).tolist()
+    return [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip([8 + 4 * n, *ends], ends)]
+
+
+def frequencies(docs: DataFrame, path: str = BYTE_BPE, chunk_bytes: int = 24 << 20) -> DataFrame:
+    """Two kinds of rows: a chunk's dictionary by bucket, and (bucket null) its documents.
+
+    The dictionary is sorted by bucket. ``docs`` holds for each document the number of its distinct
+    pre-tokens, their places in the dictionary as differences, and their frequencies.
+    """
     count = buckets(docs.sparkSession)
 
     def run(batches):
-        split = pre_tokens(path).split
+        tokens = pre_tokens(path)
         number = TaskContext.get().partitionId() << 32
         for batch in chunks(batches, chunk_bytes):
+            names = np.zeros(0, np.uint64)
+            strings: list[str] = []
+            keys, own, first = [], [], 0
+            for part in chunks([batch]):
+                body, text, starts, ends, hashes = tokens.spans(part.column("text").to_pylist())
+                found, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+                new = at[~np.isin(found, names)]
+                strings += [body[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
+                names = np.concatenate([names, hashes[new]])
+                pair, freq = np.unique((text << 32) + which, return_counts=True)
+                keys.append(found[pair & 0xFFFFFFFF])
+                own.append((first + (pair >> 32), freq))
+                first += part.num_rows
+            bucket = (names % np.uint64(count)).astype(np.int64)
+            order = np.lexsort((names, bucket))
+            by_name = np.argsort(names)
+            place = np.empty(len(names), np.int64)
+            place[order] = np.arange(len(names))
+            text = np.concatenate([x for x, _ in own])
+            freq = np.concatenate([x for _, x in own])
+            keys = np.concatenate(keys)
+            where = place[by_name[np.searchsorted(names, keys, sorter=by_name)]]
+            sort = np.lexsort((where, text))
+            text, where, freq = text[sort], where[sort], freq[sort]
+            fresh = np.concatenate([[True], text[1:] != text[:-1]])[: len(text)]
+            steps = np.where(fresh, where, where - np.concatenate([[0], where[:-1]])[: len(text)])
+            sizes = np.bincount(text, minlength=batch.num_rows)
             texts = batch.column("text").to_pylist()
-            index: dict[str, int] = {}
-            which, freq, sizes, n_bytes = [], [], [], []
-            for text in texts:
-                text = text or ""
-                own = np.fromiter((index.setdefault(p, len(index)) for p in split(text)), np.uint32)
-                own, times = np.unique(own, return_counts=True)
-                which.append(own)
-                freq.append(times.astype(np.uint32))
-                sizes.append(len(own))
-                n_bytes.append(len(text.encode()))
             out = [
                 (
-                    number, None, None, None, batch.column("doc_id").to_pylist(), n_bytes,
-                    np.array(sizes, np.int64).tobytes(), b"".join(x.tobytes() for x in which),
-                    b"".join(x.tobytes() for x in freq),
+                    number, None, None, batch.column("doc_id").to_pylist(),
+                    [len((t or "").encode()) for t in texts], _shrink(sizes, steps, freq),
                 )
             ]
-            parts: dict[int, tuple[list, list]] = {}
-            for piece, k in index.items():
-                b = int.from_bytes(hashlib.blake2b(piece.encode(), digest_size=4).digest()) % count
-                mine = parts.setdefault(b, ([], []))
-                mine[0].append(piece)
-                mine[1].append(k)
+            edges = np.searchsorted(bucket[order], np.arange(count + 1)).tolist()
+            order = order.tolist()
             out += [
-                (number, b, p, np.array(k, np.uint32).tobytes(), None, None, None, None, None)
-                for b, (p, k) in parts.items()
+                (number, b, _strings([strings[k] for k in order[i:j]]), None, None, None)
+                for b, (i, j) in enumerate(zip(edges, edges[1:])) if j > i
             ]
             yield rows(_CHUNK, out)
             number += 1
 
-    kind = (
-        "chunk long, bucket int, pieces array<string>, at binary, doc_id array<long>, "
-        "n_bytes array<long>, sizes binary, which binary, freq binary"
-    )
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, kind)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _KIND)
 
 
 def count_tokens(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
@@ -86,42 +132,38 @@ def count_tokens(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     split = written(frequencies(docs, path), "pre-token-frequencies")
 
     def answer(table: pa.Table) -> pa.Table:
-        lists = table.column("pieces").to_pylist()
+        lists = [_pieces(x) for x in table.column("pieces").to_pylist()]
         distinct = list(dict.fromkeys(p for pieces in lists for p in pieces))
-        known: dict[str, int] = {}
-        tokens = pre_tokens(path)
-        for k in range(0, len(distinct), 20_000):
-            part = distinct[k : k + 20_000]
-            known.update(zip(part, map(len, tokens.ids(part))))
-        found = [np.fromiter((known[p] for p in x), np.uint32, len(x)).tobytes() for x in lists]
-        return pa.table({"chunk": table.column("chunk"), "at": table.column("at"), "n": found})
+        known = dict(zip(distinct, map(len, pre_tokens(path).ids(distinct))))
+        found = [_shrink(np.fromiter(map(known.get, x), np.uint32, len(x))) for x in lists]
+        return table.drop(["pieces"]).append_column("n", pa.array(found, pa.binary()))
 
-    dictionaries = split.where("bucket is not null").select("chunk", "bucket", "pieces", "at")
+    dictionaries = split.where("bucket is not null").select("chunk", "bucket", "pieces")
     answers = dictionaries.groupBy("bucket").applyInArrow(
-        answer, "chunk long, at binary, n binary"
+        answer, "chunk long, bucket int, n binary"
     )
     # Both sides have a bounded size for each chunk: its entries, packed.
-    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("at", "n")).alias("answers"))
-    documents = split.where("bucket is null").select(
-        "chunk", "doc_id", "n_bytes", "sizes", "which", "freq"
-    )
+    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n")).alias("answers"))
+    documents = split.where("bucket is null").select("chunk", "doc_id", "n_bytes", "docs")
 
     def total(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                parts = row["answers"] or []
-                at = np.frombuffer(b"".join(x["at"] for x in parts), np.uint32)
-                pieces = np.zeros(len(at), np.int64)
-                pieces[at] = np.frombuffer(b"".join(x["n"] for x in parts), np.uint32)
-                which = np.frombuffer(row["which"], np.uint32)
-                summed = np.zeros(len(which) + 1, np.int64)
-                np.cumsum(pieces[which] * np.frombuffer(row["freq"], np.uint32), out=summed[1:])
-                ends = np.cumsum(np.frombuffer(row["sizes"], np.int64))
-                starts = np.concatenate([[0], ends[:-1]])
+                parts = sorted(row["answers"] or [], key=lambda x: x["bucket"])
+                known = np.concatenate(
+                    [np.zeros(0, np.uint32), *(_grow(x["n"], 1)[0] for x in parts)]
+                )
+                sizes, steps, freq = (x.astype(np.int64) for x in _grow(row["docs"], 3))
+                ends = np.cumsum(sizes)
+                # Places are differences within a document: sum them up and take off the start.
+                place = np.cumsum(steps)
+                before = np.concatenate([[0], place])[ends - sizes]
+                place -= np.repeat(before, sizes)
+                summed = np.concatenate([[0], np.cumsum(known[place] * freq)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row["doc_id"], pa.int64()), pa.array(row["n_bytes"], pa.int64()),
-                        pa.array(summed[ends] - summed[starts]),
+                        pa.array(summed[ends] - summed[ends - sizes]),
                     ],
                     ["doc_id", "n_bytes", "n_tokens"],
                 )
