@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import near, packing, quality, suffixes, token_counts, urls
+from llm import brown, near, packing, quality, suffixes, token_counts, urls
 from llm.common import table
 
 
@@ -27,6 +27,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op8_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return brown.score_documents(table(spark, sf_dir, "documents"), held_out)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(
@@ -48,6 +53,7 @@ QUERIES = {
     "op3_url_verdicts": op3_url_verdicts,
     "op4_near_duplicates": op4_near_duplicates,
     "op7_token_counts": op7_token_counts,
+    "op8_class_scores": op8_class_scores,
     "op9_quality_rules": op9_quality_rules,
     "op10_packed_sequences": op10_packed_sequences,
 }
