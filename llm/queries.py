@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import brown, near, packing, quality, suffixes, token_counts, urls
+from llm import brown, html, near, neighbours, packing, quality, suffixes, token_counts, urls
 from llm.common import table
 
 
@@ -22,6 +22,14 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, sf_dir, "documents"))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
@@ -52,6 +60,8 @@ QUERIES = {
     "op2_repeats_removed": op2_repeats_removed,
     "op3_url_verdicts": op3_url_verdicts,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_main_text": op5_main_text,
+    "op6_nearest_vectors": op6_nearest_vectors,
     "op7_token_counts": op7_token_counts,
     "op8_class_scores": op8_class_scores,
     "op9_quality_rules": op9_quality_rules,
