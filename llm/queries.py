@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import brown, html, near, neighbours, packing, quality, suffixes, token_counts, urls
+from llm import brown, html, near, neighbours, packing, pieces, quality, suffixes, token_counts, urls
 from llm.common import table
 
 
+def op1_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents")).drop("key")
 
@@ -57,6 +61,7 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sampled_pieces": op1_sampled_pieces,
     "op2_repeats_removed": op2_repeats_removed,
     "op3_url_verdicts": op3_url_verdicts,
     "op4_near_duplicates": op4_near_duplicates,
