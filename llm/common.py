@@ -29,22 +29,24 @@ def buckets(spark: SparkSession) -> int:
     return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def keyed(docs: DataFrame, name: str = "keyed") -> DataFrame:
+def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``docs`` as (key long, doc_id, text): ``key`` is unique and orders rows by (doc_id, text).
 
     Where every doc_id is set and unique, it is the key. Else rows are sorted once (null ids last,
     equal ids by text, repeated rows in any order) and numbered, so that each stays a document.
+    With ``whole``, the struct ``row`` holds all columns. Runs a count of the ids.
     """
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    seen = docs.agg(
-        F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")
-    ).first()
+    columns = [
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    ]
+    if whole:
+        columns.append(F.struct(*docs.columns).alias("row"))
+    seen = docs.agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids")).first()
+    docs = docs.select(*columns)
     if seen.n == seen.ids:
-        return docs.select(F.col("doc_id").cast("long").alias("key"), "doc_id", "text")
+        return docs.select(F.col("doc_id").alias("key"), "*")
     order = docs.orderBy(F.col("doc_id").asc_nulls_last(), "text")
-    return written(
-        order.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text"), name
-    )
+    return written(order.select(F.monotonically_increasing_id().alias("key"), "*"), "keyed")
 
 
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -204,7 +204,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     their own, in the order of ``keyed``; ``kept`` marks the first row of each component. An empty
     table gives no rows.
     """
-    docs = keyed(docs)
+    return link(keyed(docs))
+
+
+def link(docs: DataFrame) -> DataFrame:
+    """``near_duplicates`` of documents that have their keys (key, doc_id, text)."""
     found = written(features(docs), "near-features")
     same = ["n_shingles", "low", "high"]
     classes = found.where("n_shingles > 0").groupBy(*same).agg(F.min("key").alias("first"))

@@ -414,7 +414,7 @@ def _removed(with_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False, group_bytes: int = 16 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     """(key, doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of ``docs``, and with
     ``with_text`` the text left, without bytes of characters cut apart.
 
@@ -422,10 +422,16 @@ def remove_repeats(docs: DataFrame, with_text: bool = False, group_bytes: int =
     earlier in the same text. Strings are judged on the input. Uses doc_id and text; other columns
     are ignored. A null text is empty; a text shorter than 100 bytes stays whole. Rows that repeat
     a doc_id or have none are documents of their own, in the order of ``keyed``. An empty table
-    gives no rows. A document is held whole by one task at the end, and with others up to about
-    ``group_bytes``.
+    gives no rows.
+    """
+    return strip(keyed(docs), with_text)
+
+
+def strip(docs: DataFrame, with_text: bool = False, group_bytes: int = 16 << 20) -> DataFrame:
+    """``remove_repeats`` of documents that have their keys (key, doc_id, text).
+
+    A document is held whole by one task at the end, and with others up to about ``group_bytes``.
     """
-    docs = keyed(docs)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(64, -(-size // group_bytes)) | 1
     count = buckets(docs.sparkSession)
