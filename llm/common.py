@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,10 @@ from flowlens.session import written
 #: White space between words: space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-CHUNK = 4 << 20
+CHUNK = 2 << 20
+
+# Freed memory goes back at once: workers stay alive between tasks, beside the executor's heap.
+pa.set_memory_pool(pa.system_memory_pool())
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 
@@ -25,8 +29,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def buckets(spark: SparkSession) -> int:
-    """Groups for work packed by hash: follows ``spark.sql.shuffle.partitions``, 64 at least."""
-    return max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    """Groups for work packed by hash: twice ``spark.sql.shuffle.partitions``, 128 at least."""
+    return max(128, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
@@ -83,7 +87,7 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
+            n = -(-n // (1 << 20)) << 20
             steps = np.full(n, self.base, np.uint64)
             steps[0] = 1
             self.up = np.cumprod(steps)
@@ -163,6 +167,30 @@ def joined(column, kind) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind)
 
 
+def each(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows with large blobs, one at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
+def shrink(*arrays: np.ndarray) -> bytes:
+    """Arrays of 32-bit numbers as one compressed blob, bytes of equal weight together."""
+    sizes = np.array([len(a) for a in arrays], np.int64).tobytes()
+    planes = [a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays]
+    return zstandard.compress(b"".join([sizes, *planes]), 3)
+
+
+def grow(blob: bytes, count: int) -> list[np.ndarray]:
+    data = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    out, at = [], 8 * count
+    for n in data[:at].view(np.int64).tolist():
+        planes = data[at : at + 4 * n].reshape(4, n).T
+        out.append(np.ascontiguousarray(planes).view("<u4").ravel())
+        at += 4 * n
+    return out
+
+
 def rows(schema: pa.Schema, tuples) -> pa.RecordBatch:
     """A record batch from an iterable of tuples."""
     columns = list(zip(*tuples)) or [()] * len(schema)

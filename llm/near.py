@@ -6,9 +6,11 @@ on, and a document stops as soon as all its slots are filled, since later ranks
 
 Documents with the same set are one class. Classes that share a band are linked to the smallest of
 them, if their full sets are similar enough. Where a band's classes are then still in several
-components, all its pairs from different components are compared by signature, in blocks inside
-the tasks, and those that can be similar enough are verified too; so no link is lost to the choice
-of the smallest. With 48 bands of 5 slots a pair at the threshold of 0.75 shares none with a
+components, those are compared by signature, so that no link is lost to the choice of the
+smallest. Components that may be linked form families; within a family all members of
+different components are compared, again in blocks inside the tasks, and each task returns no more
+links than it takes to join what it found linked. So neither pairs of a group nor near misses are
+ever listed. With 48 bands of 5 slots a pair at the threshold of 0.75 shares none with a
 probability of 2e-6, and falls below the signature threshold with less than 1e-7.
 """
 
@@ -150,50 +152,81 @@ def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return written(chosen.mapInArrow(run, "key long, set binary"), "shingle-sets")
 
 
-def verified(docs: DataFrame, pairs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    place = np.minimum(np.searchsorted(b, a), len(b) - 1)
+    both = int((b[place] == a).sum())
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
-    sets = _sets(docs, pairs)
 
     def run(batches):
         for batch in batches:
             left, right = batch.column("left"), batch.column("right")
-            keep = np.zeros(batch.num_rows, bool)
-            for k in range(batch.num_rows):
-                a = np.frombuffer(left[k].as_buffer(), np.uint64)
-                b = np.frombuffer(right[k].as_buffer(), np.uint64)
-                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                    continue
-                place = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                both = int((b[place] == a).sum())
-                keep[k] = 100 * both >= percent * (len(a) + len(b) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            keep = [
+                _similar(
+                    np.frombuffer(left[k].as_buffer(), np.uint64),
+                    np.frombuffer(right[k].as_buffer(), np.uint64),
+                    percent,
+                )
+                for k in range(batch.num_rows)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     with_left = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("left")), "a")
     with_both = with_left.join(sets.select(F.col("key").alias("b"), F.col("set").alias("right")), "b")
     return with_both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _compare(group: pa.Table) -> pa.Table:
-    """Pairs of a block from different components whose signatures are alike enough."""
-    key = group.column("key").to_numpy()
-    component = group.column("component").to_numpy()
-    second = group.column("second").to_numpy(zero_copy_only=False)
-    sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16)
-    sketch = sketch.reshape(len(key), -1)
-    out_a, out_b = [], []
-    left, right = np.flatnonzero(~second), np.flatnonzero(second)
-    same = len(right) == 0
-    right = left if same else right
-    for k, i in enumerate(left):
-        others = right[k + 1 :] if same else right
-        others = others[component[others] != component[i]]
-        if len(others):
-            alike = (sketch[others] == sketch[i]).mean(axis=1) >= LIKELY
-            out_b.append(key[others[alike]])
-            out_a.append(np.full(len(out_b[-1]), key[i]))
-    none = np.zeros(0, np.int64)
-    a, b = np.concatenate([none, *out_a]), np.concatenate([none, *out_b])
-    return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+def _join_up(percent: int | None):
+    """Pairs of components in a block that may be linked (by signature), or with ``percent`` that
+    are linked (by sets): as many as join what belongs together."""
+
+    def run(block: pa.Table) -> pa.Table:
+        root = block.column("component").to_numpy().copy()
+        second = block.column("second").to_numpy(zero_copy_only=False)
+        sketch = np.frombuffer(b"".join(block.column("sketch").to_pylist()), np.uint16)
+        sketch = sketch.reshape(len(root), -1)
+        if percent is not None:
+            sets = [np.frombuffer(x, np.uint64) for x in block.column("set").to_pylist()]
+        out = []
+        left, right = np.flatnonzero(~second), np.flatnonzero(second)
+        alone = len(right) == 0 and not block.column("two").to_numpy(zero_copy_only=False).any()
+        for k, i in enumerate(left):
+            others = left[k + 1 :] if alone else right
+            others = others[root[others] != root[i]]
+            if len(others) == 0:
+                continue
+            alike = others[(sketch[others] == sketch[i]).mean(axis=1) >= LIKELY]
+            for j in alike.tolist():
+                a, b = int(root[i]), int(root[j])
+                if a != b and (percent is None or _similar(sets[i], sets[j], percent)):
+                    out.append((max(a, b), min(a, b)))
+                    root[root == max(a, b)] = min(a, b)
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _blocks(members: DataFrame, group: str) -> DataFrame:
+    """Members dealt out so that any two of a group meet in one block: (group, i, j)."""
+    counts = members.groupBy(group).agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    )
+    counts = counts.where("low < high").select(group, F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = members.join(counts, group).select("*", own.alias("own")).select("*", other.alias("other"))
+    return dealt.select(
+        *members.columns, (F.col("own") > F.col("other")).alias("second"),
+        (F.col("own") != F.col("other")).alias("two"),
+        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+    )
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -219,30 +252,30 @@ def link(docs: DataFrame) -> DataFrame:
     shared = bands.join(centers.where("n > 1").drop("n"), "band")
     shared = written(shared, "near-bands")
     star = shared.where("key <> center").select(F.col("key").alias("a"), F.col("center").alias("b"))
-    links = written(verified(docs, written(star.distinct(), "near-pairs")), "near-links")
+    star = written(star.distinct(), "near-pairs")
+    sets = _sets(docs, star)
+    links = written(verified(star, sets), "near-links")
 
     tied = components(links)
     named = shared.select("band", "key").join(
         tied.select(F.col("node").alias("key"), "component"), "key", "left"
     ).withColumn("component", F.coalesce("component", "key"))
     named = written(named, "near-bands-named")
-    open_bands = named.groupBy("band").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-    ).where("low < high").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    members = named.join(open_bands, "band")
-    members = members.join(found.select("key", "sketch"), "key")
-    own = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    blocks = members.select("*", own.alias("own")).select("*", other.alias("other")).select(
-        "key", "component", "sketch", (F.col("own") > F.col("other")).alias("second"), "band",
-        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+    sketches = found.select("key", "sketch")
+    kind = "a long, b long"
+    likely = _blocks(named, "band").join(sketches, "key").groupBy("band", "i", "j").applyInArrow(
+        _join_up(None), kind
     )
-    rest = blocks.groupBy("band", "i", "j").applyInArrow(_compare, "a long, b long").distinct()
-    rest = written(rest, "near-rest")
-    if rest.isEmpty():
-        all_tied = tied
-    else:
-        more = written(verified(docs, rest), "near-links-rest")
+    likely = written(likely.distinct(), "near-likely")
+    all_tied = tied
+    if not likely.isEmpty():
+        families = components(likely).select(F.col("node").alias("component"), F.col("component").alias("family"))
+        members = named.select("key", "component").distinct().join(families, "component")
+        members = _blocks(written(members, "near-families"), "family")
+        members = members.join(sketches, "key").join(sets, "key")
+        more = written(
+            members.groupBy("family", "i", "j").applyInArrow(_join_up(PERCENT), kind), "near-links-rest"
+        )
         all_tied = components(links.unionByName(more))
 
     by_class = classes.join(all_tied.withColumnRenamed("node", "first"), "first", "left").select(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.session import written
-from llm.common import buckets, chunks, rows
+from llm.common import buckets, chunks, each, grow, rows, shrink
 from llm.tokens import BYTE_BPE, pre_tokens
 
 _KIND = (
@@ -32,23 +32,6 @@ _CHUNK = pa.schema(
 )
 
 
-def _shrink(*arrays: np.ndarray) -> bytes:
-    """Arrays of 32-bit numbers as one compressed blob, bytes of equal weight together."""
-    sizes = np.array([len(a) for a in arrays], np.int64).tobytes()
-    planes = [a.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes() for a in arrays]
-    return zstandard.compress(b"".join([sizes, *planes]), 3)
-
-
-def _grow(blob: bytes, count: int) -> list[np.ndarray]:
-    data = np.frombuffer(zstandard.decompress(blob), np.uint8)
-    out, at = [], 8 * count
-    for n in data[:at].view(np.int64).tolist():
-        planes = data[at : at + 4 * n].reshape(4, n).T
-        out.append(np.ascontiguousarray(planes).view("<u4").ravel())
-        at += 4 * n
-    return out
-
-
 def _strings(pieces: list[str]) -> bytes:
     coded = [p.encode("utf-8", "surrogatepass") for p in pieces]
     sizes = np.fromiter(map(len, coded), np.uint32, len(coded))
@@ -80,7 +63,7 @@ def frequencies(docs: DataFrame, path: str = BYTE_BPE, chunk_bytes: int = 24 <<
             strings: list[str] = []
             keys, own, first = [], [], 0
             for part in chunks([batch]):
-                body, text, starts, ends, hashes = tokens.spans(part.column("text").to_pylist())
+                body, text, starts, ends, hashes = tokens.spans([t or "" for t in part.column("text").to_pylist()])
                 found, at, which = np.unique(hashes, return_index=True, return_inverse=True)
                 new = at[~np.isin(found, names)]
                 strings += [body[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
@@ -107,7 +90,7 @@ def frequencies(docs: DataFrame, path: str = BYTE_BPE, chunk_bytes: int = 24 <<
             out = [
                 (
                     number, None, None, batch.column("doc_id").to_pylist(),
-                    [len((t or "").encode()) for t in texts], _shrink(sizes, steps, freq),
+                    [len((t or "").encode()) for t in texts], shrink(sizes, steps, freq),
                 )
             ]
             edges = np.searchsorted(bucket[order], np.arange(count + 1)).tolist()
@@ -135,7 +118,7 @@ def count_tokens(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
         lists = [_pieces(x) for x in table.column("pieces").to_pylist()]
         distinct = list(dict.fromkeys(p for pieces in lists for p in pieces))
         known = dict(zip(distinct, map(len, pre_tokens(path).ids(distinct))))
-        found = [_shrink(np.fromiter(map(known.get, x), np.uint32, len(x))) for x in lists]
+        found = [shrink(np.fromiter(map(known.get, x), np.uint32, len(x))) for x in lists]
         return table.drop(["pieces"]).append_column("n", pa.array(found, pa.binary()))
 
     dictionaries = split.where("bucket is not null").select("chunk", "bucket", "pieces")
@@ -147,26 +130,25 @@ def count_tokens(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     documents = split.where("bucket is null").select("chunk", "doc_id", "n_bytes", "docs")
 
     def total(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                parts = sorted(row["answers"] or [], key=lambda x: x["bucket"])
-                known = np.concatenate(
-                    [np.zeros(0, np.uint32), *(_grow(x["n"], 1)[0] for x in parts)]
-                )
-                sizes, steps, freq = (x.astype(np.int64) for x in _grow(row["docs"], 3))
-                ends = np.cumsum(sizes)
-                # Places are differences within a document: sum them up and take off the start.
-                place = np.cumsum(steps)
-                before = np.concatenate([[0], place])[ends - sizes]
-                place -= np.repeat(before, sizes)
-                summed = np.concatenate([[0], np.cumsum(known[place] * freq)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["doc_id"], pa.int64()), pa.array(row["n_bytes"], pa.int64()),
-                        pa.array(summed[ends] - summed[ends - sizes]),
-                    ],
-                    ["doc_id", "n_bytes", "n_tokens"],
-                )
+        for row in each(batches):
+            parts = sorted(row["answers"] or [], key=lambda x: x["bucket"])
+            known = np.concatenate(
+                [np.zeros(0, np.uint32), *(grow(x["n"], 1)[0] for x in parts)]
+            )
+            sizes, steps, freq = (x.astype(np.int64) for x in grow(row["docs"], 3))
+            ends = np.cumsum(sizes)
+            # Places are differences within a document: sum them up and take off the start.
+            place = np.cumsum(steps)
+            before = np.concatenate([[0], place])[ends - sizes]
+            place -= np.repeat(before, sizes)
+            summed = np.concatenate([[0], np.cumsum(known[place] * freq)])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(row["doc_id"], pa.int64()), pa.array(row["n_bytes"], pa.int64()),
+                    pa.array(summed[ends] - summed[ends - sizes]),
+                ],
+                ["doc_id", "n_bytes", "n_tokens"],
+            )
 
     return documents.join(answers, "chunk", "left").drop("chunk").mapInArrow(
         total, "doc_id long, n_bytes long, n_tokens long"
