@@ -8,8 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.feature import IndexToString
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from flowlens.models.features import CATEGORIES, feature_names
+from flowlens.models.features import CATEGORIES, NUMERIC, assemblable, feature_names
 
 
 @dataclass(frozen=True)
@@ -58,3 +59,19 @@ class ModelBundle:
         """Feature names with their importance, in vector order."""
         values = self.classifier.featureImportances.toArray()
         return [(name, float(v)) for name, v in zip(self.feature_names, values)]
+
+
+def score_all(df: DataFrame, bundle: ModelBundle) -> DataFrame:
+    """Score every row in one pass: one that lacks an input gets NULLs and a ``reason``.
+
+    Missing inputs are filled for the model, and the row's own columns and NULLs restored after.
+    """
+    reason = F.when(~assemblable(), "incomplete").alias("reason")
+    own = F.struct(*NUMERIC).alias("own_")
+    filled = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c in NUMERIC else F.col(c) for c in df.columns]
+    scored = bundle.score(df.select("*", own, reason).select(*filled, "own_", "reason"))
+    given = F.col("reason").isNull()
+    out = ("prediction", "probability", "predicted_label")
+    return scored.withColumns(
+        {c: F.col("own_")[c] for c in NUMERIC} | {c: F.when(given, F.col(c)) for c in out}
+    ).drop("own_")

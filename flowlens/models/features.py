@@ -9,14 +9,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
+    StringIndexer,
     StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.operators.distributions import value_counts
-
 # The order of the parts of a feature vector.
 NUMERIC = [
     "duration", "orig_bytes", "resp_bytes", "orig_port", "resp_port", "total_bytes",
@@ -27,8 +26,6 @@ INDEXES = [f"{c}_index" for c in CATEGORIES]
 VECTORS = [f"{c}_vec" for c in CATEGORIES]
 LABEL, LABEL_INDEX = "label", "label_index"
 
-MAX_VALUES = 10_000
-
 
 def assemblable() -> Column:
     """True if no numeric input of the feature vector is missing.
@@ -45,22 +42,16 @@ def split_assemblable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(assemblable()), df.where(~assemblable())
 
 
-def vocabularies(
-    df: DataFrame, columns: list[str], max_values: int = MAX_VALUES
-) -> dict[str, list[str]]:
-    """Values of each column, most frequent first, ties by value, from one scan.
+def vocabularies(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Values of each column, most frequent first, ties by value, from one scan. Runs a job.
 
-    NULL and empty text have no place in a vocabulary. The values become model parameters on the driver, so a
-    column with more than ``max_values`` of them is refused instead of collected.
+    NULL has no place in a vocabulary. Empty text is a value of the label, but none of the other
+    columns, as a slot of the feature vector needs a name.
     """
-    counts = value_counts(df, columns).where(F.col("value") != "")
-    limit = max_values * len(columns)
-    rows = counts.limit(limit + 1).collect()
-    found = {c: [r for r in rows if r["column"] == c] for c in columns}
-    if len(rows) > limit or any(len(v) > max_values for v in found.values()):
-        raise ValueError(f"more than {max_values} distinct values in one of {columns}")
-    ordered = {c: sorted(v, key=lambda r: (-r["count"], r["value"])) for c, v in found.items()}
-    return {c: [r["value"] for r in v] for c, v in ordered.items()}
+    values = [F.col(c) if c == LABEL else F.nullif(F.col(c), F.lit("")).alias(c) for c in columns]
+    indexer = StringIndexer(inputCols=columns, outputCols=[f"{c}_value" for c in columns])
+    found = indexer.setStringOrderType("frequencyDesc").fit(df.select(*values)).labelsArray
+    return {c: list(labels) for c, labels in zip(columns, found)}
 
 
 def category_indexers(words: dict[str, list[str]]) -> list[StringIndexerModel]:

@@ -11,7 +11,6 @@ from pyspark.ml.evaluation import (
 )
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from flowlens.models.bundle import ModelBundle
 from flowlens.models.features import (
@@ -23,7 +22,7 @@ from flowlens.models.features import (
     label_indexer,
     vocabularies,
 )
-from flowlens.models.split import train_test_split
+from flowlens.models.split import flow_key, train_test_split
 from flowlens.operators.cleaning import labelled
 from flowlens.operators.evaluation import class_weights
 from flowlens.session import shared_dir, written
@@ -55,7 +54,7 @@ class Trained:
 def with_class_weight(df: DataFrame) -> DataFrame:
     """Add a weight inverse to the label's frequency.
 
-    The labels were bounded by ``vocabularies``, so their weights fit a map literal.
+    There is one weight for each label, in a map literal.
     """
     pairs = [F.lit(x) for row in class_weights(df, LABEL).collect() for x in row]
     return df.withColumn(WEIGHT, F.create_map(*pairs)[F.col(LABEL)])
@@ -67,14 +66,14 @@ def train(
     """Split labelled flows, fit features on the training part alone, then the classifier.
 
     ``flows`` carry the feature columns. Rows that cannot be assembled take no part. Fitting
-    reads them several times; ``stage`` writes them to a table first, for flows that would be
-    parsed from text each time.
+    reads them several times; ``stage`` writes them to a table first, dealt out by their keys, for
+    flows that would be parsed from text each time.
     """
     shared_dir(flows.sparkSession)  # long tree lineages are cut by checkpoints in it
     classifier = classifier or boosted_trees()
     usable = labelled(flows).where(assemblable())
     if stage:
-        usable = written(usable, "training")
+        usable = written(usable.repartition(flow_key(usable)), "training")
     train_rows, test_rows = train_test_split(usable)
     words = vocabularies(train_rows, [*CATEGORIES, LABEL])
     if weighted:
@@ -83,33 +82,30 @@ def train(
     features = fit_features(train_rows, words)
     ready = label_indexer(words[LABEL]).transform(features.transform(train_rows))
     columns = [LABEL_INDEX, "features", *([WEIGHT] if weighted else [])]
-    ready = ready.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        model = classifier.fit(ready)
-    finally:
-        ready.unpersist()
+    # Vectors are written once: the trees keep their own binned copy of them.
+    model = classifier.fit(written(ready.select(*columns), "training-vectors"))
     return Trained(ModelBundle.of(features, model, words[LABEL]), train_rows, test_rows)
 
 
 def evaluate(bundle: ModelBundle, rows: DataFrame) -> dict[str, float]:
     """Accuracy, weighted F1 and, for two labels, the area under the ROC curve.
 
-    Rows whose label the model has not seen are left out.
+    Rows whose label the model has not seen are left out; ``left_out`` is their number.
     """
-    known = rows.where(F.col(LABEL).isin(bundle.labels))
-    scored = label_indexer(bundle.labels).transform(bundle.pipeline.transform(known))
-    scored = scored.select(LABEL_INDEX, "prediction", "probability", "rawPrediction")
-    scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        judge = MulticlassClassificationEvaluator(labelCol=LABEL_INDEX)
-        result = {
-            name: judge.setMetricName(name).evaluate(scored) for name in ("accuracy", "f1")
-        }
-        if len(bundle.labels) == 2:
-            area = BinaryClassificationEvaluator(labelCol=LABEL_INDEX)
-            result["auc"] = area.evaluate(scored)
-    finally:
-        scored.unpersist()
+    seen = F.coalesce(F.col(LABEL).isin(bundle.labels), F.lit(False))
+    scored = label_indexer(bundle.labels).transform(bundle.pipeline.transform(rows.where(seen)))
+    scored = written(scored.select(LABEL_INDEX, "prediction", "rawPrediction"), "evaluated")
+    left_out = float(rows.where(~seen).count())
+    return judged(scored, len(bundle.labels) == 2) | {"left_out": left_out}
+
+
+def judged(scored: DataFrame, binary: bool) -> dict[str, float]:
+    """Metrics of scored rows (label_index, prediction, rawPrediction); the area is exact."""
+    judge = MulticlassClassificationEvaluator(labelCol=LABEL_INDEX)
+    result = {name: judge.setMetricName(name).evaluate(scored) for name in ("accuracy", "f1")}
+    if binary:
+        area = BinaryClassificationEvaluator(labelCol=LABEL_INDEX, numBins=0)
+        result["auc"] = area.evaluate(scored)
     return result
 
 

@@ -7,18 +7,20 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.models.bundle import ModelBundle
-from flowlens.models.features import split_assemblable
+from flowlens.models.bundle import ModelBundle, score_all
 from flowlens.operators.cleaning import add_features, clean
 
 
 def score_flows(flows: DataFrame, bundle: ModelBundle) -> DataFrame:
-    """Parsed flows to predictions; labels play no part."""
-    fit, _ = split_assemblable(add_features(clean(flows)))
-    return bundle.score(fit)
+    """Parsed flows to predictions, one row for each; labels play no part.
+
+    A flow that lacks an input has no prediction, and ``reason`` says so; for others it is NULL.
+    """
+    return score_all(add_features(clean(flows)), bundle)
 
 
 def count_predictions(scored: DataFrame) -> DataFrame:
+    """Flows per prediction; those without one are counted under NULL."""
     return scored.groupBy("prediction").agg(F.count("*").alias("count")).orderBy("prediction")
 
 

@@ -9,12 +9,7 @@ from flowlens.operators import evaluation as E
 from flowlens.operators import timeline as L
 from flowlens.operators.distributions import count_by
 from flowlens.session import written
-from flowlens.sources.predictions import (
-    REPORT_ROWS,
-    newest,
-    normalise_time,
-    with_predicted_label,
-)
+from flowlens.sources.predictions import newest, normalise_time, with_predicted_label
 
 
 def label_distribution(predictions: DataFrame) -> DataFrame:
@@ -23,11 +18,13 @@ def label_distribution(predictions: DataFrame) -> DataFrame:
 
 
 def report(
-    predictions: DataFrame, labels: list[str], rows: int = REPORT_ROWS
+    predictions: DataFrame, labels: list[str], rows: int | None = None
 ) -> dict[str, DataFrame]:
-    """The dashboard's and the report's tables over the newest ``rows`` predictions."""
-    # The rows are few and serve several tables, so they are looked up once.
-    found = written(newest(predictions, rows), "newest")
+    """The dashboard's and the report's tables over all predictions, or the newest ``rows``.
+
+    With ``rows``, runs jobs: those few rows serve several tables, so they are looked up once.
+    """
+    found = predictions if rows is None else written(newest(predictions, rows), "newest")
     df = with_predicted_label(normalise_time(found), labels)
     tables = {"labels": label_distribution(df)}
     if "processing_time" in df.columns:

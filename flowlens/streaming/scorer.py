@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
-from flowlens.models.bundle import ModelBundle
-from flowlens.models.features import assemblable, split_assemblable
+from flowlens.models.bundle import ModelBundle, score_all
+from flowlens.models.features import assemblable
 from flowlens.operators.cleaning import add_features, clean
 from flowlens.schema import CORRUPT
 from flowlens.sources.topics import decode
@@ -21,9 +21,8 @@ def prepare(messages: DataFrame, **options) -> DataFrame:
 
 
 def score_messages(messages: DataFrame, bundle: ModelBundle) -> DataFrame:
-    """Scored flows for any sink; messages that cannot be assembled are left out."""
-    fit, _ = split_assemblable(prepare(messages))
-    return bundle.score(fit)
+    """Scored flows for any sink; one that lacks an input has no prediction but a ``reason``."""
+    return score_all(prepare(messages), bundle)
 
 
 def start_scoring(

@@ -10,6 +10,7 @@ from flowlens.models import training as T
 from flowlens.models.bundle import ModelBundle
 from flowlens.models.split import random_split, split_bucket, train_test_split
 from flowlens.operators import cleaning as C
+from flowlens.plans.offline import score_flows
 from flowlens.operators.evaluation import accuracy_and_f1
 from flowlens.plans.offline import timed_scoring
 from flowlens.sources.files import read_event_flows
@@ -40,15 +41,53 @@ def test_vocabulary_is_the_indexers_order(flows):
         assert values == list(model.labels)
 
 
-def test_vocabulary_ties_and_nulls(spark):
-    df = spark.createDataFrame([("b",), ("a",), (None,), ("",), ("c",), ("c",)], "x string")
-    assert M.vocabularies(df, ["x"]) == {"x": ["c", "a", "b"]}
+def test_vocabulary_ties_nulls_and_size(spark):
+    rows = [("b", ""), ("a", "x"), (None, ""), ("", None), ("c", "x"), ("c", "")]
+    df = spark.createDataFrame(rows, "proto string, label string")
+    # Empty text is a label, but no slot of a vector.
+    assert M.vocabularies(df, ["proto", "label"]) == {"proto": ["c", "a", "b"], "label": ["", "x"]}
+    many = spark.range(20_000).select(F.format_string("%05d", "id").alias("x"))
+    assert len(M.vocabularies(many, ["x"])["x"]) == 20_000
 
 
-def test_vocabulary_too_large_is_refused(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("x"), F.lit("a").alias("y"))
-    with pytest.raises(ValueError, match="more than 20"):
-        M.vocabularies(df, ["x", "y"], max_values=20)
+def test_empty_label_is_learned(spark, parsed):
+    rows = C.add_features(C.clean(parsed))
+    rows = rows.withColumn("label", F.when(F.col("label") == "Benign", "").otherwise(F.col("label")))
+    model = T.train(rows, T.random_forest(trees=2))
+    assert "" in model.bundle.labels
+    assert T.evaluate(model.bundle, model.test)["left_out"] == 0
+
+
+class Constant:
+    """A model that always gives the first label."""
+
+    def __init__(self, bundle):
+        self.bundle, self.labels = bundle, bundle.labels
+
+    def score(self, df):
+        scored = self.bundle.score(df)
+        return scored.withColumns({"prediction": F.lit(0.0), "predicted_label": F.lit(self.labels[0])})
+
+
+def test_a_constant_model_is_found_out(flows, boosted):
+    from flowlens.catalog.queries import checked
+
+    rows = boosted.test.where("label is not null")
+    assert checked(boosted.bundle.score(rows), boosted.bundle).where("not class_recalled").isEmpty()
+    constant = Constant(boosted.bundle)
+    assert not checked(constant.score(rows), constant).where("not class_recalled").isEmpty()
+
+
+def test_scoring_keeps_every_row(parsed, boosted):
+    sparse = parsed.withColumn("resp_p", F.when(F.rand(1) < 0.8, F.col("resp_p")))
+    sparse = sparse.cache()
+    scored = score_flows(sparse, boosted.bundle)
+    missing = sparse.where("resp_p is null").count()
+    assert missing and scored.count() == sparse.count()
+    unfit = scored.where("reason = 'incomplete'")
+    assert unfit.count() == missing
+    assert unfit.where("prediction is not null or resp_port is not null").isEmpty()
+    assert scored.where("reason is null and (prediction is null or resp_port is null)").isEmpty()
 
 
 def test_unseen_and_null_category(make_flows):
