@@ -18,7 +18,7 @@ from flowlens.plans.offline import timed_scoring
 from flowlens.session import build_session, fresh_path
 from flowlens.sources.files import read_delimited, write_delimited
 from flowlens.sources.topics import encode, stream_topic, write_topic
-from flowlens.streaming.progress import progress_table
+from flowlens.streaming.progress import ProgressLog
 from flowlens.streaming.scorer import start_scoring
 
 HEADLINE = [
@@ -54,6 +54,8 @@ def stream_numbers(spark, folder: str) -> dict[str, float]:
     """Rows per second and batch times of a scoring stream over eight files, two per batch."""
     topic = fresh_path(spark, "topic")
     write_topic(encode(Q.flows(spark, folder)).repartition(8), path=topic)
+    log = ProgressLog(spark, fresh_path(spark, "progress"))
+    spark.streams.addListener(log)
     query = start_scoring(
         stream_topic(spark, path=topic, per_trigger=2),
         Q.trained(spark, folder).bundle,
@@ -63,7 +65,9 @@ def stream_numbers(spark, folder: str) -> dict[str, float]:
         available_now=True,
     )
     query.awaitTermination()
-    row = progress_table(query, spark).where("inputRows > 0").agg(
+    log.wait(query)
+    spark.streams.removeListener(log)
+    row = log.table().where("inputRows > 0").agg(
         (F.sum("inputRows") / F.sum("procTimeMs") * 1000).alias("rows_per_sec"),
         F.percentile("procTimeMs", F.lit(0.5)).alias("batch_ms_p50"),
         F.percentile("procTimeMs", F.lit(0.95)).alias("batch_ms_p95"),

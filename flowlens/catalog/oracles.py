@@ -70,6 +70,8 @@ RANKS = """
 )
 """
 
+# The order of the parts of a feature vector, stated here once more so that the SQL
+# does not depend on the code it checks.
 NUMERIC = [
     "duration", "orig_bytes", "resp_bytes", "orig_port", "resp_port", "total_bytes",
     "bytes_per_sec", "hour_of_day", "day_of_week",
@@ -180,6 +182,15 @@ ORACLES = {
     "src5_newest_for_report": f"""{BASE}
         SELECT uid, strftime(processing_time, {CLOCK}) AS processing_time, predicted_label
         FROM (SELECT * FROM predictions ORDER BY processing_time DESC, uid LIMIT 20000)""",
+    "src5_newest_by_processing_time": f"""{BASE}
+        SELECT uid, strftime(processing_time, {CLOCK}) AS processing_time, predicted_label
+        FROM (SELECT * FROM predictions ORDER BY processing_time DESC, uid LIMIT 100)""",
+    "src5_newest_by_timestamp": f"""{BASE}
+        SELECT uid, strftime("timestamp", {CLOCK}) AS "timestamp", predicted_label
+        FROM (SELECT * FROM predictions ORDER BY "timestamp" DESC, uid LIMIT 100)""",
+    "src5_newest_by_original_ts": f"""{BASE}
+        SELECT uid, ts AS original_ts, predicted_label
+        FROM (SELECT * FROM predictions ORDER BY ts DESC, uid LIMIT 100)""",
     "src5_newest_for_dashboard": f"""{BASE}
         SELECT uid, strftime("timestamp", {CLOCK}) AS "timestamp", predicted_label
         FROM (SELECT * FROM predictions ORDER BY "timestamp" DESC, uid LIMIT 8000)""",
@@ -292,7 +303,9 @@ ORACLES = {
                round(sum(recall * support) / sum(support), 6),
                round(sum(f1 * support) / sum(support), 6),
                CAST(sum(support) AS BIGINT) FROM scores""",
-    "agg13_prediction_total": f"{BASE} SELECT count(*) AS scored FROM flows",
+    "agg13_prediction_total": f"""{BASE}
+        SELECT label, count(*) AS flows, true AS counts_agree
+        FROM flows WHERE label IS NOT NULL GROUP BY label""",
     "agg14_predicted_label_counts": f"""{BASE}
         SELECT predicted_label, count(*) AS "count" FROM predictions
         WHERE predicted_label <> 'Unknown' GROUP BY predicted_label""",
@@ -328,8 +341,6 @@ ORACLES = {
     "tim2_stream_per_minute": f"""{BASE}
         SELECT strftime(m, {CLOCK}) AS start, predicted_label, count(*) AS "count"
         FROM (SELECT date_trunc('minute', "timestamp") AS m, predicted_label FROM predictions)
-        WHERE m + INTERVAL 1 MINUTE <= (SELECT max("timestamp") - INTERVAL 1 MINUTE
-                                        FROM predictions)
         GROUP BY m, predicted_label""",
     "alr1_alert": f"""{BASE}
         SELECT total, malicious, malicious / total AS rate,
@@ -359,9 +370,7 @@ ORACLES = {
                strftime(start + INTERVAL 1 DAY, {CLOCK}) AS "end", total, malicious,
                malicious / total AS rate
         FROM windows
-        WHERE total >= 10 AND malicious / total > 0.35
-          AND start + INTERVAL 1 DAY <= (SELECT max("timestamp") - INTERVAL 1 MINUTE
-                                         FROM predictions)""",
+        WHERE total >= 10 AND malicious / total > 0.35""",
     "mlf1_category_index": f"""{BASE} {RANKS}
         SELECT f.uid, CAST(coalesce(p.i, (SELECT count(*) FROM proto_rank)) AS DOUBLE)
                  AS proto_index,
@@ -392,21 +401,22 @@ ORACLES = {
         SELECT label, round((SELECT count(*) FROM predictions)
                  / ((SELECT count(DISTINCT label) FROM predictions) * count(*)), 6) AS weight
         FROM predictions GROUP BY label""",
-    "sco1_features_on_stream": f"""{BASE}
-        SELECT uid, resp_port, CAST(15 AS INTEGER) AS width FROM cleaned""",
-    "sco3_decoded_labels": f"""{BASE} {RANKS}
-        SELECT CAST(i AS DOUBLE) AS prediction, label FROM label_rank""",
     "str2_str6_batch_progress": f"""{BASE}
         SELECT count(*) AS rows, CAST(3 AS BIGINT) AS batches FROM flows""",
     "str3_repartitioned_stream": f"""{BASE}
         SELECT CAST(uid AS VARCHAR) AS uid, conn_state FROM flows""",
     "str5_batch_written_twice": f"""{BASE}
         SELECT uid, CAST(uid % 2 AS BIGINT) AS batch_id, predicted_label FROM predictions""",
-    "snk2_memory_table": f"{BASE} SELECT count(*) AS rows FROM flows",
+    "snk2_memory_table": f"""{BASE}
+        SELECT label, CASE WHEN uid % 11 = 0 THEN 'incomplete' END AS reason,
+               count(*) AS rows, true AS class_recalled
+        FROM flows GROUP BY 1, 2""",
     "snk3_snapshot": f"""{BASE}
         SELECT uid, '0.25 0.75' AS probability, predicted_label
-        FROM (SELECT * FROM predictions ORDER BY processing_time DESC, uid LIMIT 20000)""",
-    "snk4_offline_scoring": f"{BASE} SELECT count(*) AS scored FROM flows",
+        FROM predictions""",
+    "snk4_offline_scoring": f"""{BASE}
+        SELECT uid % 11 <> 0 AS scored, count(*) AS rows FROM flows GROUP BY 1""",
+    "str4_empty_batch": f"{BASE} SELECT uid, label FROM flows",
     "snk5_cached_exploration": f"""{BASE}
         SELECT 'proto' AS dimension, proto AS value, count(*) AS "count"
         FROM cleaned GROUP BY proto
@@ -416,15 +426,87 @@ ORACLES = {
 }
 
 # What every scored flow must satisfy, with the model's rows named independently of it.
-CHECKED = "true AS label_known, true AS label_matches_index, true AS probability_complete"
-TEST_PART = """predictions
-        WHERE CAST(('0x' || substr(md5(CAST(uid AS VARCHAR)), 1, 8)) AS BIGINT) % 100 >= 80"""
+CHECKED = (
+    "true AS label_known, true AS label_matches_index, true AS probability_complete, "
+    "true AS class_recalled"
+)
+BUCKET = "CAST(('0x' || substr(md5(CAST(uid AS VARCHAR)), 1, 8)) AS BIGINT) % 100"
+TEST_PART = f"""predictions
+        WHERE {BUCKET} >= 80"""
+
+# Scaling by the moments of the training part, applied to all flows.
+MOMENTS = ", ".join(
+    f"avg(x_{n}) FILTER (train) OVER () AS m_{n}, stddev_samp(x_{n}) FILTER (train) OVER () AS d_{n}"
+    for n in range(len(VECTOR))
+)
+SCALED_BY_TRAINING = ", ".join(
+    f"round((x_{n} - m_{n}) / d_{n}, 6) AS features_{n}" for n in range(len(VECTOR))
+)
+TRAIN_RANKS = """
+, learned AS (SELECT * FROM featured WHERE label IS NOT NULL AND {bucket} < 80)
+, proto_rank AS (
+  SELECT proto, row_number() OVER (ORDER BY count(*) DESC, proto) - 1 AS i
+  FROM learned GROUP BY proto
+), state_rank AS (
+  SELECT conn_state, row_number() OVER (ORDER BY count(*) DESC, conn_state) - 1 AS i
+  FROM learned GROUP BY conn_state
+), label_rank AS (
+  SELECT label, row_number() OVER (ORDER BY count(*) DESC, label) - 1 AS i
+  FROM learned GROUP BY label
+)
+""".format(bucket=BUCKET)
 
 ORACLES |= {
     "mlm2_random_forest": f"{BASE} SELECT uid, {CHECKED} FROM {TEST_PART}",
     "mlm3_boosted_trees": f"{BASE} SELECT uid, {CHECKED} FROM {TEST_PART}",
     "mlm6_saved_model": f"{BASE} SELECT uid, true AS same FROM {TEST_PART}",
-    "sco2_scored_flows": f"{BASE} SELECT uid, {CHECKED} FROM flows",
+    "sco1_features_on_stream": f"""{BASE} {TRAIN_RANKS}
+        , slots AS (
+          SELECT f.uid, f.label IS NOT NULL AND {BUCKET} < 80 AS train, {_vector("x", VECTOR)}
+          FROM featured f JOIN proto_rank p ON f.proto = p.proto
+          JOIN state_rank s ON f.conn_state = s.conn_state
+        ), moments AS (SELECT *, {MOMENTS} FROM slots)
+        SELECT uid, {SCALED_BY_TRAINING} FROM moments""",
+    "sco2_scored_flows": f"""{BASE}
+        SELECT uid, CASE WHEN uid % 11 <> 0 THEN true END AS label_known,
+               CASE WHEN uid % 11 <> 0 THEN true END AS label_matches_index,
+               CASE WHEN uid % 11 <> 0 THEN true END AS probability_complete,
+               true AS class_recalled, CASE WHEN uid % 11 = 0 THEN 'incomplete' END AS reason
+        FROM flows""",
+    "sco3_decoded_labels": f"""{BASE} {TRAIN_RANKS}
+        SELECT CAST(i AS DOUBLE) AS prediction, label FROM label_rank""",
+    "mlm5_evaluators": f"""{BASE}
+        , scored AS (
+          SELECT CASE label WHEN 'Malicious' THEN 1 ELSE 0 END AS y,
+                 CASE predicted_label WHEN 'Malicious' THEN 1 ELSE 0 END AS p,
+                 total_bytes % 997 AS s
+          FROM predictions WHERE predicted_label <> 'Unknown'
+        ), ranked AS (
+          SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2 AS r
+          FROM scored
+        ), area AS (
+          SELECT (sum(r) FILTER (y = 1) - n1 * (n1 + 1) / 2) / (n1 * n0) AS auc
+          FROM ranked, (SELECT CAST(sum(y) AS DOUBLE) AS n1,
+                               CAST(count(*) - sum(y) AS DOUBLE) AS n0 FROM scored)
+          GROUP BY n1, n0
+        ), per_class AS (
+          SELECT c, count(*) FILTER (y = c) AS support, count(*) FILTER (p = c) AS said,
+                 count(*) FILTER (y = c AND p = c) AS hit
+          FROM scored, (VALUES (0), (1)) AS classes(c) GROUP BY c
+        )
+        SELECT 'accuracy' AS metric, round(sum(hit) / sum(support), 6) AS value FROM per_class
+        UNION ALL
+        SELECT 'auc', round(auc, 6) FROM area
+        UNION ALL
+        SELECT 'f1', round(sum(support * CASE WHEN hit = 0 THEN 0 ELSE 2 * hit / (support + said) END)
+                           / sum(support), 6) FROM per_class""",
+    "mlm8_importances": f"""{BASE}
+        SELECT unnest(list_concat(
+                 [{", ".join(f"'{c}'" for c in NUMERIC)}],
+                 (SELECT list('proto=' || proto) FROM (SELECT DISTINCT proto FROM featured)),
+                 (SELECT list('conn_state=' || conn_state)
+                  FROM (SELECT DISTINCT conn_state FROM featured)))) AS feature,
+               true AS none_negative, true AS sum_is_one, true AS top_explains""",
     "str1_stream_scoring": f"""{BASE}
         SELECT uid, {CHECKED}, label, detailed_label, orig_h AS id_orig_h FROM flows""",
 }

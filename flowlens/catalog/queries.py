@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +27,7 @@ from flowlens.plans.explore import cached, explore
 from flowlens.plans.offline import count_predictions, score_flows
 from flowlens.plans.reports import label_distribution
 from flowlens.schema import CORRUPT
-from flowlens.session import fresh_path, shared_dir, spread
+from flowlens.session import fresh_path, shared_dir
 from flowlens.sources.files import (
     flows_from_events,
     read_delimited,
@@ -48,7 +48,7 @@ from flowlens.sources.topics import (
     stream_topic,
     write_topic,
 )
-from flowlens.streaming.progress import progress_table
+from flowlens.streaming.progress import ProgressLog
 from flowlens.streaming.scorer import score_messages, start_scoring
 from flowlens.streaming.sinks import (
     Batch,
@@ -58,12 +58,16 @@ from flowlens.streaming.sinks import (
     write_batch,
     write_snapshot,
 )
-from flowlens.streaming.windows import alerts_per_window, counts_per_window
+from flowlens.streaming.windows import read_alerts, read_counts, start_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 DAY = 86400
+FEW_ROWS = 100
+#: Share of a class's flows that a fitted model must decode rightly; one that always gives the same
+#: answer fails it for the other class.
+RIGHT = 0.8
 
 
 def query(function: Query) -> Query:
@@ -86,14 +90,10 @@ def featured(spark: SparkSession, folder: str) -> DataFrame:
     return C.add_features(cleaned(spark, folder))
 
 
-def spread_flows(spark: SparkSession, folder: str) -> DataFrame:
-    """Flows for work that is costly per row; the small test tables are one split each."""
-    events = spark.read.parquet(f"{folder}/events.parquet")
-    return flows_from_events(spread(events, "event_id"))
-
-
-def spread_featured(spark: SparkSession, folder: str) -> DataFrame:
-    return C.add_features(C.clean(spread_flows(spark, folder)))
+def sparse_flows(spark: SparkSession, folder: str) -> DataFrame:
+    """Flows of which each eleventh lacks a port, so that it cannot be scored."""
+    port = F.when(F.col("uid") % 11 != 0, F.col("resp_p"))
+    return flows(spark, folder).withColumn("resp_p", port)
 
 
 def predicted_label() -> Column:
@@ -122,7 +122,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 def message_topic(spark: SparkSession, folder: str, files: int | None = None) -> str:
     """All flows as messages in a topic of text files; its path."""
     path = fresh_path(spark, "topic")
-    messages = encode(spread_flows(spark, folder))
+    messages = encode(flows(spark, folder))
     write_topic(messages.repartition(files) if files else messages, path=path)
     return path
 
@@ -136,10 +136,21 @@ def streamed(stream: DataFrame) -> DataFrame:
 
 
 def prediction_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = spark.read.parquet(f"{folder}/events.parquet").schema
-    events = spark.readStream.schema(schema).parquet(f"{folder}/events*.parquet")
-    rows = C.labelled(C.add_features(C.clean(flows_from_events(events))))
-    return rows.withColumn("predicted_label", predicted_label())
+    """Labelled flows with fixed predictions from four unordered files, one in each batch."""
+    path = message_topic(spark, folder, files=4)
+    messages = stream_topic(spark, path=path, per_trigger=1)
+    rows = C.labelled(C.add_features(C.clean(decode(messages))))
+    return rows.withColumn("uid", F.col("uid").cast("long")).withColumn(
+        "predicted_label", predicted_label()
+    )
+
+
+def counted(spark: SparkSession, folder: str, seconds: int) -> str:
+    """Rows per bucket and label of the prediction stream, by micro-batch; their path."""
+    path = fresh_path(spark, "window-counts")
+    stream = prediction_stream(spark, folder)
+    start_counts(stream, path, fresh_path(spark, "offsets"), seconds=seconds).awaitTermination()
+    return path
 
 
 _trained: dict[tuple[str, str, str], T.Trained] = {}
@@ -150,7 +161,7 @@ def trained(spark: SparkSession, folder: str, kind: str = "boosted") -> T.Traine
     key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _trained:
         classifier = T.random_forest() if kind == "forest" else T.boosted_trees()
-        _trained[key] = T.train(spread_featured(spark, folder), classifier, stage=True)
+        _trained[key] = T.train(featured(spark, folder), classifier, stage=True)
     return _trained[key]
 
 
@@ -162,15 +173,26 @@ def checked(scored: DataFrame, bundle: ModelBundle, *also: str) -> DataFrame:
     """What must hold for every scored flow, whatever the model has learned."""
     total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
     index = F.array_position(F.array(*map(F.lit, bundle.labels)), F.col("predicted_label")) - 1
-    return scored.select(
+    classes = recalled(scored).select(F.col("label").alias("of_label"), "class_recalled")
+    return scored.join(classes, F.col("label") == F.col("of_label"), "left").select(
         F.col("uid").cast("long").alias("uid"),
         F.col("predicted_label").isin(bundle.labels).alias("label_known"),
         (index == F.col("prediction")).alias("label_matches_index"),
         (F.abs(total - 1) < 1e-9).alias("probability_complete"),
+        F.coalesce("class_recalled", F.lit(True)).alias("class_recalled"),
         *also,
     )
 
 
+def recalled(scored: DataFrame) -> DataFrame:
+    """(label, scored, class_recalled): scored flows, and whether enough have the right label."""
+    right = F.avg((F.col("predicted_label") == F.col("label")).cast("double"))
+    known = scored.where(F.col("predicted_label").isNotNull() & F.col("label").isNotNull())
+    return known.groupBy("label").agg(
+        F.count("*").alias("scored"), (right >= RIGHT).alias("class_recalled")
+    )
+
+
 # Sources and parsing
 
 
@@ -211,6 +233,25 @@ def src5_newest_for_report(spark, folder):
     return rows.select("uid", text("processing_time"), "predicted_label")
 
 
+@query
+def src5_newest_by_processing_time(spark, folder):
+    rows = newest(predictions(spark, folder), FEW_ROWS)
+    return rows.select("uid", text("processing_time"), "predicted_label")
+
+
+@query
+def src5_newest_by_timestamp(spark, folder):
+    rows = newest(predictions(spark, folder).drop("processing_time"), FEW_ROWS)
+    return rows.select("uid", text("timestamp"), "predicted_label")
+
+
+@query
+def src5_newest_by_original_ts(spark, folder):
+    rows = predictions(spark, folder).withColumn("original_ts", F.col("ts"))
+    rows = newest(rows.drop("processing_time", "timestamp"), FEW_ROWS)
+    return rows.select("uid", "original_ts", "predicted_label")
+
+
 @query
 def src5_newest_for_dashboard(spark, folder):
     rows = newest(predictions(spark, folder).drop("processing_time"), DASHBOARD_ROWS)
@@ -219,14 +260,14 @@ def src5_newest_for_dashboard(spark, folder):
 
 @query
 def par1_decode(spark, folder):
-    rows = decode(encode(spread_flows(spark, folder)))
+    rows = decode(encode(flows(spark, folder)))
     return rows.withColumn("uid", F.col("uid").cast("long"))
 
 
 @query
 def par2_quarantine(spark, folder):
     """Every thirteenth message is cut in half."""
-    messages = encode(spread_flows(spark, folder).withColumn("cut", F.col("uid") % 13 == 0))
+    messages = encode(flows(spark, folder).withColumn("cut", F.col("uid") % 13 == 0))
     half = F.expr("substring(value, 1, length(value) div 2)")
     value = F.when(F.col("value").contains('"cut":true'), half).otherwise(F.col("value"))
     decoded = decode(
@@ -243,7 +284,7 @@ def par2_quarantine(spark, folder):
 
 @query
 def par3_encode(spark, folder):
-    messages = encode(spread_flows(spark, folder))
+    messages = encode(flows(spark, folder))
     field = {"uid": "uid", "orig_h": "id.orig_h", "detailed_label": "detailed-label", "label": "label"}
     names = [F.get_json_object("value", f"$['{wire}']").alias(c) for c, wire in field.items()]
     clock = F.get_json_object("value", "$.timestamp_simulated").isNotNull().alias("has_clock")
@@ -449,10 +490,14 @@ def agg12_classification_report(spark, folder):
 
 @query
 def agg13_prediction_total(spark, folder):
-    """Counts by predicted class of a model; their sum is the number of flows."""
+    """Flows per label, all scored, and whether the model's counts agree with the labels'."""
     model = trained(spark, folder).bundle
-    counts = count_predictions(score_flows(spread_flows(spark, folder), model))
-    return counts.agg(F.sum("count").alias("scored"))
+    scored = score_flows(flows(spark, folder), model).where("label is not null")
+    predicted = label_distribution(scored).withColumnRenamed("count", "n")
+    labels = scored.groupBy("label").agg(F.count("*").alias("flows"))
+    agree = F.abs(F.col("n") - F.col("flows")) <= (1 - RIGHT) * F.col("flows")
+    both = labels.join(predicted, F.col("label") == F.col("predicted_label"), "left")
+    return both.select("label", "flows", F.coalesce(agree, F.lit(False)).alias("counts_agree"))
 
 
 @query
@@ -525,7 +570,7 @@ def tim1_per_minute(spark, folder):
 
 @query
 def tim2_stream_per_minute(spark, folder):
-    rows = streamed(counts_per_window(prediction_stream(spark, folder)))
+    rows = read_counts(spark, counted(spark, folder, 60))
     return rows.select(text("start"), "predicted_label", "count")
 
 
@@ -543,10 +588,9 @@ def alr2_alert_rows(spark, folder):
 
 @query
 def alr3_stream_alerts(spark, folder):
-    alerts = alerts_per_window(
-        prediction_stream(spark, folder), seconds=DAY, slide=DAY // 4, threshold=0.35
-    )
-    return streamed(alerts).select(text("start"), text("end"), "total", "malicious", "rate")
+    path = counted(spark, folder, DAY // 4)
+    alerts = read_alerts(spark, path, seconds=DAY, slide=DAY // 4, threshold=0.35)
+    return alerts.select(text("start"), text("end"), "total", "malicious", "rate")
 
 
 # Features and models
@@ -577,21 +621,21 @@ def _slots(vector: str, n: int) -> list[Column]:
 
 @query
 def mlf3_one_hot(spark, folder):
-    rows = C.labelled(spread_featured(spark, folder))
+    rows = C.labelled(featured(spark, folder))
     encoded = M.fit_encoding(rows).transform(rows)
     return encoded.select("uid", *_slots("proto_vec", 3), *_slots("conn_state_vec", 3))
 
 
 @query
 def mlf4_assembled(spark, folder):
-    rows = C.labelled(spread_featured(spark, folder))
+    rows = C.labelled(featured(spark, folder))
     assembled = M.assembler().transform(M.fit_encoding(rows).transform(rows))
     return assembled.select("uid", *_slots("features_raw", 15))
 
 
 @query
 def mlf5_scaled(spark, folder):
-    rows = C.labelled(spread_featured(spark, folder))
+    rows = C.labelled(featured(spark, folder))
     scaled = M.fit_features(rows).transform(rows).select("uid", *_slots("features", 15))
     return rounded(scaled, *scaled.columns[1:])
 
@@ -599,7 +643,7 @@ def mlf5_scaled(spark, folder):
 @query
 def mlf6_stages_equal_steps(spark, folder):
     """One pipeline, and encoding followed by assembly and scaling, give the same vectors."""
-    rows = C.labelled(spread_featured(spark, folder))
+    rows = C.labelled(featured(spark, folder))
     whole = M.fit_features(rows).transform(rows)
     assembled = M.assembler().transform(M.fit_encoding(rows).transform(rows))
     steps = M.scaler().fit(assembled).transform(assembled)
@@ -637,10 +681,17 @@ def mlm4_accuracy_and_f1(spark, folder):
 
 @query
 def mlm5_evaluators(spark, folder):
-    """Evaluators on the test part; rows only, as the values depend on the fitted model."""
-    model = trained(spark, folder)
-    values = T.evaluate(model.bundle, model.test)
-    return spark.createDataFrame(sorted(values.items()), "metric string, value double")
+    """The evaluators over fixed predictions, with the byte count modulo 997 as the score."""
+    rows = predictions(spark, folder).where("predicted_label <> 'Unknown'")
+    score = F.pmod(F.col("total_bytes"), F.lit(997)).cast("double")
+    index = lambda c: (F.col(c) == "Malicious").cast("double")
+    scored = rows.select(
+        index("label").alias(M.LABEL_INDEX), index("predicted_label").alias("prediction"),
+        array_to_vector(F.array(-score, score)).alias("rawPrediction"),
+    )
+    values = T.judged(scored, binary=True)
+    rows = [(k, round(v, 6)) for k, v in sorted(values.items())]
+    return spark.createDataFrame(rows, "metric string, value double")
 
 
 @query
@@ -665,8 +716,15 @@ def mlm7_class_weights(spark, folder):
 
 @query
 def mlm8_importances(spark, folder):
-    """Importance per feature; rows only."""
-    return T.importance_table(trained(spark, folder, "forest").bundle, spark)
+    """Names of the features; no importance is negative, their sum is 1, and the connection state
+    or the port, from which labels follow, has the largest."""
+    rows = T.importance_table(trained(spark, folder, "forest").bundle, spark)
+    facts = rows.agg(
+        (F.min("importance") >= 0).alias("none_negative"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sum_is_one"),
+        F.max_by("feature", "importance").rlike("^(conn_state=|resp_port)").alias("top_explains"),
+    )
+    return rows.select("feature").join(F.broadcast(facts))
 
 
 # Scoring, streams and sinks
@@ -674,25 +732,26 @@ def mlm8_importances(spark, folder):
 
 @query
 def sco1_features_on_stream(spark, folder):
-    """The fitted feature pipeline on a stream; zero one-hot vectors do not occur."""
+    """The feature pipeline, fitted on the training part, on a stream: its first scaled slots."""
     features = trained(spark, folder).bundle.features
     messages = stream_topic(spark, path=message_topic(spark, folder))
     rows = features.transform(C.add_features(C.clean(decode(messages))))
-    width = F.size(vector_to_array("features")).alias("width")
-    return streamed(rows.select(F.col("uid").cast("long").alias("uid"), "resp_port", width))
+    slots = streamed(rows.select(F.col("uid").cast("long").alias("uid"), *_slots("features", 15)))
+    return rounded(slots, *slots.columns[1:])
 
 
 @query
 def sco2_scored_flows(spark, folder):
+    """Flows that lack a port are given too, without a prediction and with the reason."""
     model = trained(spark, folder).bundle
-    return checked(score_flows(spread_flows(spark, folder), model), model)
+    return checked(score_flows(sparse_flows(spark, folder), model), model, "reason")
 
 
 @query
 def sco3_decoded_labels(spark, folder):
     """The learned order of labels is by frequency, so the decoding follows the data."""
     model = trained(spark, folder).bundle
-    scored = score_flows(spread_flows(spark, folder), model)
+    scored = score_flows(flows(spark, folder), model)
     pairs = D.distinct_pairs(scored, "prediction", "predicted_label")
     return pairs.withColumnRenamed("predicted_label", "label")
 
@@ -718,9 +777,14 @@ def str1_stream_scoring(spark, folder):
 @query
 def str2_str6_batch_progress(spark, folder):
     """Rows over all micro-batches of a rate-limited scoring stream."""
-    _, _, run = _scoring(spark, folder, files=3)
-    progress = progress_table(run, spark)
-    return progress.where("inputRows > 0").agg(
+    log = ProgressLog(spark, fresh_path(spark, "progress"), every=2)
+    spark.streams.addListener(log)
+    try:
+        _, _, run = _scoring(spark, folder, files=3)
+        log.wait(run)
+    finally:
+        spark.streams.removeListener(log)
+    return log.table().where("inputRows > 0").agg(
         F.sum("inputRows").alias("rows"), F.count("*").alias("batches")
     )
 
@@ -731,6 +795,21 @@ def str3_repartitioned_stream(spark, folder):
     return streamed(decode(messages, fields=["uid", "conn_state"]))
 
 
+@query
+def str4_empty_batch(spark, folder):
+    """A stream whose second file has no message: that batch writes nothing, the others all."""
+    model = trained(spark, folder).bundle
+    path = message_topic(spark, folder)
+    write_topic(spark.createDataFrame([], "value string"), path=path)
+    output, offsets = fresh_path(spark, "scored"), fresh_path(spark, "offsets")
+    for _ in range(2):
+        start_scoring(
+            stream_topic(spark, path=path, per_trigger=1), model, output,
+            fresh_path(spark, "quarantine"), offsets, available_now=True,
+        ).awaitTermination()
+    return spark.read.parquet(output).select(F.col("uid").cast("long").alias("uid"), "label")
+
+
 @query
 def str5_batch_written_twice(spark, folder):
     rows = predictions(spark, folder).withColumns(
@@ -746,16 +825,22 @@ def str5_batch_written_twice(spark, folder):
 @query
 def snk2_memory_table(spark, folder):
     model = trained(spark, folder).bundle
-    messages = stream_topic(spark, path=message_topic(spark, folder))
-    counts = score_messages(messages, model).groupBy("predicted_label").count()
+    path = fresh_path(spark, "topic")
+    write_topic(encode(sparse_flows(spark, folder)), path=path)
+    scored = score_messages(stream_topic(spark, path=path), model)
+    counts = scored.groupBy("label", "reason", "predicted_label").count()
     start_memory(counts, "scored_counts", "complete").awaitTermination()
-    return spark.table("scored_counts").agg(F.sum("count").alias("rows"))
+    right = F.sum(F.when(F.col("predicted_label") == F.col("label"), F.col("count")))
+    good = F.coalesce(F.col("reason").isNotNull() | F.col("label").isNull() | (right >= RIGHT * F.sum("count")), F.lit(False))
+    return spark.table("scored_counts").groupBy("label", "reason").agg(
+        F.sum("count").alias("rows"), good.alias("class_recalled")
+    )
 
 
 @query
 def snk3_snapshot(spark, folder):
     path = fresh_path(spark, "snapshot")
-    rows = newest(predictions(spark, folder), REPORT_ROWS)
+    rows = predictions(spark, folder)
     rows = rows.withColumn("probability", F.array(F.lit(0.25), F.lit(0.75)))
     columns = ["uid", "probability", "predicted_label"]
     write_snapshot(rows.select(*columns), path)
@@ -767,10 +852,12 @@ def snk3_snapshot(spark, folder):
 @query
 def snk4_offline_scoring(spark, folder):
     path = fresh_path(spark, "delimited")
-    write_delimited(spread_flows(spark, folder), path)
+    write_delimited(sparse_flows(spark, folder), path)
     model = trained(spark, folder).bundle
     counts = count_predictions(score_flows(read_delimited(spark, path), model))
-    return counts.agg(F.sum("count").alias("scored"))
+    return counts.groupBy(F.col("prediction").isNotNull().alias("scored")).agg(
+        F.sum("count").alias("rows")
+    )
 
 
 @query

@@ -56,19 +56,6 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a table that is read by few tasks to all cores, by hash of ``keys``.
-
-    Only for costly work on each row, as fitting and scoring. A table with at least one input
-    split per core, thus any large one, is left as it is and not shuffled. ``df`` should be a
-    scan, perhaps with projections: to know the splits of a shuffled table, Spark would run it.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 

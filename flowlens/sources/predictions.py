@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowlens.functions.values import label_of
-from flowlens.operators.ranking import GROUPS, first_rows
 
 # Time fields in the order in which they are looked for.
 SORT_FIELDS = ["processing_time", "timestamp", "original_ts"]
@@ -20,34 +19,38 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def newest(df: DataFrame, n: int = REPORT_ROWS, seconds: int = 60) -> DataFrame:
+def newest(df: DataFrame, n: int | None = None, seconds: int = 60) -> DataFrame:
     """The n newest predictions by the first time field present; any n without such a field.
 
-    Ties go by ``uid``; predictions without a time come last.
+    Ties go by ``uid``; predictions without a time come last. Without n, all. Runs a job that
+    counts predictions per time bucket; the filter that follows from it reaches the scan, and only
+    the rows of the newest buckets are sorted.
     """
+    if n is None:
+        return df
     field = next((f for f in SORT_FIELDS if f in df.columns), None)
     if field is None:
         return df.limit(n)
     order = [F.desc(field), *([F.asc("uid")] if "uid" in df.columns else [])]
     if df.schema[field].dataType.typeName() == "timestamp":
-        start, rows = _start_of_newest(df, field, n, seconds)
-        if start is not None:
-            df = df.where(F.col(field) >= F.timestamp_seconds(F.lit(start)))
-            if rows <= GROUPS * n:
-                return df.orderBy(*order).limit(n)
-    return first_rows(df, n, order)
-
-
-def _start_of_newest(
-    df: DataFrame, field: str, n: int, seconds: int
-) -> tuple[int | None, int | None]:
-    """Epoch second from which on there are n rows, and their number; None if there are fewer.
-
-    Counts per time bucket, from one scan of the time column. At most the newest n buckets
-    matter, as each holds a row. A filter on the result lets the next scan skip older
-    partitions, files and row groups.
+        start = _start_of_newest(df, F.unix_seconds(F.col(field)), n, seconds)
+        begin = F.timestamp_seconds(F.lit(start))
+    elif df.schema[field].dataType.typeName() in ("double", "float", "long", "integer"):
+        start = _start_of_newest(df, F.col(field), n, seconds)
+        begin = F.lit(start).cast("double")
+    else:
+        start = None
+    if start is not None:
+        df = df.where(F.col(field) >= begin)
+    return df.orderBy(*order).limit(n)
+
+
+def _start_of_newest(df: DataFrame, time: Column, n: int, seconds: int) -> int | None:
+    """Epoch second from which on there are n rows; None if there are fewer.
+
+    From one scan of the time column. At most the newest n buckets matter, as each holds a row.
     """
-    bucket = F.floor(F.unix_seconds(F.col(field)) / seconds)
+    bucket = F.floor(time / seconds)
     counts = (
         df.select(bucket.alias("bucket"))
         .where(F.col("bucket").isNotNull())
@@ -58,9 +61,7 @@ def _start_of_newest(
     )
     newer = F.sum("rows").over(Window.orderBy(F.desc("bucket")))
     enough = counts.withColumn("newer", newer).where(F.col("newer") >= n)
-    start = F.max("bucket") * seconds
-    found = enough.agg(start.alias("start"), F.min("newer").alias("rows")).first()
-    return found["start"], found["rows"]
+    return enough.agg((F.max("bucket") * seconds).alias("start")).first()["start"]
 
 
 def _as_time(df: DataFrame, field: str) -> Column:

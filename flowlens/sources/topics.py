@@ -19,6 +19,11 @@ def _kafka_options(servers: str | None, topic: str | None) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "subscribe": topic}
 
 
+def _only_earliest(starting: str) -> None:
+    if starting != "earliest":
+        raise ValueError("a folder of files has no offsets; for later files, give modifiedAfter")
+
+
 def read_topic(
     spark: SparkSession,
     path: str | None = None,
@@ -27,8 +32,9 @@ def read_topic(
     starting: str = "earliest",
     **options: str,
 ) -> DataFrame:
-    """All messages from ``starting`` to now."""
+    """All messages from ``starting`` to now; a folder is always read from its first file."""
     if path:
+        _only_earliest(starting)
         return spark.read.options(**options).text(path)
     reader = spark.read.format("kafka").options(**_kafka_options(servers, topic), **options)
     return reader.option("startingOffsets", starting).load()
@@ -39,24 +45,26 @@ def stream_topic(
     path: str | None = None,
     servers: str | None = None,
     topic: str | None = None,
-    starting: str = "latest",
+    starting: str | None = None,
     per_trigger: int | None = None,
     partitions: int | None = None,
     **options: str,
 ) -> DataFrame:
     """Messages as they arrive.
 
-    ``per_trigger`` limits a micro-batch, to that many offsets or files. ``partitions`` asks
+    ``starting`` is where a new query begins: by default at the latest offset of a Kafka topic, and
+    at the first file of a folder, which knows no other start. ``per_trigger`` limits a micro-batch, to that many offsets or files. ``partitions`` asks
     Kafka for at least that many input splits, which costs no shuffle; files are repartitioned.
     """
     if path:
+        _only_earliest(starting or "earliest")
         reader = spark.readStream.format("text").options(**options)
         if per_trigger:
             reader = reader.option("maxFilesPerTrigger", per_trigger)
         stream = reader.load(path)
         return stream.repartition(partitions) if partitions else stream
     reader = spark.readStream.format("kafka").options(**_kafka_options(servers, topic), **options)
-    reader = reader.option("startingOffsets", starting)
+    reader = reader.option("startingOffsets", starting or "latest")
     if per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", per_trigger)
     if partitions:

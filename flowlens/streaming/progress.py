@@ -2,34 +2,50 @@
 
 from __future__ import annotations
 
+import threading
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 SCHEMA = (
-    "batchId long, inputRows long, procTimeMs long, "
-    "inputRowsPerSecond double, processedRowsPerSecond double"
+    "queryId string, batchId long, inputRows long, procTimeMs long, "
+    "inputRowsPerSecond double, processedRowsPerSecond double, droppedByWatermark long"
 )
 METRICS = ["inputRows", "procTimeMs", "inputRowsPerSecond", "processedRowsPerSecond"]
 
 
 class ProgressLog(StreamingQueryListener):
-    """Collects every batch's progress as it ends; a batch is kept once, by its last report."""
+    """Keeps every batch's progress in a table below ``path``, whatever Spark itself remembers.
+
+    Batches are written ``every`` so many, and the rest when a table is asked for, so the driver
+    holds few of them. A batch that is run again after a failure counts by its last report.
+    """
 
-    def __init__(self) -> None:
+    def __init__(self, spark: SparkSession, path: str, every: int = 100) -> None:
+        self.spark, self.path, self.every = spark, path, every
         self.batches: dict[tuple[str, int], tuple] = {}
+        self.seen: dict[str, int] = {}
+        self.lock = threading.Lock()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self.batches[(str(p.id), p.batchId)] = (
-            p.batchId,
-            p.numInputRows,
-            p.durationMs.get("addBatch"),
-            p.inputRowsPerSecond,
-            p.processedRowsPerSecond,
-        )
+        with self.lock:
+            self.batches[(str(p.id), p.batchId)] = (
+                str(p.id),
+                p.batchId,
+                p.numInputRows,
+                p.durationMs.get("addBatch"),
+                p.inputRowsPerSecond,
+                p.processedRowsPerSecond,
+                sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+            )
+            self.seen[str(p.id)] = p.batchId
+            if len(self.batches) >= self.every:
+                self._flush()
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -37,33 +53,25 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         pass
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([self.batches[k] for k in sorted(self.batches)], SCHEMA)
-
-    def flush(self, spark: SparkSession, path: str) -> None:
-        """Append what was collected to a table and forget it, for streams that run for long."""
-        done = list(self.batches)
-        rows = [self.batches[k] for k in done]
-        if rows:
-            spark.createDataFrame(rows, SCHEMA).write.mode("append").parquet(path)
-        for k in done:
-            del self.batches[k]
-
-
-def progress_table(query: StreamingQuery, spark: SparkSession) -> DataFrame:
-    """The progress a query still remembers (its last hundred batches by default)."""
-    batches = {
-        p["batchId"]: (
-            p["batchId"],
-            p["numInputRows"],
-            p["durationMs"].get("addBatch"),
-            _number(p["inputRowsPerSecond"]),
-            _number(p["processedRowsPerSecond"]),
-        )
-        for p in query.recentProgress
-    }
-    return spark.createDataFrame([batches[k] for k in sorted(batches)], SCHEMA)
-
-
-def _number(value) -> float | None:
-    return None if value is None else float(value)
+    def _flush(self) -> None:
+        if self.batches:
+            rows = self.spark.createDataFrame(list(self.batches.values()), SCHEMA)
+            rows.coalesce(1).write.mode("append").parquet(self.path)
+            self.batches.clear()
+
+    def wait(self, query: StreamingQuery, seconds: float = 30.0) -> None:
+        """Until the last batch of a query that has ended is reported; reports come a bit later."""
+        last = query.lastProgress
+        end = time.monotonic() + seconds
+        while last and self.seen.get(str(query.id), -1) < last["batchId"]:
+            if time.monotonic() > end:
+                raise TimeoutError("the listener has not heard of the last batch")
+            time.sleep(0.05)
+
+    def table(self) -> DataFrame:
+        """All batches so far, each once."""
+        with self.lock:
+            self._flush()
+        if not self.seen:
+            return self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).parquet(self.path).dropDuplicates(["queryId", "batchId"])

@@ -14,7 +14,6 @@ from flowlens.operators import cleaning as C
 from flowlens.operators import distributions as D
 from flowlens.operators import signatures as S
 from flowlens.operators import timeline as L
-from flowlens.operators.ranking import first_rows
 from flowlens.sources.predictions import newest
 
 TEXTS = ["-", "0", "7", "12.7", "1e3", "", " 5", "x", None, "NaN", "9999999999999999999", "-3", '"NaN"']
@@ -155,26 +154,6 @@ def test_timeline_alert_and_newest(make_predictions, seed):
     assert newest(df, len(rows)).count() == len(rows)
 
 
-@pytest.mark.parametrize("groups", [1, 3, 64])
-def test_first_rows_with_a_hot_value(spark, groups):
-    rng = random.Random(groups)
-    rows = [(i, 7 if rng.random() < 0.5 else rng.randrange(100)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "uid long, t long").repartition(16)
-    order = [F.desc("t"), F.asc("uid")]
-    expected = sorted(rows, key=lambda r: (-r[1], r[0]))
-    for n in (1, 700, 2000, 5000):
-        found = [tuple(r) for r in first_rows(df, n, order, groups).collect()]
-        assert found == expected[:n]
-
-
-def test_first_rows_sends_few_rows_to_the_last_task(spark):
-    df = spark.range(0, 200_000, numPartitions=50).withColumn("t", F.col("id") % 3)
-    plan = first_rows(df, 100, [F.desc("t"), F.desc("id")])._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("monotonically_increasing_id") == 2
-    assert plan.count("Sort [") == 2
-    assert "TakeOrderedAndProject" in plan
-
-
 def test_newest_when_one_minute_holds_most_rows(spark):
     df = spark.range(0, 5000, numPartitions=8).select(
         F.format_string("u%05d", "id").alias("uid"),
@@ -184,3 +163,6 @@ def test_newest_when_one_minute_holds_most_rows(spark):
     expected = sorted(times, key=lambda u: (-times[u], u))
     for n in (3, 40, 3990, 4010):
         assert [r.uid for r in newest(df, n).collect()] == expected[:n]
+        epoch = df.select("uid", F.unix_seconds("timestamp").cast("double").alias("original_ts"))
+        assert [r.uid for r in newest(epoch, n).collect()] == expected[:n]
+    assert newest(df).count() == 5000

@@ -24,8 +24,7 @@ def connection():
 
 def test_contract(spark):
     assert contract.oracle_sql().keys() <= contract.queries().keys()
-    rows_only = QUERIES.keys() - contract.oracle_sql().keys()
-    assert rows_only == {"mlm5_evaluators", "mlm8_importances"}
+    assert QUERIES.keys() <= contract.oracle_sql().keys()
     result = contract.entry(spark)
     assert result.columns == ["resp_port", "proto", "malicious_count", "benign_count", "risk_ratio"]
     assert result.count() > 0
@@ -42,16 +41,7 @@ def test_no_python_rows_and_no_cross_joins():
         r"crossJoin|\.rdd\b|toPandas|localCheckpoint|\bpandas_udf|\budf\(|applyInPandas|mapInPandas"
     )
     for file in (ROOT / "flowlens").rglob("*.py"):
-        text = file.read_text().replace(".rdd.getNumPartitions()", "")
-        assert not banned.search(text), file
-
-
-def test_only_small_tables_are_spread(spark):
-    small = spark.read.parquet(f"{SMALL}/events.parquet")
-    plan = session.spread(small, "event_id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "RepartitionByExpression" in plan
-    many = spark.range(0, 1000, numPartitions=64)
-    assert session.spread(many, "id") is many
+        assert not banned.search(file.read_text()), file
 
 
 def test_shared_folder_is_the_clusters(spark):

@@ -12,7 +12,7 @@ from flowlens.operators import signatures as S
 from flowlens.sources.files import read_event_flows
 from flowlens.sources.topics import encode, stream_topic, write_topic
 from flowlens.streaming import sinks
-from flowlens.streaming.progress import METRICS, ProgressLog, progress_table
+from flowlens.streaming.progress import METRICS, ProgressLog
 from flowlens.streaming.scorer import score_messages, start_scoring
 from flowlens.streaming.windows import alerts_per_window, counts_per_window
 from flowlens.operators.distributions import describe
@@ -148,24 +148,45 @@ def test_rules_on_a_stream(spark, make_flows, places):
 
 
 def test_progress(spark, flows, bundle, places):
-    log = ProgressLog()
+    """Every batch is kept, also when Spark remembers two and the log writes after each."""
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    log = ProgressLog(spark, places["output"] + "-progress", every=1)
     spark.streams.addListener(log)
     try:
-        write_topic(encode(flows).repartition(3), path=places["topic"])
+        write_topic(encode(flows).repartition(5), path=places["topic"])
         query = run(spark, bundle, places, per_trigger=1)
-        table = progress_table(query, spark)
-        assert table.where("inputRows > 0").count() == 3
-        assert table.agg(F.sum("inputRows")).first()[0] == 1000
-        assert {r.statistic for r in describe(table, METRICS).collect()} >= {"mean", "50%", "max"}
+        log.wait(query)
     finally:
-        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
         spark.streams.removeListener(log)
-    mine = log.table(spark).where("inputRows > 0")
-    assert mine.count() == 3
-    path = places["output"] + "-progress"
-    log.flush(spark, path)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
+    table = log.table()
+    assert table.where("inputRows > 0").count() == 5
+    assert table.agg(F.sum("inputRows")).first()[0] == 1000
+    assert {r.statistic for r in describe(table, METRICS).collect()} >= {"mean", "50%", "max"}
     assert not log.batches
-    assert spark.read.parquet(path).agg(F.sum("inputRows")).first()[0] == 1000
+
+
+def test_partial_counts_are_complete(spark, tmp_path):
+    """Rows of all batches count, in any order of time, and a batch run again counts once."""
+    from flowlens.streaming.windows import read_alerts, read_counts, start_counts
+
+    files = [
+        [("2024-05-01 10:00:30", "Malicious")] * 12, [("2024-05-01 08:00:10", "Benign"), (None, "Benign")],
+        [("2024-05-01 10:00:59", "Benign")], [("2024-05-01 09:00:00", "Malicious")] * 3,
+    ]
+    stream = predictions(spark, str(tmp_path / "in"), *files)
+    path = str(tmp_path / "counts")
+    for _ in range(2):
+        start_counts(stream, path, str(tmp_path / "offsets"), seconds=10).awaitTermination()
+    found = {(str(r.start), r.predicted_label): r["count"] for r in read_counts(spark, path).collect()}
+    assert found == {
+        ("2024-05-01 10:00:30", "Malicious"): 12, ("2024-05-01 08:00:10", "Benign"): 1,
+        ("2024-05-01 10:00:50", "Benign"): 1, ("2024-05-01 09:00:00", "Malicious"): 3,
+    }
+    alerts = {str(r.start): (r.total, r.malicious) for r in read_alerts(spark, path).collect()}
+    starts = [f"2024-05-01 {t}" for t in ("09:59:40", "09:59:50", "10:00:00", "10:00:10", "10:00:20", "10:00:30")]
+    assert alerts == {t: (12 if t < "2024-05-01 10:00:00" else 13, 12) for t in starts}
 
 
 def predictions(spark, path, *files):
