@@ -32,6 +32,8 @@ from llm.common import CHUNK, PrefixHash, buckets, chunks, keyed, mix, raw
 WINDOW = 100
 ANCHOR = 32
 CROWD = 4096
+#: Suffixes sorted at a time; those of one string always together.
+BLOCK = 200_000
 _SPREAD = WINDOW - ANCHOR + 1
 _POSITION = np.uint64((1 << 26) - 1)
 _LOW48 = np.uint64((1 << 48) - 1)
@@ -69,7 +71,7 @@ def _groups(key: np.ndarray, count: int) -> list[tuple[int, np.ndarray]]:
 
 
 def _slices(batches):
-    """(keys, bytes, offsets, first byte) of about 4 MB; a longer text comes in several, which
+    """(keys, bytes, offsets, first byte) of about 2 MB; a longer text comes in several, which
     overlap by one byte less than a window, so that each window is in one of them."""
     for batch in chunks(batches):
         keys = batch.column("key").to_numpy().astype(np.uint64)
@@ -222,7 +224,9 @@ def _with_text(count: int):
             many = crowd == 1
             windows = _cut_out(at[many], size[many])
             of = np.repeat(np.flatnonzero(many), size[many])
-            own = PrefixHash(data).spans(windows, windows + WINDOW)
+            lengths = size[many] + WINDOW - 1
+            own = PrefixHash(data[_cut_out(at[many], lengths)]).windows(WINDOW)
+            own = own[_cut_out(np.cumsum(lengths) - lengths, size[many])]
             few = ~many
             key = np.concatenate([key[few], key[of]])
             start = np.concatenate([start[few], start[of] + windows - at[of]])
@@ -352,16 +356,32 @@ def repeated_windows(data, at, size, place, string, key, start):
 
 def _compare(groups: int):
     def run(table: pa.Table) -> pa.Table:
-        key, start, size, place, string = _unpack(table.column("blob").to_pylist(), *_FRAGMENT)
-        size, place = size.astype(np.int64), place.astype(np.int64)
-        start = start.astype(np.int64)
-        data = np.frombuffer(
-            b"".join(zstandard.decompress(x) for x in table.column("text").to_pylist()), np.uint8
-        )
-        lengths = size + WINDOW - 1
-        key, window = repeated_windows(
-            data, np.cumsum(lengths) - lengths, size, place, string, key, start
-        )
+        blobs, texts = table.column("blob").to_pylist(), table.column("text").to_pylist()
+        key, start, size, place, string = _unpack(blobs, *_FRAGMENT)
+        data = np.frombuffer(b"".join(zstandard.decompress(x) for x in texts), np.uint8)
+        size, place, start = (x.astype(np.int64) for x in (size, place, start))
+        at = np.cumsum(size + WINDOW - 1) - (size + WINDOW - 1)
+        order = np.argsort(string, kind="stable")
+        new = np.flatnonzero(np.append(True, string[order][1:] != string[order][:-1])[: len(order)])
+        done = np.cumsum(size[order])
+        found = []
+        first = 0
+        while first < len(order):
+            before = done[first - 1] if first else 0
+            after = np.append(new[new > first], len(order))
+            fits = after[done[after - 1] - before <= BLOCK]
+            last = int(fits[-1] if len(fits) else after[0])
+            i = order[first:last]
+            lengths = size[i] + WINDOW - 1
+            text = data[_cut_out(at[i], lengths)]
+            found.append(
+                repeated_windows(
+                    text, np.cumsum(lengths) - lengths, size[i], place[i], string[i], key[i], start[i]
+                )
+            )
+            first = last
+        key = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in found)])
+        window = np.concatenate([np.zeros(0, np.int64), *(w for _, w in found)])
         order = np.lexsort((window, key))
         key, window = key[order], window[order]
         new = np.ones(len(key), bool)
@@ -387,7 +407,7 @@ def _removed(with_text: bool):
         change = np.zeros(len(data) + 1, np.int32)
         np.add.at(change, at, 1)
         np.add.at(change, at + count.astype(np.int64) + WINDOW - 1, -1)
-        gone = np.cumsum(change[:-1]) > 0
+        gone = np.cumsum(change[:-1], dtype=np.int32) > 0
         first = np.zeros(len(data) + 1, bool)
         first[offsets] = True
         begins = gone.copy()
@@ -427,7 +447,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     return strip(keyed(docs), with_text)
 
 
-def strip(docs: DataFrame, with_text: bool = False, group_bytes: int = 16 << 20) -> DataFrame:
+def strip(docs: DataFrame, with_text: bool = False, group_bytes: int = 8 << 20) -> DataFrame:
     """``remove_repeats`` of documents that have their keys (key, doc_id, text).
 
     A document is held whole by one task at the end, and with others up to about ``group_bytes``.
