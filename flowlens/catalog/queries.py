@@ -818,7 +818,7 @@ def str5_batch_written_twice(spark, folder):
     path = fresh_path(spark, "scored")
     for batch_id in (0, 1, 0):
         part = stored_columns(rows.where(F.col("uid") % 2 == batch_id), batch_id)
-        write_batch(part, path, Batch("query", batch_id, "2024-01-31"))
+        write_batch(part, path, Batch("query", batch_id))
     return spark.read.parquet(path).select("uid", "batch_id", "predicted_label")
 
 

@@ -51,12 +51,11 @@ def start_scoring(
             found = rows.agg(
                 F.count("*").alias("all"),
                 F.count_if(~usable).alias("unfit"),
-                F.to_date(F.max("timestamp")).cast("string").alias("day"),
             ).first()
             if found["all"] == 0:
                 return
             context = rows.sparkSession.sparkContext
-            batch = Batch(context.getLocalProperty("sql.streaming.queryId"), batch_id, found["day"])
+            batch = Batch(context.getLocalProperty("sql.streaming.queryId"), batch_id)
             if found["all"] > found["unfit"]:
                 scored = bundle.score(rows.where(usable))
                 write(stored_columns(scored, batch_id), output, batch)

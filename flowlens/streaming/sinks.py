@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -37,22 +37,35 @@ class Batch:
     """A micro-batch: the same input always has the same folder below a table's path.
 
     The query's id is part of it, as a new checkpoint starts a new query whose batches count
-    from 0 again. The day is that of the newest flow in the batch, for partition pruning.
+    from 0 again.
     """
 
     query_id: str
     batch_id: int
-    day: str | None
 
     @property
-    def folder(self) -> str:
-        day = self.day or "__HIVE_DEFAULT_PARTITION__"
-        return f"batch_day={day}/write_key={self.query_id}-{self.batch_id}"
+    def key(self) -> str:
+        return f"{self.query_id}-{self.batch_id}"
 
 
 def write_batch(df: DataFrame, path: str, batch: Batch) -> None:
-    """Write a micro-batch to its folder, replacing what an earlier try left there."""
-    df.write.mode("overwrite").parquet(f"{path}/{batch.folder}")
+    """Write a micro-batch to its folder, replacing what an earlier try left there on any day.
+
+    Below it rows lie under the day of their own ``timestamp``, ``event_day``, so that a reader of
+    one day gets exactly its rows.
+    """
+    dated = df.withColumn("event_day", F.to_date("timestamp"))
+    dated.write.mode("overwrite").partitionBy("event_day").parquet(f"{path}/write_key={batch.key}")
+
+
+def compact_day(spark: SparkSession, path: str, archive: str, day: str) -> None:
+    """Put a closed day's rows of all batches into few files: ``archive/event_day=day``.
+
+    Run again, also after a batch was repeated, it replaces the day. Readers take closed days from
+    the archive; what they hold below ``path`` may be removed by age.
+    """
+    rows = spark.read.parquet(path).where(F.col("event_day") == F.to_date(F.lit(day)))
+    rows.drop("event_day").hint("rebalance").write.mode("overwrite").parquet(f"{archive}/event_day={day}")
 
 
 BatchWriter = Callable[[DataFrame, str, Batch], None]
@@ -62,7 +75,8 @@ def document_writer(uri: str, database: str, collection: str) -> BatchWriter:
     """A batch writer for a MongoDB collection, which needs Spark's MongoDB connector.
 
     Executors write their own rows. A document is replaced by one with the same id, so a batch
-    that is run again adds nothing twice.
+    that is run again adds nothing twice. The id is the flow's, or without one made of the query,
+    the batch and the row.
     """
     options = {
         "connection.uri": uri,
@@ -70,11 +84,14 @@ def document_writer(uri: str, database: str, collection: str) -> BatchWriter:
         "collection": collection,
         "operationType": "replace",
         "upsertDocument": "true",
-        "idFieldList": "uid",
+        "idFieldList": "_id",
     }
 
     def write(df: DataFrame, path: str, batch: Batch) -> None:
-        df.write.format("mongodb").mode("append").options(**options).save()
+        row = F.to_json(F.struct(*(c for c in df.columns if c != "processing_time")))
+        own = F.sha2(F.concat_ws("|", F.lit(batch.key), row), 256)
+        named = df.withColumn("_id", F.coalesce(F.col("uid").cast("string"), own))
+        named.write.format("mongodb").mode("append").options(**options).save()
 
     return write
 

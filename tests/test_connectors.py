@@ -30,9 +30,4 @@ def test_kafka_sink(spark, make_flows):
 def test_document_sink(spark, make_flows):
     write = document_writer("mongodb://host", "flows", "predictions")
     with pytest.raises(Exception, match="(?i)mongodb"):
-        write(make_flows({}), "unused", Batch("q", 0, None))
-
-
-def test_batch_folders():
-    assert Batch("q", 3, "2024-01-31").folder == "batch_day=2024-01-31/write_key=q-3"
-    assert Batch("q", 3, None).folder == "batch_day=__HIVE_DEFAULT_PARTITION__/write_key=q-3"
+        write(make_flows({}), "unused", Batch("q", 0))

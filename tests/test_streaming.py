@@ -94,6 +94,29 @@ def test_batch_run_again_adds_nothing(spark, flows, bundle, places):
     assert stored.count() == stored.select("uid").distinct().count() == 1000
 
 
+def test_rows_lie_under_their_own_day(spark, tmp_path):
+    """Three days and one wild time in a batch; a replay with other times leaves none behind."""
+    path, archive = str(tmp_path / "table"), str(tmp_path / "archive")
+    batch = sinks.Batch("q", 0)
+
+    def write(*days):
+        rows = [(f"u{k}", f"{d} 10:00:00" if d else None) for k, d in enumerate(days)]
+        df = spark.createDataFrame(rows, "uid string, t string")
+        sinks.write_batch(df.select("uid", F.col("t").cast("timestamp").alias("timestamp")), path, batch)
+
+    def day(d, where=path):
+        return sorted(r.uid for r in spark.read.parquet(where).where(F.col("event_day") == d).collect())
+
+    write("2024-05-01", "2024-05-02", "2024-05-03", "2199-01-01", "2024-05-02", None)
+    assert day("2024-05-02") == ["u1", "u4"] and day("2199-01-01") == ["u3"]
+    sinks.compact_day(spark, path, archive, "2024-05-02")
+    assert day("2024-05-02", archive) == ["u1", "u4"]
+    write("2024-05-01", "2024-05-02", "2024-05-03", "2024-05-03", "2024-05-02", None)
+    assert day("2199-01-01") == [] and spark.read.parquet(path).count() == 6
+    sinks.compact_day(spark, path, archive, "2024-05-02")
+    assert day("2024-05-02", archive) == ["u1", "u4"]
+
+
 def test_new_checkpoint_does_not_replace_old_batches(spark, make_flows, bundle, places):
     write_topic(encode(make_flows({})), path=places["topic"])
     run(spark, bundle, places)
