@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import functions as F
@@ -98,6 +99,7 @@ def main() -> None:
         spark__ui__enabled="false",
         spark__driver__memory="8g",
         spark__log__level="ERROR",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),  # one machine, so it is shared
     )
     run_whole(QUERIES["sig1_port_signatures"](spark, folder))  # start-up is not measured
     seconds = {

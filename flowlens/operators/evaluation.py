@@ -31,6 +31,7 @@ def _hits(df: DataFrame, key: str, actual: str, predicted: str, total: str) -> D
 
 def recall_by_label(df: DataFrame, actual: str = ACTUAL, predicted: str = PREDICTED) -> DataFrame:
     """Share of each label's rows that were predicted as such."""
+    # The names of the result's columns, here and below.
     hits = _hits(df, actual, actual, predicted, "support")
     return hits.withColumn("recall", F.col("tp") / F.col("support")).orderBy(
         F.asc_nulls_first(actual)

@@ -52,6 +52,7 @@ def two_decimals(value: Column) -> Column:
 def rule_texts(signatures: DataFrame, k: int = 5) -> DataFrame:
     """Readable rules for the k riskiest signatures."""
     missing = F.lit("None")
+    # The rule's text.
     rule = F.concat(
         F.lit("IF dest_port == "),
         F.coalesce(F.col("resp_port").cast("string"), missing),

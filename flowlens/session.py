@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,8 +35,8 @@ def build_session(app: str = "flowlens", master: str | None = None, **extra: str
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``. Only where that is unset, and
-    only for a local master, a temporary folder takes its place.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Only where that is unset, a
+    folder in the session's warehouse takes its place, which executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -45,9 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="flowlens-"))
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    context.setCheckpointDir(f"{warehouse}/flowlens-shared")
     return context.getCheckpointDir().rstrip("/")
 
 

@@ -18,6 +18,7 @@ def counted(spark, *groups):
 
 
 def test_recorded_counts_give_recorded_ratios_and_rules(spark):
+    # Recorded counts, ratios and rule texts.
     flows = counted(
         spark,
         (59353, "tcp", "Malicious", 23295),
