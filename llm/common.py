@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,20 @@ pa.set_memory_pool(pa.system_memory_pool())
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
+def _importable(spark: SparkSession) -> None:
+    """Let Python workers find these modules where the driver did, whatever folder it runs in.
+
+    Where executors have no copy at that path, ship the packages with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parent.parent)
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
