@@ -2,7 +2,7 @@
 
 The probability of a word is that of its class after the class before it, times that of the word
 in its class. Words seen ``frequent`` times or more are clustered by exchange: a word moves to the
-class in which the likelihood of the class bigrams becomes largest. Rarer ones share a class with
+class in which the likelihood of the class bigrams becomes largest; the most frequent words begin as a class each. Rarer ones share a class with
 those of the same count (by powers of two), and words never seen are a share of the class of words
 seen once. The end of a text is a class of its own, and stands before its first word.
 
@@ -21,8 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.session import written
-from llm.common import buckets, chunks, joined, mix, packed, rows, words
+from flowlens.session import fresh_path, written
+from llm.common import buckets, chunks, each, grow, joined, mix, packed, rows, shrink, words
 
 CLASSES = 32
 FREQUENT = 32
@@ -39,6 +39,8 @@ _END = np.uint64(0x5EED0FE4D0F7E875)
 class Shape:
     classes: int = CLASSES
     frequent: int = FREQUENT
+    #: Hashes of the most frequent words, which begin as a class each.
+    seeds: tuple[int, ...] = ()
 
     @property
     def total(self) -> int:
@@ -48,15 +50,18 @@ class Shape:
     def end(self) -> int:
         return self.classes + _RARE
 
-    def start(self, names: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """The class before clustering: by hash for frequent words, by count for others."""
-        rare = np.floor(np.log2(np.maximum(count, 1))).astype(np.int64)
-        rare = self.classes + np.minimum(rare, _RARE - 1)
-        own = (mix(names) % np.uint64(self.classes)).astype(np.int64)
-        out = np.where(count >= self.frequent, own, rare)
-        out[names == _END] = self.end
+    def start(self, names: np.ndarray) -> np.ndarray:
+        """The class of frequent words before clustering: the seeds' own, or the last."""
+        out = np.full(len(names), self.classes - 1, np.uint8)
+        for k, seed in enumerate(self.seeds):
+            out[names == np.uint64(seed)] = k
         return out
 
+    def rare(self, counts: np.ndarray) -> np.ndarray:
+        """The class of other words, by count; words never seen are with those seen once."""
+        power = np.floor(np.log2(np.maximum(counts, 1))).astype(np.int64)
+        return (self.classes + np.minimum(power, _RARE - 1)).astype(np.uint8)
+
 
 _CHUNK = pa.schema(
     [
@@ -71,7 +76,7 @@ _KIND = (
 )
 
 
-def encoded(docs: DataFrame, chunk_bytes: int = 16 << 20) -> DataFrame:
+def encoded(docs: DataFrame, chunk_bytes: int = 12 << 20) -> DataFrame:
     """One row for each chunk: its distinct words with training counts, and texts as places.
 
     ``docs`` has doc_id, text and held_out.
@@ -91,7 +96,12 @@ def encoded(docs: DataFrame, chunk_bytes: int = 16 << 20) -> DataFrame:
             word = np.concatenate([*word, np.full(n, _END)])
             order = np.argsort(row, kind="stable")
             row, word = row[order], word[order]
-            names, place = np.unique(word, return_inverse=True)
+            names, place, times = np.unique(word, return_inverse=True, return_counts=True)
+            # Frequent words first: small numbers, which compress well.
+            order = np.argsort(-times, kind="stable")
+            rank = np.empty(len(names), np.int64)
+            rank[order] = np.arange(len(names))
+            names, place = names[order], rank[place]
             out = np.array(batch.column("held_out").to_pylist(), bool)
             counts = np.bincount(place[~out[row]], minlength=len(names))
             yield rows(
@@ -101,7 +111,7 @@ def encoded(docs: DataFrame, chunk_bytes: int = 16 << 20) -> DataFrame:
                         number, names.tobytes(), counts.astype(np.uint32).tobytes(),
                         batch.column("doc_id").to_pylist(), out.tobytes(),
                         np.bincount(row, minlength=n).astype(np.uint32).tobytes(),
-                        place.astype(np.uint32).tobytes(),
+                        shrink(place),
                     )
                 ],
             )
@@ -110,143 +120,263 @@ def encoded(docs: DataFrame, chunk_bytes: int = 16 << 20) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text", "held_out").mapInArrow(run, _KIND)
 
 
-def _by_bucket(count: int):
+def _bucket(names: np.ndarray, count: int) -> np.ndarray:
+    return (mix(names) % np.uint64(count)).astype(np.int64)
+
+
+def _dictionaries(count: int):
     """Chunk dictionaries dealt out by hash of the word."""
 
     def run(batches):
-        for batch in batches:
-            for chunk, names, counts in zip(
-                *(batch.column(c).to_pylist() for c in ("chunk", "names", "counts"))
-            ):
-                names, counts = np.frombuffer(names, np.uint64), np.frombuffer(counts, np.uint32)
-                bucket = (mix(names) % np.uint64(count)).astype(np.int64)
-                # Names are sorted in a chunk, so each bucket's part is too.
-                parts = list(packed(bucket, count, names, counts))
-                if parts:
-                    b, n, c = zip(*parts)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(b, pa.int32()), pa.array([chunk] * len(b), pa.int64()),
-                            pa.array(n, pa.binary()), pa.array(c, pa.binary()),
-                        ],
-                        ["bucket", "chunk", "names", "counts"],
-                    )
+        for row in each(batches):
+            names = np.frombuffer(row["names"], np.uint64)
+            counts = np.frombuffer(row["counts"], np.uint32)
+            parts = list(packed(_bucket(names, count), count, names, counts))
+            if parts:
+                b, n, c = zip(*parts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(b, pa.int32()), pa.array([row["chunk"]] * len(b), pa.int64()),
+                        pa.array(n, pa.binary()), pa.array(c, pa.binary()),
+                    ],
+                    ["bucket", "chunk", "names", "counts"],
+                )
 
     return run
 
 
-def _vocabulary(table: pa.Table) -> pa.Table:
-    """Of one bucket: the distinct words and their counts in all training texts."""
-    names = joined(table.column("names").to_pylist(), np.uint64)
-    counts = joined(table.column("counts").to_pylist(), np.uint32)
-    distinct, which = np.unique(names, return_inverse=True)
-    total = np.bincount(which, counts, len(distinct)).astype(np.int64)
-    return pa.table(
-        {
-            "bucket": table.column("bucket").slice(0, 1), "names": pa.array([distinct.tobytes()], pa.binary()),
-            "counts": pa.array([total.tobytes()], pa.binary()),
-            "n": pa.array([int(total.sum())]), "v": pa.array([int((total > 0).sum())]),
-        }
-    )
+def _wide(counts: np.ndarray) -> bytes:
+    """Counts of any size, compressed."""
+    counts = counts.astype(np.int64)
+    return shrink(counts & 0xFFFFFFFF, counts >> 32)
 
 
-def _answers(parts: DataFrame, vocabulary: DataFrame, shape: Shape) -> DataFrame:
-    """For each chunk and bucket: count and class of the words that it asked about."""
+def _narrow(blob: bytes) -> np.ndarray:
+    low, high = grow(blob, 2)
+    return low.astype(np.int64) | high.astype(np.int64) << 32
 
-    def run(asked: pa.Table, known: pa.Table) -> pa.Table:
-        names = joined(known.column("names").to_pylist(), np.uint64)
-        counts = joined(known.column("counts").to_pylist(), np.int64)
-        classes = joined(known.column("classes").to_pylist(), np.uint8)
-        out = []
-        for blob in asked.column("names").to_pylist():
-            place = np.searchsorted(names, np.frombuffer(blob, np.uint64))
-            out.append((counts[place].tobytes(), classes[place].tobytes()))
-        c, k = zip(*out) if out else ((), ())
+
+def _count(shape: Shape):
+    """Of one bucket: the counts of each chunk's words in all training texts, and (chunk null) the
+    frequent words with their counts."""
+
+    def run(table: pa.Table) -> pa.Table:
+        blobs = table.column("names").to_pylist()
+        names = joined(blobs, np.uint64)
+        counts = joined(table.column("counts").to_pylist(), np.uint32)
+        distinct, which = np.unique(names, return_inverse=True)
+        total = np.bincount(which, counts, len(distinct)).astype(np.int64)
+        often = (total >= shape.frequent) & (distinct != _END)
+        ends = np.cumsum([len(x) // 8 for x in blobs])
+        parts = [_wide(x) for x in np.split(total[which], ends[:-1])]
+        one = lambda x, kind: pa.array([None] * len(blobs) + [x], kind)
+        bucket = table.column("bucket").to_pylist()
         return pa.table(
             {
-                "chunk": asked.column("chunk"), "bucket": asked.column("bucket"),
-                "counts": pa.array(list(c), pa.binary()), "classes": pa.array(list(k), pa.binary()),
+                "chunk": pa.array(table.column("chunk").to_pylist() + [None], pa.int64()),
+                "bucket": pa.array(bucket + bucket[:1], pa.int32()),
+                "counts": pa.array(parts + [None], pa.binary()),
+                "names": one(distinct[often].tobytes(), pa.binary()),
+                "often": one(total[often].tobytes(), pa.binary()),
+                "n": one(int(total.sum()), pa.int64()),
+                "v": one(int((total > 0).sum()), pa.int64()),
             }
         )
 
-    kind = "chunk long, bucket int, counts binary, classes binary"
-    both = parts.groupBy("bucket").cogroup(vocabulary.groupBy("bucket")).applyInArrow(run, kind)
-    return both.groupBy("chunk").agg(
-        F.collect_list(F.struct("bucket", "counts", "classes")).alias("answers")
-    )
+    return run
+
+
+def _seeds(words_: DataFrame, most: int) -> tuple[int, ...]:
+    """The hashes of the ``most`` most frequent words."""
+
+    def run(batches):
+        for row in each(batches):
+            names, counts = np.frombuffer(row["names"], np.int64), np.frombuffer(row["often"], np.int64)
+            top = np.lexsort((names, -counts))[:most]
+            yield pa.RecordBatch.from_arrays([pa.array(names[top]), pa.array(counts[top])], ["w", "n"])
+
+    top = words_.mapInArrow(run, "w long, n long").orderBy(F.desc("n"), "w").limit(most)
+    return tuple(row.w & 0xFFFFFFFFFFFFFFFF for row in top.collect())
+
+
+def _first_classes(shape: Shape):
+    def run(batches):
+        for row in each(batches):
+            own = shape.start(np.frombuffer(row["names"], np.uint64)).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([row["bucket"]], pa.int32()), pa.array([row["names"]], pa.binary()),
+                    pa.array([own], pa.binary()),
+                ],
+                ["bucket", "names", "classes"],
+            )
 
+    return run
+
+
+_LEARNED = (
+    "chunk long, doc_id array<long>, held_out binary, sizes binary, places binary, counts binary, "
+    "often binary, names binary, end_at int"
+)
 
-def _learned(names: np.ndarray, answers: list, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Count and class of a chunk's words, in the order of its dictionary."""
-    bucket = (mix(names) % np.uint64(count)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    answers = sorted(answers, key=lambda x: x["bucket"])
-    counts, classes = np.zeros(len(names), np.int64), np.zeros(len(names), np.uint8)
-    counts[order] = joined([x["counts"] for x in answers], np.int64)
-    classes[order] = joined([x["classes"] for x in answers], np.uint8)
-    return counts, classes
 
+def _with_counts(count: int, shape: Shape):
+    """Chunks with the counts of their words; of the frequent ones also places and names."""
 
-def _chunk(row: dict, count: int):
-    names = np.frombuffer(row["names"], np.uint64)
-    counts, classes = _learned(names, row["answers"], count)
+    def run(batches):
+        for row in each(batches):
+            names = np.frombuffer(row["names"], np.uint64)
+            order = np.argsort(_bucket(names, count), kind="stable")
+            counts = np.zeros(len(names), np.int64)
+            answers = sorted(row["answers"], key=lambda x: x["bucket"])
+            counts[order] = np.concatenate([_narrow(x["counts"]) for x in answers])
+            often = np.flatnonzero((counts >= shape.frequent) & (names != _END))
+            out = [
+                row["chunk"], row["doc_id"], row["held_out"], row["sizes"], row["places"],
+                _wide(counts), shrink(often), names[often].tobytes(),
+                int(np.flatnonzero(names == _END)[0]),
+            ]
+            kinds = (
+                pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 6, pa.int32(),
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], k) for v, k in zip(out, kinds)],
+                [x.split(" ")[0] for x in _LEARNED.split(", ")],
+            )
+
+    return run
+
+
+def _ask(count: int):
+    """The frequent words of each chunk, dealt out."""
+
+    def run(batches):
+        for row in each(batches):
+            names = np.frombuffer(row["names"], np.uint64)
+            parts = list(packed(_bucket(names, count), count, names))
+            if parts:
+                b, n = zip(*parts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(b, pa.int32()), pa.array([row["chunk"]] * len(b), pa.int64()),
+                        pa.array(n, pa.binary()),
+                    ],
+                    ["bucket", "chunk", "names"],
+                )
+
+    return run
+
+
+def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+    names = joined(known.column("names").to_pylist(), np.uint64)
+    classes = joined(known.column("classes").to_pylist(), np.uint8)
+    out = [
+        classes[np.searchsorted(names, np.frombuffer(x, np.uint64))].tobytes()
+        for x in asked.column("names").to_pylist()
+    ]
+    return asked.drop(["names"]).append_column("classes", pa.array(out, pa.binary()))
+
+
+def _with_classes(learned: DataFrame, classed: DataFrame, count: int) -> DataFrame:
+    """Chunks with the classes of their frequent words, by bucket. The chunks stay in place."""
+    asked = learned.select("chunk", "names").mapInArrow(
+        _ask(count), "bucket int, chunk long, names binary"
+    )
+    known = classed.select("bucket", "names", "classes").groupBy("bucket")
+    answers = asked.groupBy("bucket").cogroup(known).applyInArrow(
+        _answer, "bucket int, chunk long, classes binary"
+    )
+    answers = answers.groupBy("chunk").agg(
+        F.collect_list(F.struct("bucket", "classes")).alias("answers")
+    )
+    return learned.join(written(answers, "chunk-classes"), "chunk", "left")
+
+
+def _chunk(row: dict, count: int, shape: Shape):
+    """A chunk's counts, classes, text sizes, places and held-out tokens."""
+    counts = _narrow(row["counts"])
+    often, names = grow(row["often"], 1)[0], np.frombuffer(row["names"], np.uint64)
+    own = shape.start(names)
+    if row.get("answers"):
+        order = np.argsort(_bucket(names, count), kind="stable")
+        answers = sorted(row["answers"], key=lambda x: x["bucket"])
+        own[order] = joined([x["classes"] for x in answers], np.uint8)
+    classes = shape.rare(counts)
+    classes[often] = own
+    classes[row["end_at"]] = shape.end
     sizes = np.frombuffer(row["sizes"], np.uint32).astype(np.int64)
-    places = np.frombuffer(row["places"], np.uint32)
+    places = grow(row["places"], 1)[0]
     out = np.repeat(np.frombuffer(row["held_out"], bool), sizes)
-    return names, counts, classes, sizes, places, out
+    return counts, classes, sizes, places, out
 
 
 def _before(classes: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
     """The class before each token."""
-    before = np.empty(len(classes), np.int64)
+    before = np.empty_like(classes)
     before[1:] = classes[:-1]
     before[np.cumsum(sizes) - sizes] = end
     return before
 
 
+def _bigrams(chunked: DataFrame, count: int, shape: Shape) -> np.ndarray:
+    """How often each class follows each in training texts: a table of a fixed size."""
+    c = shape.total
+
+    def run(batches):
+        total = np.zeros(c * c, np.int64)
+        for row in each(batches):
+            _, classes, sizes, places, out = _chunk(row, count, shape)
+            own = classes[places]
+            before = _before(own, sizes, shape.end)[~out].astype(np.int32)
+            total += np.bincount(before * c + own[~out], minlength=c * c)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+
+    total = np.zeros(c * c, np.int64)
+    for row in chunked.mapInArrow(run, "counts binary").toLocalIterator():  # one for each task
+        total += np.frombuffer(row.counts, np.int64)
+    return total.reshape(c, c)
+
+
 def _contexts(chunked: DataFrame, count: int, shape: Shape) -> DataFrame:
-    """Training counts by bucket: of (frequent word, side, neighbour's class), and (bucket null)
-    of class bigrams."""
+    """Training counts of (frequent word, side, neighbour's class), dealt out by word.
+
+    ``blob`` holds for each word how many pairs it has, and the pairs with their counts.
+    """
     c = shape.total
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                names, counts, classes, sizes, places, out = _chunk(row, count)
-                own = classes[places].astype(np.int64)
-                before = _before(own, sizes, shape.end)
-                after = np.full(len(own), shape.end)
-                after[:-1] = own[1:]
-                after[np.cumsum(sizes) - 1] = shape.end
-                table = np.bincount((before * c + own)[~out], minlength=c * c)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([None], pa.int32()), pa.array([None], pa.binary()),
-                        pa.array([table.astype(np.int64).tobytes()], pa.binary()),
-                    ],
-                    ["bucket", "names", "counts"],
-                )
-                use = ~out & (counts >= shape.frequent)[places] & (own < shape.classes)
-                key = np.concatenate(
-                    [places[use] * (2 * c) + before[use], places[use] * (2 * c) + c + after[use]]
-                ).astype(np.int64)
-                key, times = np.unique(key, return_counts=True)
-                word = names[key // (2 * c)]
-                bucket = (mix(word) % np.uint64(count)).astype(np.int64)
-                record = np.empty(len(key), [("w", np.uint64), ("k", np.uint16), ("n", np.uint32)])
-                record["w"], record["k"], record["n"] = word, key % (2 * c), times
-                parts = list(packed(bucket, count, record))
+        for row in each(batches):
+            _, classes, sizes, places, out = _chunk(row, count, shape)
+            names = np.frombuffer(row["names"], np.uint64)
+            number = np.full(len(classes), -1, np.int32)
+            number[grow(row["often"], 1)[0]] = np.arange(len(names))
+            own = classes[places]
+            after = np.full_like(own, shape.end)
+            after[:-1] = own[1:]
+            after[np.cumsum(sizes) - 1] = shape.end
+            word = number[places]
+            use = ~out & (word >= 0)
+            for side, beside in enumerate((_before(own, sizes, shape.end), after)):
+                key, times = np.unique(word[use].astype(np.int64) * c + beside[use], return_counts=True)
+                which = key // c
+                bucket = _bucket(names[which], count)
+                order = np.argsort(bucket, kind="stable")
+                edges = np.searchsorted(bucket[order], np.arange(count + 1)).tolist()
+                parts = []
+                for b, (i, j) in enumerate(zip(edges, edges[1:])):
+                    if j > i:
+                        at = order[i:j]
+                        mine, many = np.unique(which[at], return_counts=True)
+                        blob = shrink(many, key[at] % c + side * c, times[at])
+                        parts.append((b, names[mine].tobytes(), blob))
                 if parts:
-                    b, r = zip(*parts)
+                    b, n, x = zip(*parts)
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(b, pa.int32()), pa.array(r, pa.binary()),
-                            pa.array([None] * len(b), pa.binary()),
-                        ],
-                        ["bucket", "names", "counts"],
+                        [pa.array(b, pa.int32()), pa.array(n, pa.binary()), pa.array(x, pa.binary())],
+                        ["bucket", "names", "blob"],
                     )
 
-    return chunked.mapInArrow(run, "bucket int, names binary, counts binary")
+    return chunked.mapInArrow(run, "bucket int, names binary, blob binary")
 
 
 def _entropy(x: np.ndarray) -> np.ndarray:
@@ -283,68 +413,65 @@ def exchange(context: np.ndarray, own: np.ndarray, table: np.ndarray, shape: Sha
 
 
 def _move(table: np.ndarray, shape: Shape):
-    """The vocabulary of a bucket with new classes for its frequent words."""
+    """The frequent words of a bucket with new classes."""
 
     def run(known: pa.Table, seen: pa.Table) -> pa.Table:
-        if known.num_rows == 0:
-            return known.select(["bucket", "names", "counts", "classes"])
         names = joined(known.column("names").to_pylist(), np.uint64)
         classes = joined(known.column("classes").to_pylist(), np.uint8).copy()
-        kind = [("w", np.uint64), ("k", np.uint16), ("n", np.uint32)]
-        record = joined(seen.column("names").to_pylist(), kind)
-        words_, which = np.unique(record["w"], return_inverse=True)
-        at = np.searchsorted(names, words_)
         wide = 2 * shape.total
-        for first in range(0, len(words_), 1 << 16):  # keeps the dense counts small
-            part = (which >= first) & (which < first + (1 << 16))
-            n = min(len(words_) - first, 1 << 16)
-            place = (which[part] - first) * wide + record["k"][part]
-            context = np.bincount(place, record["n"][part], n * wide).reshape(n, 2, shape.total)
-            mine = at[first : first + n]
-            classes[mine] = exchange(context, classes[mine].astype(np.int64), table, shape)
+        rows_ = list(zip(seen.column("names").to_pylist(), seen.column("blob").to_pylist()))
+        for first in range(0, len(names), 1 << 13):  # dense counts of some words at a time
+            last = min(first + (1 << 13), len(names))
+            context = np.zeros((last - first) * wide)
+            for blob_names, blob in rows_:
+                many, pair, times = grow(blob, 3)
+                at = np.repeat(np.searchsorted(names, np.frombuffer(blob_names, np.uint64)), many)
+                mine = (at >= first) & (at < last)
+                place = (at[mine] - first) * wide + pair[mine]
+                context[place] += times[mine]  # each word and pair once in a blob
+            context = context.reshape(-1, 2, shape.total)
+            own = classes[first:last].astype(np.int64)
+            classes[first:last] = exchange(context, own, table, shape)
         return pa.table(
             {
                 "bucket": known.column("bucket"), "names": known.column("names"),
-                "counts": known.column("counts"), "classes": pa.array([classes.tobytes()], pa.binary()),
+                "classes": pa.array([classes.tobytes()] * known.num_rows, pa.binary()),
             }
         )
 
     return run
 
 
-def _scored(chunked: DataFrame, count: int, shape: Shape, table, n: int, v: int, total) -> DataFrame:
-    """Scores of all documents from the class bigrams and the class totals."""
-    c = shape.total
+def _scored(chunked: DataFrame, count: int, shape: Shape, table, n: int, v: int) -> DataFrame:
+    """Scores of all documents from the class bigrams."""
     smooth = table + _SMOOTH
     turn = np.log10(smooth / smooth.sum(axis=1, keepdims=True))
+    total = table.sum(axis=0)
     once = shape.classes
-    share = np.log10(1 - UNSEEN)
-    unseen = np.log10(UNSEEN)
+    share, unseen = np.log10(1 - UNSEEN), np.log10(UNSEEN)
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                names, counts, classes, sizes, places, out = _chunk(row, count)
-                known = counts > 0
-                cls = np.where(known, classes, once).astype(np.int64)
-                emit = np.log10(np.maximum(counts, 1)) - np.log10(np.maximum(total[cls], 1))
-                emit = np.where(cls == once, emit + share, emit)
-                emit = np.where(known, emit, unseen)
-                base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
-                own = cls[places]
-                score = turn[_before(own, sizes, shape.end), own] + emit[places]
-                first = np.cumsum(sizes) - sizes
-                add = lambda x: np.add.reduceat(x, first)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row["doc_id"], pa.int64()),
-                        pa.array(np.frombuffer(row["held_out"], bool)), pa.array(sizes),
-                        pa.array(add(known[places].astype(np.int64))),
-                        pa.array(np.full(len(sizes), n)), pa.array(add(base[places])),
-                        pa.array(add(score)),
-                    ],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        for row in each(batches):
+            counts, classes, sizes, places, _ = _chunk(row, count, shape)
+            known = counts > 0
+            emit = np.log10(np.maximum(counts, 1)) - np.log10(np.maximum(total[classes], 1))
+            emit = np.where(classes == once, emit + share, emit)
+            emit = np.where(known, emit, unseen)
+            base = np.log10((counts + 0.5) / (n + 0.5 * (v + 1)))
+            own = classes[places]
+            score = turn[_before(own, sizes, shape.end), own] + emit[places]
+            first = np.cumsum(sizes) - sizes
+            add = lambda x: np.add.reduceat(x, first)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(row["doc_id"], pa.int64()),
+                    pa.array(np.frombuffer(row["held_out"], bool)), pa.array(sizes),
+                    pa.array(add(known[places].astype(np.int64))),
+                    pa.array(np.full(len(sizes), n)), pa.array(add(base[places])),
+                    pa.array(add(score)),
+                ],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     return chunked.mapInArrow(
         run,
@@ -353,6 +480,16 @@ def _scored(chunked: DataFrame, count: int, shape: Shape, table, n: int, v: int,
     )
 
 
+def _in_place(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table bucketed by chunk in the shared folder, so that joins leave it there."""
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    own = path.rsplit("/", 1)[1].replace("-", "_")
+    buckets_ = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets_, "chunk").option("path", path).saveAsTable(own)
+    return spark.table(own)
+
+
 def score_documents(
     docs: DataFrame, held_out, classes: int = CLASSES, frequent: int = FREQUENT, rounds: int = ROUNDS
 ) -> DataFrame:
@@ -364,87 +501,33 @@ def score_documents(
     alone. Repeated rows and null ids are rows like any other. An empty table gives no rows.
     """
     shape = Shape(classes, frequent)
-    spark = docs.sparkSession
-    count = buckets(spark)
+    count = buckets(docs.sparkSession)
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
-    chunked = written(encoded(docs.select("doc_id", "text", held)), "encoded")
-    parts = chunked.select("chunk", "names", "counts").mapInArrow(
-        _by_bucket(count), "bucket int, chunk long, names binary, counts binary"
+    chunked = _in_place(encoded(docs.select("doc_id", "text", held)), "encoded")
+    dictionaries = chunked.select("chunk", "names", "counts").mapInArrow(
+        _dictionaries(count), "bucket int, chunk long, names binary, counts binary"
     )
-    parts = written(parts, "dictionaries")
-    vocabulary = written(
-        parts.groupBy("bucket").applyInArrow(
-            _vocabulary, "bucket int, names binary, counts binary, n long, v long"
-        ),
-        "vocabulary",
+    counted = dictionaries.groupBy("bucket").applyInArrow(
+        _count(shape),
+        "chunk long, bucket int, counts binary, names binary, often binary, n long, v long",
     )
-    sums = vocabulary.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
+    counted = written(counted, "word-counts")
+    sums = counted.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = sums.n or 0, sums.v or 0
-
-    def first(batches):
-        for batch in batches:
-            out = [
-                shape.start(np.frombuffer(a, np.uint64), np.frombuffer(b, np.int64)).astype(np.uint8).tobytes()
-                for a, b in zip(batch.column("names").to_pylist(), batch.column("counts").to_pylist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(x) for x in ("bucket", "names", "counts")), pa.array(out, pa.binary())],
-                ["bucket", "names", "counts", "classes"],
-            )
-
-    kind = "bucket int, names binary, counts binary, classes binary"
-    classed = vocabulary.mapInArrow(first, kind)
-
-    def bigrams(contexts: DataFrame) -> np.ndarray:
-        blobs = contexts.where("bucket is null").select("counts").mapInArrow(_summed, "counts binary")
-        table = np.zeros(shape.total**2, np.int64)
-        for row in blobs.toLocalIterator():  # one table of a fixed size for each task
-            table += np.frombuffer(row.counts, np.int64)
-        return table.reshape(shape.total, shape.total)
-
-    asked = parts.select("bucket", "chunk", "names")
-    for k in range(rounds + 1):
-        answers = _answers(asked, classed, shape)
-        both = chunked.drop("counts").join(answers, "chunk")
-        if k == rounds:
-            last = written(both, "encoded-classes")
-            contexts = _contexts(last, count, Shape(classes, 1 << 62))
-            return _scored(last, count, shape, bigrams(contexts), n, v, _class_sizes(classed, shape))
-        contexts = written(_contexts(both, count, shape), f"contexts-{k}")
-        table = bigrams(contexts)
-        seen = contexts.where("bucket is not null").select("bucket", "names")
-        classed = written(
-            classed.groupBy("bucket").cogroup(seen.groupBy("bucket")).applyInArrow(
-                _move(table, shape), kind
-            ),
-            f"classes-{k}",
-        )
-
-
-def _summed(batches):
-    total = None
-    for batch in batches:
-        for blob in batch.column("counts").to_pylist():
-            own = np.frombuffer(blob, np.int64)
-            total = own if total is None else total + own
-    if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
-
-
-def _class_sizes(classed: DataFrame, shape: Shape) -> np.ndarray:
-    """Training tokens of each class."""
-
-    def run(batches):
-        out = np.zeros(shape.total, np.int64)
-        for batch in batches:
-            for counts, classes in zip(
-                batch.column("counts").to_pylist(), batch.column("classes").to_pylist()
-            ):
-                counts, classes = np.frombuffer(counts, np.int64), np.frombuffer(classes, np.uint8)
-                out += np.bincount(classes, counts, shape.total).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], ["counts"])
-
-    total = np.zeros(shape.total, np.int64)
-    for row in classed.select("counts", "classes").mapInArrow(run, "counts binary").toLocalIterator():
-        total += np.frombuffer(row.counts, np.int64)
-    return total
+    answers = counted.where("chunk is not null").groupBy("chunk").agg(
+        F.collect_list(F.struct("bucket", "counts")).alias("answers")
+    )
+    learned = chunked.drop("counts").join(answers, "chunk")
+    learned = _in_place(learned.mapInArrow(_with_counts(count, shape), _LEARNED), "learned")
+    kind = "bucket int, names binary, classes binary"
+    words_ = counted.where("chunk is null").select("bucket", "names", "often")
+    shape = Shape(classes, frequent, _seeds(words_, classes - 1))
+    classed = words_.mapInArrow(_first_classes(shape), kind)
+    both = learned
+    for k in range(rounds):
+        table = _bigrams(both, count, shape)
+        contexts = _contexts(both, count, shape).groupBy("bucket")
+        moved = classed.groupBy("bucket").cogroup(contexts).applyInArrow(_move(table, shape), kind)
+        classed = written(moved, f"classes-{k}")
+        both = _with_classes(learned, classed, count)
+    return _scored(both, count, shape, _bigrams(both, count, shape), n, v)
