@@ -76,17 +76,14 @@ def category_counts(df: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count per value of each text column, from one scan: ``column``, ``value``, ``count``.
 
-    Rows are first reduced to one per combination of values, then taken apart by column.
+    Rows are taken apart by column first, so that what is shuffled is a count for each value and
+    task, however many combinations of values there are.
     """
-    combinations = df.groupBy(*columns).agg(F.count("*").alias("n"))
     parts = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
     )
-    return (
-        combinations.select(F.explode(parts).alias("p"), "n")
-        .groupBy("p.column", "p.value")
-        .agg(F.sum("n").alias("count"))
-    )
+    taken = df.select(F.explode(parts).alias("p"))
+    return taken.groupBy("p.column", "p.value").agg(F.count("*").alias("count"))
 
 
 def distinct_pairs(df: DataFrame, *columns: str) -> DataFrame:
