@@ -95,12 +95,12 @@ def signatures(rows: np.ndarray, hashes: np.ndarray, count: int, slots: int = SL
 
 
 _FEATURES = (
-    "key long, doc_id long, n_shingles long, low long, high long, sketch binary, bands array<long>"
+    "key long, doc_id long, n_shingles long, low long, high long, bands array<long>"
 )
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """Of keyed documents: set size, hash of the set, signature as 16-bit prints, and bands."""
+    """Of keyed documents: set size, hash of the set, and bands of the signature."""
 
     def run(batches):
         for batch in chunks(batches):
@@ -114,7 +114,6 @@ def features(docs: DataFrame) -> DataFrame:
                 low[full] = np.add.reduceat(mix(hashes ^ _FACTORS[40]), begin)
                 high[full] = np.add.reduceat(mix(hashes ^ _FACTORS[41]), begin)
             least = signatures(rows, hashes, n)
-            prints = (mix(least) >> np.uint64(48)).astype(np.uint16)
             bands = np.zeros((n, BANDS), np.uint64)
             for k in range(ROWS):
                 bands = mix(bands + least[:, k::ROWS] * _FACTORS[k + 20])
@@ -124,32 +123,36 @@ def features(docs: DataFrame) -> DataFrame:
                 [
                     batch.column("key"), batch.column("doc_id").cast(pa.int64()), pa.array(size),
                     pa.array(low.view(np.int64)), pa.array(high.view(np.int64)),
-                    pa.array([x.tobytes() for x in prints], pa.binary()),
                     pa.ListArray.from_arrays(
                         pa.array(offsets.astype(np.int32)), pa.array(bands[full].ravel().view(np.int64))
                     ),
                 ],
-                ["key", "doc_id", "n_shingles", "low", "high", "sketch", "bands"],
+                ["key", "doc_id", "n_shingles", "low", "high", "bands"],
             )
 
     return docs.mapInArrow(run, _FEATURES)
 
 
-def _sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(key, set) of the documents in ``pairs``: their shingle hashes, sorted, as a blob."""
-    ids = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key")))
+def _sets(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, set, sketch) of the documents in ``keys``: their shingle hashes, sorted, as a blob,
+    and the signature as 16-bit prints. Few documents share a band, so both are made again."""
 
     def run(batches):
         for batch in chunks(batches):
             rows, hashes = shingles(batch.column("text"))
             edges = np.searchsorted(rows, np.arange(batch.num_rows + 1))
             blobs = [hashes[i:j].tobytes() for i, j in zip(edges, edges[1:])]
+            prints = (mix(signatures(rows, hashes, batch.num_rows)) >> np.uint64(48)).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(blobs, pa.binary())], ["key", "set"]
+                [
+                    batch.column("key"), pa.array(blobs, pa.binary()),
+                    pa.array([x.tobytes() for x in prints], pa.binary()),
+                ],
+                ["key", "set", "sketch"],
             )
 
-    chosen = docs.join(ids.distinct(), "key", "left_semi").select("key", "text")
-    return written(chosen.mapInArrow(run, "key long, set binary"), "shingle-sets")
+    chosen = docs.join(keys, "key", "left_semi").select("key", "text")
+    return written(chosen.mapInArrow(run, "key long, set binary, sketch binary"), "shingle-sets")
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -251,9 +254,10 @@ def link(docs: DataFrame) -> DataFrame:
     centers = bands.groupBy("band").agg(F.min("key").alias("center"), F.count("*").alias("n"))
     shared = bands.join(centers.where("n > 1").drop("n"), "band")
     shared = written(shared, "near-bands")
-    star = shared.where("key <> center").select(F.col("key").alias("a"), F.col("center").alias("b"))
-    star = written(star.distinct(), "near-pairs")
-    sets = _sets(docs, star)
+    # The smallest of a document's centers; its other bands come below.
+    star = shared.where("key <> center").groupBy(F.col("key").alias("a")).agg(F.min("center").alias("b"))
+    star = written(star, "near-pairs")
+    sets = _sets(docs, written(shared.select("key").distinct(), "near-keys"))
     links = written(verified(star, sets), "near-links")
 
     tied = components(links)
@@ -261,7 +265,7 @@ def link(docs: DataFrame) -> DataFrame:
         tied.select(F.col("node").alias("key"), "component"), "key", "left"
     ).withColumn("component", F.coalesce("component", "key"))
     named = written(named, "near-bands-named")
-    sketches = found.select("key", "sketch")
+    sketches = sets.select("key", "sketch")
     kind = "a long, b long"
     likely = _blocks(named, "band").join(sketches, "key").groupBy("band", "i", "j").applyInArrow(
         _join_up(None), kind
@@ -272,7 +276,7 @@ def link(docs: DataFrame) -> DataFrame:
         families = components(likely).select(F.col("node").alias("component"), F.col("component").alias("family"))
         members = named.select("key", "component").distinct().join(families, "component")
         members = _blocks(written(members, "near-families"), "family")
-        members = members.join(sketches, "key").join(sets, "key")
+        members = members.join(sets, "key")
         more = written(
             members.groupBy("family", "i", "j").applyInArrow(_join_up(PERCENT), kind), "near-links-rest"
         )
