@@ -1,7 +1,8 @@
 """Class-based n-grams: exchange clustering of words, and scores from classes.
 
 The probability of a word is that of its class after the class before it, times that of the word
-in its class. Words seen ``frequent`` times or more are clustered by exchange: a word moves to the
+in its class. Words seen ``frequent`` times or more, and in a share of ``SHARE`` of all
+tokens, which bounds how many they are, are clustered by exchange: a word moves to the
 class in which the likelihood of the class bigrams becomes largest; the most frequent words begin as a class each. Rarer ones share a class with
 those of the same count (by powers of two), and words never seen are a share of the class of words
 seen once. The end of a text is a class of its own, and stands before its first word.
@@ -25,7 +26,9 @@ from flowlens.session import fresh_path, written
 from llm.common import buckets, chunks, each, grow, joined, mix, packed, rows, shrink, words
 
 CLASSES = 32
+#: A word is clustered from so many training tokens on, and from this share of all.
 FREQUENT = 32
+SHARE = 1.5e-6
 ROUNDS = 2
 #: Classes by count of rarer words, the end, and what is before: see ``_rare``.
 _RARE = 6
@@ -67,16 +70,16 @@ _CHUNK = pa.schema(
     [
         ("chunk", pa.int64()), ("names", pa.binary()), ("counts", pa.binary()),
         ("doc_id", pa.list_(pa.int64())), ("held_out", pa.binary()), ("sizes", pa.binary()),
-        ("places", pa.binary()),
+        ("places", pa.binary()), ("n", pa.int64()),
     ]
 )
 _KIND = (
     "chunk long, names binary, counts binary, doc_id array<long>, held_out binary, sizes binary, "
-    "places binary"
+    "places binary, n long"
 )
 
 
-def encoded(docs: DataFrame, chunk_bytes: int = 12 << 20) -> DataFrame:
+def encoded(docs: DataFrame, chunk_bytes: int = 8 << 20) -> DataFrame:
     """One row for each chunk: its distinct words with training counts, and texts as places.
 
     ``docs`` has doc_id, text and held_out.
@@ -111,7 +114,7 @@ def encoded(docs: DataFrame, chunk_bytes: int = 12 << 20) -> DataFrame:
                         number, names.tobytes(), counts.astype(np.uint32).tobytes(),
                         batch.column("doc_id").to_pylist(), out.tobytes(),
                         np.bincount(row, minlength=n).astype(np.uint32).tobytes(),
-                        shrink(place),
+                        shrink(place), int(counts.sum()),
                     )
                 ],
             )
@@ -178,7 +181,6 @@ def _count(shape: Shape):
                 "counts": pa.array(parts + [None], pa.binary()),
                 "names": one(distinct[often].tobytes(), pa.binary()),
                 "often": one(total[often].tobytes(), pa.binary()),
-                "n": one(int(total.sum()), pa.int64()),
                 "v": one(int((total > 0).sum()), pa.int64()),
             }
         )
@@ -500,24 +502,25 @@ def score_documents(
     counts alone. Uses doc_id and text; other columns are ignored. A null or empty text is the end
     alone. Repeated rows and null ids are rows like any other. An empty table gives no rows.
     """
-    shape = Shape(classes, frequent)
     count = buckets(docs.sparkSession)
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     chunked = _in_place(encoded(docs.select("doc_id", "text", held)), "encoded")
+    n = chunked.agg(F.sum("n")).first()[0] or 0
+    frequent = max(frequent, int(SHARE * n))
+    shape = Shape(classes, frequent)
     dictionaries = chunked.select("chunk", "names", "counts").mapInArrow(
         _dictionaries(count), "bucket int, chunk long, names binary, counts binary"
     )
     counted = dictionaries.groupBy("bucket").applyInArrow(
         _count(shape),
-        "chunk long, bucket int, counts binary, names binary, often binary, n long, v long",
+        "chunk long, bucket int, counts binary, names binary, often binary, v long",
     )
     counted = written(counted, "word-counts")
-    sums = counted.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
-    n, v = sums.n or 0, sums.v or 0
+    v = counted.agg(F.sum("v")).first()[0] or 0
     answers = counted.where("chunk is not null").groupBy("chunk").agg(
         F.collect_list(F.struct("bucket", "counts")).alias("answers")
     )
-    learned = chunked.drop("counts").join(answers, "chunk")
+    learned = chunked.drop("counts", "n").join(answers, "chunk")
     learned = _in_place(learned.mapInArrow(_with_counts(count, shape), _LEARNED), "learned")
     kind = "bucket int, names binary, classes binary"
     words_ = counted.where("chunk is null").select("bucket", "names", "often")
