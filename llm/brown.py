@@ -1,15 +1,16 @@
 """Class-based n-grams: exchange clustering of words, and scores from classes.
 
 The probability of a word is that of its class after the class before it, times that of the word
-in its class. Words seen ``frequent`` times or more, and in a share of ``SHARE`` of all
-tokens, which bounds how many they are, are clustered by exchange: a word moves to the
+in its class. Words seen ``frequent`` times or more are clustered by exchange: a word moves to the
 class in which the likelihood of the class bigrams becomes largest; the most frequent words begin as a class each. Rarer ones share a class with
 those of the same count (by powers of two), and words never seen are a share of the class of words
 seen once. The end of a text is a class of its own, and stands before its first word.
 
 Texts are kept as places in a dictionary for each chunk of some megabytes, so that the tables of
 all words, which grow with the corpus, meet dictionaries and never single tokens. What the driver
-holds is the table of class bigrams, which has a fixed size. Words are told apart by a 64-bit hash.
+holds is the table of class bigrams, which has a fixed size. Words are told apart by a 64-bit hash;
+frequent ones are known by bucket and rank in it, so that what is dealt out in each round are small
+differences between ranks.
 """
 
 from __future__ import annotations
@@ -26,9 +27,8 @@ from flowlens.session import fresh_path, written
 from llm.common import buckets, chunks, each, grow, joined, mix, packed, rows, shrink, words
 
 CLASSES = 32
-#: A word is clustered from so many training tokens on, and from this share of all.
+#: A word is clustered from so many training tokens on.
 FREQUENT = 32
-SHARE = 1.5e-6
 ROUNDS = 2
 #: Classes by count of rarer words, the end, and what is before: see ``_rare``.
 _RARE = 6
@@ -42,7 +42,7 @@ _END = np.uint64(0x5EED0FE4D0F7E875)
 class Shape:
     classes: int = CLASSES
     frequent: int = FREQUENT
-    #: Hashes of the most frequent words, which begin as a class each.
+    #: The most frequent words (bucket << 32 | rank), which begin as a class each.
     seeds: tuple[int, ...] = ()
 
     @property
@@ -53,11 +53,11 @@ class Shape:
     def end(self) -> int:
         return self.classes + _RARE
 
-    def start(self, names: np.ndarray) -> np.ndarray:
+    def start(self, number: np.ndarray) -> np.ndarray:
         """The class of frequent words before clustering: the seeds' own, or the last."""
-        out = np.full(len(names), self.classes - 1, np.uint8)
+        out = np.full(len(number), self.classes - 1, np.uint8)
         for k, seed in enumerate(self.seeds):
-            out[names == np.uint64(seed)] = k
+            out[number == seed] = k
         return out
 
     def rare(self, counts: np.ndarray) -> np.ndarray:
@@ -159,9 +159,18 @@ def _narrow(blob: bytes) -> np.ndarray:
     return low.astype(np.int64) | high.astype(np.int64) << 32
 
 
+def _steps(ranks: np.ndarray) -> np.ndarray:
+    """Rising ranks as differences, which compress well."""
+    return np.diff(ranks, prepend=0)
+
+
+def _ranks(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps.astype(np.int64))
+
+
 def _count(shape: Shape):
-    """Of one bucket: the counts of each chunk's words in all training texts, and (chunk null) the
-    frequent words with their counts."""
+    """Of one bucket: the counts of each chunk's words in all training texts and the ranks of the
+    frequent ones, and (chunk null) the frequent words with their counts."""
 
     def run(table: pa.Table) -> pa.Table:
         blobs = table.column("names").to_pylist()
@@ -171,14 +180,17 @@ def _count(shape: Shape):
         total = np.bincount(which, counts, len(distinct)).astype(np.int64)
         often = (total >= shape.frequent) & (distinct != _END)
         ends = np.cumsum([len(x) // 8 for x in blobs])
-        parts = [_wide(x) for x in np.split(total[which], ends[:-1])]
+        parts = np.split(which, ends[:-1])
+        rank = np.cumsum(often) - 1
+        ranks = [shrink(_steps(np.sort(rank[x[often[x]]]))) for x in parts]
         one = lambda x, kind: pa.array([None] * len(blobs) + [x], kind)
         bucket = table.column("bucket").to_pylist()
         return pa.table(
             {
                 "chunk": pa.array(table.column("chunk").to_pylist() + [None], pa.int64()),
                 "bucket": pa.array(bucket + bucket[:1], pa.int32()),
-                "counts": pa.array(parts + [None], pa.binary()),
+                "counts": pa.array([_wide(total[x]) for x in parts] + [None], pa.binary()),
+                "ranks": pa.array(ranks + [None], pa.binary()),
                 "names": one(distinct[often].tobytes(), pa.binary()),
                 "often": one(total[often].tobytes(), pa.binary()),
                 "v": one(int((total > 0).sum()), pa.int64()),
@@ -189,28 +201,28 @@ def _count(shape: Shape):
 
 
 def _seeds(words_: DataFrame, most: int) -> tuple[int, ...]:
-    """The hashes of the ``most`` most frequent words."""
+    """The ``most`` most frequent words, as bucket << 32 | rank."""
 
     def run(batches):
         for row in each(batches):
             names, counts = np.frombuffer(row["names"], np.int64), np.frombuffer(row["often"], np.int64)
             top = np.lexsort((names, -counts))[:most]
-            yield pa.RecordBatch.from_arrays([pa.array(names[top]), pa.array(counts[top])], ["w", "n"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names[top]), pa.array(counts[top]), pa.array(top + (row["bucket"] << 32))],
+                ["w", "n", "number"],
+            )
 
-    top = words_.mapInArrow(run, "w long, n long").orderBy(F.desc("n"), "w").limit(most)
-    return tuple(row.w & 0xFFFFFFFFFFFFFFFF for row in top.collect())
+    top = words_.mapInArrow(run, "w long, n long, number long").orderBy(F.desc("n"), "w").limit(most)
+    return tuple(row.number for row in top.collect())
 
 
 def _first_classes(shape: Shape):
     def run(batches):
         for row in each(batches):
-            own = shape.start(np.frombuffer(row["names"], np.uint64)).tobytes()
+            own = shape.start((row["bucket"] << 32) + np.arange(len(row["names"]) // 8)).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([row["bucket"]], pa.int32()), pa.array([row["names"]], pa.binary()),
-                    pa.array([own], pa.binary()),
-                ],
-                ["bucket", "names", "classes"],
+                [pa.array([row["bucket"]], pa.int32()), pa.array([own], pa.binary())],
+                ["bucket", "classes"],
             )
 
     return run
@@ -218,12 +230,13 @@ def _first_classes(shape: Shape):
 
 _LEARNED = (
     "chunk long, doc_id array<long>, held_out binary, sizes binary, places binary, counts binary, "
-    "often binary, names binary, end_at int"
+    "often binary, steps binary, end_at int"
 )
 
 
 def _with_counts(count: int, shape: Shape):
-    """Chunks with the counts of their words; of the frequent ones also places and names."""
+    """Chunks with the counts of their words; of the frequent ones, by bucket and rank, also places
+    and, as ``steps``, how many each bucket has and their ranks."""
 
     def run(batches):
         for row in each(batches):
@@ -233,9 +246,13 @@ def _with_counts(count: int, shape: Shape):
             answers = sorted(row["answers"], key=lambda x: x["bucket"])
             counts[order] = np.concatenate([_narrow(x["counts"]) for x in answers])
             often = np.flatnonzero((counts >= shape.frequent) & (names != _END))
+            bucket = _bucket(names[often], count)
+            often = often[np.lexsort((names[often], bucket))]
+            many = np.bincount(bucket, minlength=count)
+            steps = np.concatenate([grow(x["ranks"], 1)[0] for x in answers])
             out = [
                 row["chunk"], row["doc_id"], row["held_out"], row["sizes"], row["places"],
-                _wide(counts), shrink(often), names[often].tobytes(),
+                _wide(counts), shrink(often), shrink(many, steps),
                 int(np.flatnonzero(names == _END)[0]),
             ]
             kinds = (
@@ -249,13 +266,14 @@ def _with_counts(count: int, shape: Shape):
     return run
 
 
-def _ask(count: int):
+def _ask():
     """The frequent words of each chunk, dealt out."""
 
     def run(batches):
         for row in each(batches):
-            names = np.frombuffer(row["names"], np.uint64)
-            parts = list(packed(_bucket(names, count), count, names))
+            many, steps = grow(row["steps"], 2)
+            edges = np.append(0, np.cumsum(many.astype(np.int64))).tolist()
+            parts = [(b, shrink(steps[i:j])) for b, (i, j) in enumerate(zip(edges, edges[1:])) if j > i]
             if parts:
                 b, n = zip(*parts)
                 yield pa.RecordBatch.from_arrays(
@@ -263,28 +281,24 @@ def _ask(count: int):
                         pa.array(b, pa.int32()), pa.array([row["chunk"]] * len(b), pa.int64()),
                         pa.array(n, pa.binary()),
                     ],
-                    ["bucket", "chunk", "names"],
+                    ["bucket", "chunk", "steps"],
                 )
 
     return run
 
 
 def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-    names = joined(known.column("names").to_pylist(), np.uint64)
     classes = joined(known.column("classes").to_pylist(), np.uint8)
-    out = [
-        classes[np.searchsorted(names, np.frombuffer(x, np.uint64))].tobytes()
-        for x in asked.column("names").to_pylist()
-    ]
-    return asked.drop(["names"]).append_column("classes", pa.array(out, pa.binary()))
+    out = [classes[_ranks(grow(x, 1)[0])].tobytes() for x in asked.column("steps").to_pylist()]
+    return asked.drop(["steps"]).append_column("classes", pa.array(out, pa.binary()))
 
 
-def _with_classes(learned: DataFrame, classed: DataFrame, count: int) -> DataFrame:
+def _with_classes(learned: DataFrame, classed: DataFrame) -> DataFrame:
     """Chunks with the classes of their frequent words, by bucket. The chunks stay in place."""
-    asked = learned.select("chunk", "names").mapInArrow(
-        _ask(count), "bucket int, chunk long, names binary"
+    asked = learned.select("chunk", "steps").mapInArrow(
+        _ask(), "bucket int, chunk long, steps binary"
     )
-    known = classed.select("bucket", "names", "classes").groupBy("bucket")
+    known = classed.groupBy("bucket")
     answers = asked.groupBy("bucket").cogroup(known).applyInArrow(
         _answer, "bucket int, chunk long, classes binary"
     )
@@ -294,15 +308,18 @@ def _with_classes(learned: DataFrame, classed: DataFrame, count: int) -> DataFra
     return learned.join(written(answers, "chunk-classes"), "chunk", "left")
 
 
-def _chunk(row: dict, count: int, shape: Shape):
+def _chunk(row: dict, shape: Shape):
     """A chunk's counts, classes, text sizes, places and held-out tokens."""
     counts = _narrow(row["counts"])
-    often, names = grow(row["often"], 1)[0], np.frombuffer(row["names"], np.uint64)
-    own = shape.start(names)
+    often = grow(row["often"], 1)[0]
     if row.get("answers"):
-        order = np.argsort(_bucket(names, count), kind="stable")
         answers = sorted(row["answers"], key=lambda x: x["bucket"])
-        own[order] = joined([x["classes"] for x in answers], np.uint8)
+        own = joined([x["classes"] for x in answers], np.uint8)
+    else:
+        many, steps = grow(row["steps"], 2)
+        ranks = [_ranks(x) for x in np.split(steps, np.cumsum(many.astype(np.int64))[:-1])]
+        bucket = np.repeat(np.arange(len(many)) << 32, many)
+        own = shape.start(bucket + np.concatenate(ranks))
     classes = shape.rare(counts)
     classes[often] = own
     classes[row["end_at"]] = shape.end
@@ -320,14 +337,14 @@ def _before(classes: np.ndarray, sizes: np.ndarray, end: int) -> np.ndarray:
     return before
 
 
-def _bigrams(chunked: DataFrame, count: int, shape: Shape) -> np.ndarray:
+def _bigrams(chunked: DataFrame, shape: Shape) -> np.ndarray:
     """How often each class follows each in training texts: a table of a fixed size."""
     c = shape.total
 
     def run(batches):
         total = np.zeros(c * c, np.int64)
         for row in each(batches):
-            _, classes, sizes, places, out = _chunk(row, count, shape)
+            _, classes, sizes, places, out = _chunk(row, shape)
             own = classes[places]
             before = _before(own, sizes, shape.end)[~out].astype(np.int32)
             total += np.bincount(before * c + own[~out], minlength=c * c)
@@ -339,46 +356,46 @@ def _bigrams(chunked: DataFrame, count: int, shape: Shape) -> np.ndarray:
     return total.reshape(c, c)
 
 
-def _contexts(chunked: DataFrame, count: int, shape: Shape) -> DataFrame:
+def _contexts(chunked: DataFrame, shape: Shape) -> DataFrame:
     """Training counts of (frequent word, side, neighbour's class), dealt out by word.
 
-    ``blob`` holds for each word how many pairs it has, and the pairs with their counts.
+    ``blob`` holds the ranks of the words, how many pairs each has, and the pairs with their counts.
     """
     c = shape.total
+    wide = 2 * c
 
     def run(batches):
         for row in each(batches):
-            _, classes, sizes, places, out = _chunk(row, count, shape)
-            names = np.frombuffer(row["names"], np.uint64)
+            _, classes, sizes, places, out = _chunk(row, shape)
+            often = grow(row["often"], 1)[0]
             number = np.full(len(classes), -1, np.int32)
-            number[grow(row["often"], 1)[0]] = np.arange(len(names))
+            number[often] = np.arange(len(often))
             own = classes[places]
             after = np.full_like(own, shape.end)
             after[:-1] = own[1:]
             after[np.cumsum(sizes) - 1] = shape.end
             word = number[places]
             use = ~out & (word >= 0)
-            for side, beside in enumerate((_before(own, sizes, shape.end), after)):
-                key, times = np.unique(word[use].astype(np.int64) * c + beside[use], return_counts=True)
-                which = key // c
-                bucket = _bucket(names[which], count)
-                order = np.argsort(bucket, kind="stable")
-                edges = np.searchsorted(bucket[order], np.arange(count + 1)).tolist()
-                parts = []
-                for b, (i, j) in enumerate(zip(edges, edges[1:])):
-                    if j > i:
-                        at = order[i:j]
-                        mine, many = np.unique(which[at], return_counts=True)
-                        blob = shrink(many, key[at] % c + side * c, times[at])
-                        parts.append((b, names[mine].tobytes(), blob))
-                if parts:
-                    b, n, x = zip(*parts)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(b, pa.int32()), pa.array(n, pa.binary()), pa.array(x, pa.binary())],
-                        ["bucket", "names", "blob"],
-                    )
+            first = word[use].astype(np.int64) * wide
+            sides = [first + _before(own, sizes, shape.end)[use], first + c + after[use]]
+            key, times = np.unique(np.concatenate(sides), return_counts=True)
+            which = key // wide
+            many, steps = grow(row["steps"], 2)
+            edges = np.append(0, np.cumsum(many.astype(np.int64)))
+            cuts = np.searchsorted(which, edges).tolist()
+            parts = []
+            for b, (i, j) in enumerate(zip(cuts, cuts[1:])):
+                if j > i:
+                    mine, pairs = np.unique(which[i:j] - edges[b], return_counts=True)
+                    rank = _ranks(steps[edges[b] : edges[b + 1]])[mine]
+                    parts.append((b, shrink(_steps(rank), pairs, key[i:j] % wide, times[i:j])))
+            if parts:
+                b, x = zip(*parts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(b, pa.int32()), pa.array(x, pa.binary())], ["bucket", "blob"]
+                )
 
-    return chunked.mapInArrow(run, "bucket int, names binary, blob binary")
+    return chunked.mapInArrow(run, "bucket int, blob binary")
 
 
 def _entropy(x: np.ndarray) -> np.ndarray:
@@ -418,16 +435,15 @@ def _move(table: np.ndarray, shape: Shape):
     """The frequent words of a bucket with new classes."""
 
     def run(known: pa.Table, seen: pa.Table) -> pa.Table:
-        names = joined(known.column("names").to_pylist(), np.uint64)
         classes = joined(known.column("classes").to_pylist(), np.uint8).copy()
         wide = 2 * shape.total
-        rows_ = list(zip(seen.column("names").to_pylist(), seen.column("blob").to_pylist()))
-        for first in range(0, len(names), 1 << 13):  # dense counts of some words at a time
-            last = min(first + (1 << 13), len(names))
+        blobs = seen.column("blob").to_pylist()
+        for first in range(0, len(classes), 1 << 13):  # dense counts of some words at a time
+            last = min(first + (1 << 13), len(classes))
             context = np.zeros((last - first) * wide)
-            for blob_names, blob in rows_:
-                many, pair, times = grow(blob, 3)
-                at = np.repeat(np.searchsorted(names, np.frombuffer(blob_names, np.uint64)), many)
+            for blob in blobs:
+                steps, many, pair, times = grow(blob, 4)
+                at = np.repeat(_ranks(steps), many)
                 mine = (at >= first) & (at < last)
                 place = (at[mine] - first) * wide + pair[mine]
                 context[place] += times[mine]  # each word and pair once in a blob
@@ -436,7 +452,7 @@ def _move(table: np.ndarray, shape: Shape):
             classes[first:last] = exchange(context, own, table, shape)
         return pa.table(
             {
-                "bucket": known.column("bucket"), "names": known.column("names"),
+                "bucket": known.column("bucket"),
                 "classes": pa.array([classes.tobytes()] * known.num_rows, pa.binary()),
             }
         )
@@ -444,7 +460,7 @@ def _move(table: np.ndarray, shape: Shape):
     return run
 
 
-def _scored(chunked: DataFrame, count: int, shape: Shape, table, n: int, v: int) -> DataFrame:
+def _scored(chunked: DataFrame, shape: Shape, table, n: int, v: int) -> DataFrame:
     """Scores of all documents from the class bigrams."""
     smooth = table + _SMOOTH
     turn = np.log10(smooth / smooth.sum(axis=1, keepdims=True))
@@ -454,7 +470,7 @@ def _scored(chunked: DataFrame, count: int, shape: Shape, table, n: int, v: int)
 
     def run(batches):
         for row in each(batches):
-            counts, classes, sizes, places, _ = _chunk(row, count, shape)
+            counts, classes, sizes, places, _ = _chunk(row, shape)
             known = counts > 0
             emit = np.log10(np.maximum(counts, 1)) - np.log10(np.maximum(total[classes], 1))
             emit = np.where(classes == once, emit + share, emit)
@@ -506,31 +522,30 @@ def score_documents(
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
     chunked = _in_place(encoded(docs.select("doc_id", "text", held)), "encoded")
     n = chunked.agg(F.sum("n")).first()[0] or 0
-    frequent = max(frequent, int(SHARE * n))
     shape = Shape(classes, frequent)
     dictionaries = chunked.select("chunk", "names", "counts").mapInArrow(
         _dictionaries(count), "bucket int, chunk long, names binary, counts binary"
     )
     counted = dictionaries.groupBy("bucket").applyInArrow(
         _count(shape),
-        "chunk long, bucket int, counts binary, names binary, often binary, v long",
+        "chunk long, bucket int, counts binary, ranks binary, names binary, often binary, v long",
     )
     counted = written(counted, "word-counts")
     v = counted.agg(F.sum("v")).first()[0] or 0
     answers = counted.where("chunk is not null").groupBy("chunk").agg(
-        F.collect_list(F.struct("bucket", "counts")).alias("answers")
+        F.collect_list(F.struct("bucket", "counts", "ranks")).alias("answers")
     )
     learned = chunked.drop("counts", "n").join(answers, "chunk")
     learned = _in_place(learned.mapInArrow(_with_counts(count, shape), _LEARNED), "learned")
-    kind = "bucket int, names binary, classes binary"
+    kind = "bucket int, classes binary"
     words_ = counted.where("chunk is null").select("bucket", "names", "often")
     shape = Shape(classes, frequent, _seeds(words_, classes - 1))
     classed = words_.mapInArrow(_first_classes(shape), kind)
     both = learned
     for k in range(rounds):
-        table = _bigrams(both, count, shape)
-        contexts = _contexts(both, count, shape).groupBy("bucket")
+        table = _bigrams(both, shape)
+        contexts = _contexts(both, shape).groupBy("bucket")
         moved = classed.groupBy("bucket").cogroup(contexts).applyInArrow(_move(table, shape), kind)
         classed = written(moved, f"classes-{k}")
-        both = _with_classes(learned, classed, count)
-    return _scored(both, count, shape, _bigrams(both, count, shape), n, v)
+        both = _with_classes(learned, classed)
+    return _scored(both, shape, _bigrams(both, shape), n, v)

@@ -219,6 +219,15 @@ def test_class_scores(docs, no_docs):
     assert brown.score_documents(no_docs, held).count() == 0
 
 
+def test_words_are_clustered_from_the_same_count_at_all_sizes(spark, monkeypatch):
+    """A word seen twice is clustered in a text of two million tokens, too."""
+    seen, count = [], brown._count
+    monkeypatch.setattr(brown, "_count", lambda shape: seen.append(shape.frequent) or count(shape))
+    docs = spark.createDataFrame([(1, "a b " * 1_000_000 + "seldom seldom")], "doc_id long, text string")
+    row = brown.score_documents(docs, F.lit(False), classes=4, frequent=2, rounds=1).first()
+    assert seen == [2] and row.train_tokens == 2_000_003
+
+
 def test_exchange_finds_the_classes_of_words():
     """Words of two kinds that follow each other strictly end up apart."""
     shape = brown.Shape(classes=2, frequent=1)
