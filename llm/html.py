@@ -4,13 +4,15 @@ The standard library's parser streams a page into lines, one for each block of t
 number of tags met since the line before. Lines inside elements that never hold the article (menus,
 headers, footers, forms, scripts, and elements whose class, id or role names such a thing) are
 marked. The ratio of text to tags of the other lines is smoothed by a Gaussian over neighbours, and
-lines above a threshold form clusters. The element that holds most of the clustered text is the
-content region; all its unmarked lines are the text, short ones included.
+lines above a threshold form clusters. The element that holds most of the clustered text leads to
+the content region: the article or main element around it, or else the deepest element that holds
+all clustered lines and headings. All unmarked lines there are the text, short ones included.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -34,6 +36,7 @@ SKIPPED = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that can be a content region.
 REGIONS = frozenset("article main section div body td".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that end an open paragraph.
 ENDS_P = BLOCKS - {"body", "html", "tr", "td", "th", "tbody", "thead", "tfoot"}
 _NAMES = re.compile(
@@ -47,15 +50,16 @@ SIGMA = 2.0
 
 
 class Lines(HTMLParser):
-    """The blocks of a page: text, tags since the block before, marked, and open regions."""
+    """The blocks of a page: text, tags since the block before, marked, open regions, and whether it
+    is a heading."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, tuple[int, ...]]] = []
+        self.lines: list[tuple[str, int, bool, tuple[int, ...], bool]] = []
         self.open: list[tuple[str, bool, int]] = []  # name, marked, region or -1
         self.text: list[str] = []
         self.tags = 0
-        self.regions = 0
+        self.regions: list[str] = []  # names
 
     def _flush(self):
         text = _SPACE.sub(" ", "".join(self.text)).strip()
@@ -63,7 +67,8 @@ class Lines(HTMLParser):
         if text:
             marked = any(m for _, m, _ in self.open)
             inside = tuple(r for _, _, r in self.open if r >= 0)
-            self.lines.append((text, self.tags, marked, inside))
+            heading = any(n in HEADINGS for n, _, _ in self.open)
+            self.lines.append((text, self.tags, marked, inside, heading))
             self.tags = 0
 
     def _marked(self, tag: str, attrs) -> bool:
@@ -92,8 +97,8 @@ class Lines(HTMLParser):
             return
         region = -1
         if tag in REGIONS:
-            region = self.regions
-            self.regions += 1
+            region = len(self.regions)
+            self.regions.append(tag)
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
             scope = ("ul", "ol", "menu", "dl", "table")
             for k in range(len(self.open) - 1, -1, -1):
@@ -147,30 +152,52 @@ def _clustered(ratio: np.ndarray, sigma: float) -> np.ndarray:
     return smooth >= min(smooth.std() / 2 if smooth.std() > 0 else 0.0, smooth.mean())
 
 
-def main_text(html: str, sigma: float = SIGMA) -> str:
-    """The text of a page's content region, one line for each block."""
-    parser = Lines()
-    parser.feed(html)
-    lines = [x for x in parser.finish() if not x[2]]
-    if not lines:
-        return ""
-    ratio = np.array([len(text) / max(tags, 1) for text, tags, _, _ in lines])
-    chosen = _clustered(ratio, sigma)
-    # The deepest region that holds nearly all of the clustered text.
+def _region(lines, chosen: np.ndarray, names: list[str]) -> int:
+    """The content region, or -1 for the whole page.
+
+    An article around most of the clustered text is taken whole; what stands beside it belongs to
+    it only inside of a common main element. Without article and main, the region holds every
+    clustered line and heading.
+    """
     weight: dict[int, int] = {}
-    depth: dict[int, int] = {}
+    paths: dict[int, tuple[int, ...]] = {}
     total = 0
-    for (text, _, _, inside), use in zip(lines, chosen):
+    for (text, _, _, inside, _), use in zip(lines, chosen):
         if use:
             total += len(text)
             for d, r in enumerate(inside):
                 weight[r] = weight.get(r, 0) + len(text)
-                depth[r] = d
+                paths[r] = inside[: d + 1]
     holding = [r for r, w in weight.items() if 2 * w > total]
     if not holding:
-        return "\n".join(text for text, _, _, _ in lines)
-    region = max(holding, key=lambda r: depth[r])
-    return "\n".join(text for text, _, _, inside in lines if region in inside)
+        return -1
+    path = paths[max(holding, key=lambda r: len(paths[r]))]
+    articles = [r for r in path if names[r] == "article"]
+    whole = [r for r in path if names[r] in ("article", "main")]
+    # From the first article or main inside to the outermost: the deepest that holds all.
+    limit = whole[0] if whole else -1
+    least = path.index((articles or whole)[0]) if whole else len(path) - 1
+    needed = [
+        inside for (_, _, _, inside, heading), use in zip(lines, chosen)
+        if (use or heading) and (limit < 0 or limit in inside)
+    ]
+    held = Counter(r for inside in needed for r in inside)
+    for r in path[least::-1]:
+        if r == limit or held[r] == len(needed):
+            return r
+    return -1
+
+
+def main_text(html: str, sigma: float = SIGMA) -> str:
+    """The text of a page's content region, one line for each block."""
+    parser = Lines()
+    parser.feed(html)
+    lines = [x for x in parser.finish() if not x[2]]
+    if not lines:
+        return ""
+    ratio = np.array([len(text) / max(tags, 1) for text, tags, *_ in lines])
+    region = _region(lines, _clustered(ratio, sigma), parser.regions)
+    return "\n".join(text for text, _, _, inside, _ in lines if region < 0 or region in inside)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -28,6 +28,24 @@ def test_main_text():
     assert html.main_text("<nav>menu</nav>") == ""
 
 
+LONG = "A sentence that is long enough to be a part of the text of an article. "
+
+
+def test_article_text_in_several_elements():
+    p = lambda n: f"<p>{LONG * n}</p>"
+    text = lambda *sizes: "\n".join((LONG * n).strip() for n in sizes)
+    page = lambda body: html.main_text(f"<html><body><nav>menu</nav>{body}<footer>end</footer></body></html>")
+    title = "<h1>Title</h1>"
+    assert page(f"<article>{title}<p>Lead</p><div class=body>{p(9)}</div></article>") == "Title\nLead\n" + text(9)
+    assert page(f"<article><section>{p(6)}</section><section>{p(4)}</section></article>") == text(6, 4)
+    assert page(f"<div><div>{p(6)}</div><div class=ad>Buy</div><div>{p(3)}</div><div>{p(1)}</div></div>") == text(6, 3, 1)
+    assert page(f"<div>{title}</div><div>{p(6)}</div>") == "Title\n" + text(6)
+    assert page(f"<main>{title}<article>{p(6)}</article></main>") == "Title\n" + text(6)
+    assert html.main_text(f"{title}<div>{p(6)}</div>") == "Title\n" + text(6)
+    # Another article beside it is not its text.
+    assert page(f"<article>{title}<div>{p(6)}</div></article><article>{p(1)}</article>") == "Title\n" + text(6)
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", "y"), (3, "w", "<p>" + "long " * 200_000, "z")]
     found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
