@@ -3,7 +3,7 @@
 The standard library's parser streams a page into lines, one for each block of text, each with the
 number of tags met since the line before. Lines inside elements that never hold the article (menus,
 headers, footers, forms, scripts, and elements whose class, id or role names such a thing) are
-marked. The ratio of text to tags of the other lines is smoothed by a Gaussian over neighbours, and
+marked. A class or id alone does not mark what holds the article: see ``_wrappers``. The ratio of text to tags of the other lines is smoothed by a Gaussian over neighbours, and
 lines above a threshold form clusters. The element that holds most of the clustered text leads to
 the content region: the article or main element around it, or else the deepest element that holds
 all clustered lines and headings. All unmarked lines there are the text, short ones included.
@@ -40,48 +40,78 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that end an open paragraph.
 ENDS_P = BLOCKS - {"body", "html", "tr", "td", "th", "tbody", "thead", "tfoot"}
 _NAMES = re.compile(
-    r"(?:^|[\s_-])(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|notification|"
-    r"popup|modal|newsletter|subscri\w*|nav\w*|menu|breadcrumbs?|sidebar|aside|widget|related|share|"
-    r"sharing|social|comments?|replies|disqus|respond|footer|masthead|header|login|signup|search|"
-    r"pagination|toolbar)(?:$|[\s_-])"
+    r"(?:^|[_-])(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|notification|"
+    r"popup|modal|newsletter|subscri\w*|nav\w*|menu|breadcrumbs?|sidebar|aside|widget|related|"
+    r"shar(?:e|ing)(?=$|[_-](?:buttons?|bars?|links?|icons?|box|tools?|widget|list|counts?|this|post|"
+    r"wrap\w*|container|menu|block|top|bottom)(?:$|[_-]))|"
+    r"social|comments?|replies|disqus|respond|footer|masthead|header|login|signup|search|"
+    r"pagination|toolbar)(?:$|[_-])"
 )
+#: From here on, a name says what an element has or how it is, not what it is.
+_MODIFIER = re.compile(
+    r"(?:^|[_-])(?:has|no|not|with|without|hide|show)[_-].*|"
+    r"(?:^|[_-])[a-z]+[_-](?:open|opened|closed|visible|enabled|disabled|on|off)$"
+)
+_READERS = re.compile(r"comment|repl|disqus|respond")
 _SPACE = re.compile(r"\s+")
+_NEVER = -1
 SIGMA = 2.0
 
 
+def _named(tag: str, value: str) -> str:
+    """The listed word that a class or id names, or nothing. Tables, mostly data, have to be named
+    by the whole word."""
+    for name in value.lower().split():
+        found = _NAMES.search(_MODIFIER.sub("", name))
+        if found and (tag != "table" or found.group(1) == name):
+            return found.group(1)
+    return ""
+
+
 class Lines(HTMLParser):
-    """The blocks of a page: text, tags since the block before, marked, open regions, and whether it
-    is a heading."""
+    """The blocks of a page: text, tags since the block before, marks by name (null: in an element
+    that is never part of an article), open regions, and whether it is a heading."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, bool, tuple[int, ...], bool]] = []
-        self.open: list[tuple[str, bool, int]] = []  # name, marked, region or -1
+        self.lines: list[tuple[str, int, tuple[int, ...] | None, tuple[int, ...], bool]] = []
+        self.open: list[tuple[str, int, int]] = []  # name, mark by name, 0 or _NEVER; region or -1
         self.text: list[str] = []
         self.tags = 0
         self.regions: list[str] = []  # names
+        self.around: list[tuple[int, ...]] = []  # marks around each region
+        self.marks: list[tuple[bool, tuple[int, ...]]] = []  # of readers, regions around
 
     def _flush(self):
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         self.text.clear()
         if text:
-            marked = any(m for _, m, _ in self.open)
+            never = any(m == _NEVER for _, m, _ in self.open)
+            marked = None if never else self._marks()
             inside = tuple(r for _, _, r in self.open if r >= 0)
             heading = any(n in HEADINGS for n, _, _ in self.open)
             self.lines.append((text, self.tags, marked, inside, heading))
             self.tags = 0
 
-    def _marked(self, tag: str, attrs) -> bool:
+    def _marks(self) -> tuple[int, ...]:
+        return tuple(m for _, m, _ in self.open if m > 0)
+
+    def _mark(self, tag: str, attrs) -> int:
         if tag in SKIPPED or tag == "header" and not any(n in ("article", "main") for n, _, _ in self.open):
-            return True
+            return _NEVER
         given = dict(attrs)
         if "hidden" in given or (given.get("aria-hidden") or "").lower() == "true":
-            return True
+            return _NEVER
         if (given.get("role") or "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert"):
-            return True
+            return _NEVER
         if tag in ("article", "main", "body", "html", "p", "h1"):
-            return False
-        return any(_NAMES.search((given.get(k) or "").lower()) for k in ("class", "id"))
+            return 0
+        names = [_named(tag, given.get(k) or "") for k in ("class", "id")]
+        if not any(names):
+            return 0
+        around = tuple(r for _, _, r in self.open if r >= 0)
+        self.marks.append((any(map(_READERS.match, names)), around))
+        return len(self.marks)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -99,6 +129,7 @@ class Lines(HTMLParser):
         if tag in REGIONS:
             region = len(self.regions)
             self.regions.append(tag)
+            self.around.append(self._marks())
         if tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
             scope = ("ul", "ol", "menu", "dl", "table")
             for k in range(len(self.open) - 1, -1, -1):
@@ -107,10 +138,10 @@ class Lines(HTMLParser):
                 if self.open[k][0] == tag:
                     self._close(k)
                     break
-        marked = self._marked(tag, attrs)
-        if marked:
+        mark = self._mark(tag, attrs)
+        if mark:
             self._flush()
-        self.open.append((tag, marked, region))
+        self.open.append((tag, mark, region))
 
     def _close(self, at: int):
         if any(n in BLOCKS or m for n, m, _ in self.open[at:]):
@@ -152,6 +183,54 @@ def _clustered(ratio: np.ndarray, sigma: float) -> np.ndarray:
     return smooth >= min(smooth.std() / 2 if smooth.std() > 0 else 0.0, smooth.mean())
 
 
+def _wrappers(parser: Lines, lines) -> set[int]:
+    """The marks by name that stand on what holds the article, and so do not count.
+
+    Such a mark is around a main element, or, where none is free of marks, around an article
+    longer than all unmarked text, or has most of the text of its article, or of the page if no
+    article stands outside. Readers' comments are not the article because of their length. Where
+    everything is marked, no mark by name counts.
+    """
+    held: Counter[int] = Counter()
+    inner: Counter[int] = Counter()  # text of regions outside of further marks
+    scope: Counter[int] = Counter()
+    page = free = 0
+    for text, _, marks, inside, _ in lines:
+        n = len(text)
+        page += n
+        free += n * (not marks)
+        held.update(dict.fromkeys(marks, n))
+        for r in inside:
+            if parser.regions[r] in ("article", "main"):
+                scope[r] += n
+                inner[r] += n * (parser.around[r] == marks)
+    named = lambda kind, found: [r for r in found if parser.regions[r] == kind]
+    open_ = {k: [r for r in named(k, inner) if inner[r] and not parser.around[r]] for k in ("article", "main")}
+    out: set[int] = set()
+    for r in named("main", scope):
+        out.update(parser.around[r])
+    if not open_["article"] and not open_["main"]:
+        for r in named("article", inner):
+            if inner[r] > free and not any(parser.marks[m - 1][0] for m in parser.around[r]):
+                out.update(parser.around[r])
+    for m, n in held.items():
+        readers, around = parser.marks[m - 1]
+        total = page
+        for kind in ("article", "main"):
+            mine = named(kind, around)
+            if mine:
+                total = scope[mine[0]]
+                break
+            if open_[kind]:
+                total = 2 * n  # the article is elsewhere
+                break
+        if not readers and 2 * n > total:
+            out.add(m)
+    if not any(out.issuperset(marks) for _, _, marks, _, _ in lines):
+        out.update(held)
+    return out
+
+
 def _region(lines, chosen: np.ndarray, names: list[str]) -> int:
     """The content region, or -1 for the whole page.
 
@@ -192,9 +271,12 @@ def main_text(html: str, sigma: float = SIGMA) -> str:
     """The text of a page's content region, one line for each block."""
     parser = Lines()
     parser.feed(html)
-    lines = [x for x in parser.finish() if not x[2]]
+    lines = [x for x in parser.finish() if x[2] is not None]
     if not lines:
         return ""
+    if parser.marks:
+        wrappers = _wrappers(parser, lines)
+        lines = [x for x in lines if wrappers.issuperset(x[2])]
     ratio = np.array([len(text) / max(tags, 1) for text, tags, *_ in lines])
     region = _region(lines, _clustered(ratio, sigma), parser.regions)
     return "\n".join(text for text, _, _, inside, _ in lines if region < 0 or region in inside)

@@ -46,6 +46,24 @@ def test_article_text_in_several_elements():
     assert page(f"<article>{title}<div>{p(6)}</div></article><article>{p(1)}</article>") == "Title\n" + text(6)
 
 
+def test_names_of_wrappers_do_not_mark_the_article():
+    text = (LONG * 6).strip()
+    p = f"<p>{text}</p>"
+    page = lambda body: html.main_text(f"<html><body>{body}<footer>end</footer></body></html>")
+    for name in ("site has-sidebar", "no-sidebar", "page--with-header", "nav-open", "layout-sidebar-left", "widget"):
+        assert page(f"<div class='{name}'><article>{p}</article></div>") == text
+        assert page(f"<div id='{name}'><main>{p}<div class='share-buttons'>Share</div></main></div>") == text
+        assert page(f"<div class='{name}'><div>{p}</div><div class=ad>Buy</div></div>") == text
+    assert page(f"<article><h1>T</h1><div class=widget>{p}</div></article>") == "T\n" + text
+    table = "<table class='share-prices'><tr><td>Price</td></tr></table>"
+    assert page(f"<article>{p}{table}{p}</article>") == f"{text}\nPrice\n{text}"
+    assert page(f"<div class=promo>{p}</div><div class=banner>{p}</div>") == f"{text}\n{text}"
+    # What is beside the article stays out, however long it is.
+    for other in ("comments", "related", "sidebar"):
+        assert page(f"<article>{p}</article><div class={other}><article>{p * 3}</article></div>") == text
+    assert page(f"<div>{p}</div><div id=comments><article>{p * 3}</article></div>") == text
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", "y"), (3, "w", "<p>" + "long " * 200_000, "z")]
     found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
