@@ -13,7 +13,9 @@ Which windows of 100 bytes also start earlier is found among suffixes that can s
 
 A passage that very many documents hold is one fragment for each chunk in step 1, because the
 chunks drop their own repetitions. At its edges every document has another fragment; a string with
-more than ``CROWD`` of them is taken apart into single windows, dealt out by their own hash.
+more than ``CROWD`` of them is taken apart into single windows, dealt out by their own hash. Of
+equal windows (compared byte by byte) only the first in each group of documents is dealt out, so
+that a window costs one row for each group; the others are repeated spans at once.
 """
 
 from __future__ import annotations
@@ -209,17 +211,50 @@ def _cut_out(at: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(at, size) + inner
 
 
+def _again(data, at, string, key, start) -> np.ndarray:
+    """Of single windows: which equal, byte by byte, the first with their hash."""
+    order = np.lexsort((start, key, string))
+    new = np.ones(len(order), bool)
+    new[1:] = string[order][1:] != string[order][:-1]
+    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    out = np.zeros(len(order), bool)
+    out[order[~new]] = _equal(data, at[order[~new]], at[first[~new]], WINDOW)
+    return out
+
+
+def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+    """Which pairs of places agree over ``length``, byte by byte."""
+    out = np.ones(len(a), bool)
+    reach = np.arange(length)
+    for at in range(0, len(a), 1 << 16):
+        x, y = a[at : at + (1 << 16), None], b[at : at + (1 << 16), None]
+        out[at : at + (1 << 16)] = (data[x + reach] == data[y + reach]).all(axis=1)
+    return out
+
+
+def _runs(key: np.ndarray, window: np.ndarray):
+    """Windows of documents as runs: document, first window, windows."""
+    order = np.lexsort((window, key))
+    key, window = key[order], window[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (window[1:] != window[:-1] + 1)
+    first = np.flatnonzero(new)
+    return key[first], window[first].astype(np.uint64), np.diff(np.append(first, len(key)))
+
+
 _FRAGMENT = (8, 6, 2, 1, 8)  # document, first window, windows, place, string
 
 
 def _with_text(count: int):
-    """Fragments of a group of documents with their bytes, by hash of their string."""
+    """Fragments of a group of documents with their bytes, by hash of their string; and spans that
+    repeat an earlier one of the group, without."""
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         _, keys, offsets, data = _documents(docs)
         key, start, size, place, string, crowd = _unpack(found.column("blob").to_pylist(), *_CANDIDATE)
         start, size, place = start.astype(np.int64), size.astype(np.int64), place.astype(np.int64)
         at = offsets[np.searchsorted(keys, key)] + start
+        out = []
         if crowd.any():
             many = crowd == 1
             windows = _cut_out(at[many], size[many])
@@ -227,17 +262,21 @@ def _with_text(count: int):
             lengths = size[many] + WINDOW - 1
             own = PrefixHash(data[_cut_out(at[many], lengths)]).windows(WINDOW)
             own = own[_cut_out(np.cumsum(lengths) - lengths, size[many])]
-            few = ~many
+            few, own, window = ~many, mix(own), start[of] + windows - at[of]
+            again = _again(data, windows, own, key[of], window)
+            if again.any():
+                spans = _runs(key[of][again], window[again])
+                out.append((int(keys[0] % np.uint64(count)), _pack(*zip(spans, _SPAN)), None))
+            of, own, window, windows = of[~again], own[~again], window[~again], windows[~again]
             key = np.concatenate([key[few], key[of]])
-            start = np.concatenate([start[few], start[of] + windows - at[of]])
-            string = np.concatenate([string[few], mix(own)])
+            start = np.concatenate([start[few], window])
+            string = np.concatenate([string[few], own])
             at = np.concatenate([at[few], windows])
             size = np.concatenate([size[few], np.ones(len(windows), np.int64)])
             place = np.concatenate([place[few], np.zeros(len(windows), np.int64)])
         bucket = (mix(string) % np.uint64(count)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(count + 1))
-        out = []
         for b in range(count):
             i = order[edges[b] : edges[b + 1]]
             if len(i):
@@ -281,12 +320,7 @@ class Suffixes:
 
     def equal(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Which agree over the whole window, byte by byte."""
-        out = np.ones(len(a), bool)
-        for at in range(0, len(a), 1 << 16):
-            x, y = a[at : at + (1 << 16), None], b[at : at + (1 << 16), None]
-            reach = np.arange(self.length)
-            out[at : at + (1 << 16)] = (self.data[x + reach] == self.data[y + reach]).all(axis=1)
-        return out
+        return _equal(self.data, a, b, self.length)
 
     def sort(self, suffix: np.ndarray, part: np.ndarray) -> np.ndarray:
         """A stable order of suffixes within parts; equal parts are adjacent.
@@ -357,14 +391,25 @@ def repeated_windows(data, at, size, place, string, key, start):
 def _compare(groups: int):
     def run(table: pa.Table) -> pa.Table:
         blobs, texts = table.column("blob").to_pylist(), table.column("text").to_pylist()
-        key, start, size, place, string = _unpack(blobs, *_FRAGMENT)
-        data = np.frombuffer(b"".join(zstandard.decompress(x) for x in texts), np.uint8)
+        known = _unpack([b for b, x in zip(blobs, texts) if x is None], *_SPAN)
+        key, start, size, place, string = _unpack(
+            [b for b, x in zip(blobs, texts) if x is not None], *_FRAGMENT
+        )
+        data = np.frombuffer(
+            b"".join(zstandard.decompress(x) for x in texts if x is not None), np.uint8
+        )
         size, place, start = (x.astype(np.int64) for x in (size, place, start))
         at = np.cumsum(size + WINDOW - 1) - (size + WINDOW - 1)
+        # Single windows need no sort: many groups of documents may hold the same.
+        single = np.flatnonzero(size == 1)
+        again = single[_again(data, at[single], string[single], key[single], start[single])]
+        found = [(key[again], start[again])]
+        rest = np.ones(len(key), bool)
+        rest[again] = False
+        at, key, start, size, place, string = (x[rest] for x in (at, key, start, size, place, string))
         order = np.argsort(string, kind="stable")
         new = np.flatnonzero(np.append(True, string[order][1:] != string[order][:-1])[: len(order)])
         done = np.cumsum(size[order])
-        found = []
         first = 0
         while first < len(order):
             before = done[first - 1] if first else 0
@@ -380,15 +425,8 @@ def _compare(groups: int):
                 )
             )
             first = last
-        key = np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in found)])
-        window = np.concatenate([np.zeros(0, np.int64), *(w for _, w in found)])
-        order = np.lexsort((window, key))
-        key, window = key[order], window[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (window[1:] != window[:-1] + 1)
-        first = np.flatnonzero(new)
-        count = np.diff(np.append(first, len(key)))
-        out = _spans(key[first], window[first].astype(np.uint64), count, groups)
+        runs = _runs(*(np.concatenate(x) for x in zip(*found)))
+        out = _spans(*(np.concatenate(x) for x in zip(known, runs)), groups)
         columns = list(zip(*out)) or [(), (), ()]
         return pa.table(
             {"group": pa.array(list(columns[0]), pa.int32()), "blob": pa.array(list(columns[2]), pa.binary())}

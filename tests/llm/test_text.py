@@ -114,6 +114,20 @@ def test_crowded_strings_are_taken_apart():
     assert len(want) >= 5 * 51 and results[0] == results[1] == want
 
 
+def test_a_crowded_window_is_dealt_out_once_for_a_group():
+    rng = np.random.default_rng(6)
+    letters = lambda n: rng.integers(97, 123, n).astype(np.uint8)
+    common = letters(150)
+    rows = [np.concatenate([letters(80), common, letters(80)]) for _ in range(30)]
+    table = pa.table({"key": pa.array(range(30)), "doc_id": pa.array(range(30)), "text": pa.array([x.tobytes().decode() for x in rows])})
+    row, first, size, place, string, _ = suffixes.fragments(np.concatenate(rows), np.arange(0, 30 * 310 + 1, 310))
+    blob = suffixes._pack(*zip((row.astype(np.uint64), first - 310 * row, size, place, string & np.uint64(2**48 - 1), np.ones(len(row), int)), suffixes._CANDIDATE))
+    dealt = suffixes._with_text(8)(table, pa.table({"blob": pa.array([blob], pa.binary())})).to_pylist()
+    key, start, *_ = suffixes._unpack([r["blob"] for r in dealt if r["text"] is not None], *suffixes._FRAGMENT)
+    windows = [rows[int(k)][int(j) : int(j) + 100].tobytes() for k, j in zip(key, start)]
+    assert len(windows) == len(set(windows)) == len({x[j : j + 100].tobytes() for x in rows for j in range(211)})
+
+
 def brute_near(rows):
     rows = ordered(rows)
     sets = []
