@@ -59,26 +59,20 @@ def match(host: Column, path: Column, rules=RULES) -> Column:
 
 def templates(
     paths: DataFrame,
-    depth: int = 4,
     many: int = 8,
     rare: float = 0.5,
     z: float = 1.96,
 ) -> DataFrame:
     """(host, path, template) from (host, path, n, n_labelled, n_bad), one row for each path.
 
-    Segments beyond ``depth`` stand as one. A node's children all become wildcards if there are at
+    The tree is as deep as the longest path, whose number of segments is asked first. A node's children all become wildcards if there are at
     least ``many``, and ``rare`` times as many as urls. Every level is one aggregation over
     branches and one over nodes; a host with very many urls costs one row for each path and task.
     """
     parts = F.filter(F.split("path", "/"), lambda x: x != "")
-    tail = F.when(
-        F.size("parts") > depth,
-        F.concat(F.slice("parts", 1, depth), F.array(F.lit("**"))),
-    ).otherwise(F.col("parts"))
-    tree = paths.select("*", parts.alias("parts")).select(
-        *paths.columns, tail.alias("parts"), F.lit("").alias("template")
-    )
-    for level in range(depth + 1):
+    tree = paths.select("*", parts.alias("parts"), F.lit("").alias("template"))
+    depth = tree.agg(F.max(F.size("parts"))).first()[0] or 0
+    for level in range(depth):
         segment = F.get("parts", F.lit(level))
         tree = tree.withColumn(
             "segment", F.when(segment.rlike("[0-9]"), "*").otherwise(segment)

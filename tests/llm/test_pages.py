@@ -158,6 +158,13 @@ def test_templates_reject_what_is_mostly_blocked(spark):
     assert found == {"/bad/*": round(31 / 32, 3), "/bad/new": 0.5, "/good/*": 0.5}
 
 
+def test_templates_tell_deep_folders_apart(spark):
+    paths = [("h", f"/a/b/c/d/e/{'bad' if k % 2 else 'good'}/{k}", 1, k % 2, k % 2) for k in range(60)]
+    df = spark.createDataFrame(paths, "host string, path string, n long, n_labelled long, n_bad long")
+    found = {r.template: round(r.purity, 3) for r in urls.purity(urls.templates(df)).collect()}
+    assert found == {"/a/b/c/d/e/bad/*": round(31 / 32, 3), "/a/b/c/d/e/good/*": 0.5}
+
+
 def test_nearest_is_exact_enough(spark):
     rng = np.random.default_rng(4)
     vectors = rng.normal(size=(1500, 24)).astype(np.float32)
