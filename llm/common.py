@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlens.session import written
+from flowlens.session import fresh_path, written
 
 #: White space between words: space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -68,6 +68,22 @@ def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
     return written(order.select(F.monotonically_increasing_id().alias("key"), "*"), "keyed")
 
 
+def in_place(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder in buckets by chunk, so that joins by chunk leave it there.
+
+    The catalog's entry goes at once; the frame returned knows files and buckets.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, name)
+    entry = path.rsplit("/", 1)[1].replace("-", "_")
+    count = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(count, "chunk").option("path", path).saveAsTable(entry)
+    out = spark.table(entry)
+    out.schema  # resolved before the entry goes
+    spark.sql(f"DROP TABLE {entry}")
+    return out
+
+
 def raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets (from 0) and UTF-8 bytes of a text column; null is empty."""
     column = pc.fill_null(column.cast(pa.string()), "")

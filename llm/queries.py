@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import brown, html, near, neighbours, packing, pieces, quality, suffixes, token_counts, urls
+from llm import alignment, brown, html, lines, near, neighbours, packing, pieces, quality, suffixes, token_counts, urls
 from llm.common import table
 
 
@@ -60,6 +60,14 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_lines(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sampled_pieces": op1_sampled_pieces,
     "op2_repeats_removed": op2_repeats_removed,
@@ -71,6 +79,8 @@ QUERIES = {
     "op8_class_scores": op8_class_scores,
     "op9_quality_rules": op9_quality_rules,
     "op10_packed_sequences": op10_packed_sequences,
+    "op12_line_repeats": op12_line_repeats,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLES: dict[str, str] = {
