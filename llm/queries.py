@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import alignment, brown, html, lines, near, neighbours, packing, pieces, quality, suffixes, token_counts, urls
+from llm import alignment, brown, conversations, html, lines, near, neighbours, packing, pieces, quality, suffixes, token_counts, urls
 from llm.common import table
 
 
@@ -60,6 +60,24 @@ def op10_packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults dealt out by their key: dropped, emptied, cut short, repeated, reroled."""
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(name("conv_id"), F.lit(":"), name("turn")).cast("binary")) % 20
+    text = F.when(fault == 1, "").when(fault == 2, F.regexp_replace(name("text"), "[.!?]", ""))
+    times = F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1)
+    return turns.select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(name("role")).alias("role"),
+        text.otherwise(name("text")).alias("text"),
+        F.explode(F.array_repeat(F.lit(0), times)).alias("copy"),
+    ).drop("copy")
+
+
+def op11_repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversations.repair(damaged(turns), turns)
+
+
 def op12_line_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_lines(table(spark, sf_dir, "documents"))
 
@@ -79,6 +97,7 @@ QUERIES = {
     "op8_class_scores": op8_class_scores,
     "op9_quality_rules": op9_quality_rules,
     "op10_packed_sequences": op10_packed_sequences,
+    "op11_repaired_conversations": op11_repaired_conversations,
     "op12_line_repeats": op12_line_repeats,
     "op13_token_alignment": op13_token_alignment,
 }
