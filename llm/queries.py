@@ -140,4 +140,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        CAST(r0::INT + 2 * r1::INT + 4 * r2::INT + 8 * r3::INT + 16 * r4::INT + 32 * r5::INT
             AS INT) AS failures
 FROM judged""",
+    "op12_line_repeats": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, doc_id, string_split(coalesce(text, ''), chr(10)) AS all_lines
+  FROM documents
+), lines AS (
+  SELECT id, doc_id, i, all_lines[i] AS line,
+         translate(regexp_replace(all_lines[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM docs, unnest(range(1, len(all_lines) + 1)) AS t(i)
+), shared AS (
+  SELECT key FROM lines WHERE key <> '' GROUP BY key HAVING count(DISTINCT id) >= 10
+), marked AS (
+  SELECT lines.*, shared.key IS NOT NULL AS gone FROM lines LEFT JOIN shared USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY id, doc_id""",
 }
