@@ -61,7 +61,6 @@ def stream_numbers(spark, folder: str) -> dict[str, float]:
         stream_topic(spark, path=topic, per_trigger=2),
         Q.trained(spark, folder).bundle,
         fresh_path(spark, "scored"),
-        fresh_path(spark, "quarantine"),
         fresh_path(spark, "offsets"),
         available_now=True,
     )

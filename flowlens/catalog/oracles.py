@@ -172,6 +172,53 @@ def _dimension(name: str, value: str, label: str = "CAST(NULL AS VARCHAR)") -> s
     )
 
 
+MEASURED = ["duration", "total_bytes", "bytes_per_sec"]
+SHARES = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+
+# Time since the source's flow before.
+GAPS = """
+, gaps AS (
+  SELECT uid, orig_h, label, ts - lag(ts) OVER (PARTITION BY orig_h ORDER BY ts, uid) AS gap
+  FROM flows
+)
+"""
+
+
+def _quantiles(table: str, measures: list[str]) -> str:
+    """Quantiles of each measure by label."""
+    parts = [
+        f"""SELECT '{m}' AS "column", label, CAST(f AS DOUBLE) AS fraction,
+                   round(list_extract(q, i), 6) AS value
+            FROM (SELECT label, quantile_cont(CAST({m} AS DOUBLE), {SHARES}) AS q
+                  FROM {table} WHERE {m} IS NOT NULL GROUP BY label),
+                 (SELECT unnest({SHARES}) AS f, unnest(range(1, {len(SHARES) + 1})) AS i)"""
+        for m in measures
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def _port_ranges(gap: int, least: int, ratio: float) -> str:
+    """Islands of ports that malicious flows hit."""
+    return f"""{BASE}
+        , ports AS (
+          SELECT proto, resp_port,
+                 count(*) FILTER (label LIKE '%Malicious%') AS bad,
+                 count(*) FILTER (label NOT LIKE '%Malicious%') AS good
+          FROM cleaned GROUP BY proto, resp_port
+        ), risky AS (
+          SELECT *, resp_port - lag(resp_port) OVER (PARTITION BY proto ORDER BY resp_port) AS step
+          FROM ports WHERE bad >= {least} AND bad / (good + 1) >= {ratio}
+        ), islands AS (
+          SELECT *, count(*) FILTER (step IS NULL OR step > {gap})
+                      OVER (PARTITION BY proto ORDER BY resp_port) AS island
+          FROM risky)
+        SELECT proto, min(resp_port) AS first_port, max(resp_port) AS last_port,
+               count(*) AS ports, CAST(sum(bad) AS BIGINT) AS malicious_count,
+               CAST(sum(good) AS BIGINT) AS benign_count,
+               CAST(sum(bad) AS BIGINT) / (CAST(sum(good) AS BIGINT) + 1) AS risk_ratio
+        FROM islands GROUP BY proto, island"""
+
+
 ORACLES = {
     "src1_topic_read": f"{BASE} SELECT CAST(uid AS VARCHAR) AS uid, ts, duration, label FROM flows",
     "src2_topic_stream": f"{BASE} SELECT CAST(uid AS VARCHAR) AS uid, ts, duration, label FROM flows",
@@ -415,7 +462,58 @@ ORACLES = {
         SELECT uid, '0.25 0.75' AS probability, predicted_label
         FROM predictions""",
     "snk4_offline_scoring": f"""{BASE}
-        SELECT uid % 11 <> 0 AS scored, count(*) AS rows FROM flows GROUP BY 1""",
+        SELECT CASE WHEN uid % 11 <> 0 THEN label END AS label, count(*) AS flows,
+               true AS counts_agree
+        FROM flows WHERE label IS NOT NULL GROUP BY 1""",
+    "sig4_refreshed_rules": f"""{BASE} {BY_PROTO}
+        SELECT uid, resp_port, proto, CASE WHEN hit THEN risk_ratio END AS risk_ratio,
+               hit AS flagged, CAST(uid % 2 + 1 AS BIGINT) AS rule_version
+        FROM (SELECT c.uid, c.resp_port, c.proto, s.risk_ratio,
+                     coalesce((s.risk_ratio >= 3.0) = (c.uid % 2 = 0), false) AS hit
+              FROM cleaned c LEFT JOIN signatures s USING (resp_port, proto))""",
+    "rng1_port_ranges": _port_ranges(1, 1, 0.0),
+    "rng2_risky_port_ranges": _port_ranges(2, 2, 0.5),
+    "dis1_size_and_time_by_label": f"{BASE} {_quantiles('featured', MEASURED)}",
+    "dis2_gaps_by_label": f"{BASE} {GAPS} {_quantiles('gaps', ['gap'])}",
+    "dis3_gap_of_each_flow": f"""{BASE} {GAPS}
+        SELECT uid, orig_h, round(gap, 6) AS gap FROM gaps""",
+    "dis4_stream_sketches": f"""{BASE}
+        SELECT m AS "column", label, count(*) AS n, CAST(f AS DOUBLE) AS fraction,
+               true AS not_above, true AS not_below
+        FROM predictions, unnest({MEASURED}) AS a(m), unnest({SHARES}) AS b(f) GROUP BY ALL""",
+    "ded1_replayed_topic": f"""{BASE}
+        , sent AS (SELECT * FROM featured UNION ALL SELECT * FROM featured)
+        SELECT DISTINCT ON (uid) uid, conn_state, label, total_bytes FROM sent""",
+    "ded2_newest_of_each_record": f"""{BASE}
+        , sent AS (
+          SELECT uid, ts, conn_state, label FROM flows
+          UNION ALL SELECT uid, ts + 60, 'RSTO', label FROM flows WHERE uid % 3 = 0
+          UNION ALL SELECT uid, ts, conn_state, label FROM flows WHERE uid % 5 = 0)
+        SELECT DISTINCT ON (uid) uid, round(ts, 6) AS ts, conn_state, label
+        FROM sent ORDER BY uid, ts DESC""",
+    "alr4_alert_after_each_batch": f"""{BASE}
+        , arrived AS (
+          SELECT *, CAST(list_position([2, 0, 3, 1], uid % 4) - 1 AS BIGINT) AS arrival
+          FROM predictions
+        ), seen AS (
+          SELECT b AS batch_id, a."timestamp" AS moment, a.predicted_label AS label
+          FROM unnest([0, 1, 2, 3]) AS t(b) JOIN arrived a ON a.arrival <= b
+        ), kept AS (
+          SELECT *, max(moment) OVER (PARTITION BY batch_id) AS newest FROM seen
+        ), counted AS (
+          SELECT batch_id, newest, count(*) AS total,
+                 count(*) FILTER (label = 'Malicious') AS malicious
+          FROM kept WHERE moment >= newest - INTERVAL 1 DAY GROUP BY batch_id, newest)
+        SELECT CAST(batch_id AS BIGINT) AS batch_id, strftime(newest, {CLOCK}) AS newest, total,
+               malicious, malicious / total AS rate,
+               total >= 10 AND malicious / total > 0.35 AS alert
+        FROM counted""",
+    "tim3_archived_counts": f"""{BASE}
+        SELECT strftime(h, {CLOCK}) AS start, predicted_label, count(*) AS "count"
+        FROM (SELECT date_trunc('hour', "timestamp") AS h, predicted_label FROM predictions)
+        GROUP BY h, predicted_label""",
+    "snk1_archive_and_batches": f"""{BASE}
+        SELECT uid, CAST(uid % 3 AS BIGINT) AS batch_id, predicted_label FROM predictions""",
     "str4_empty_batch": f"{BASE} SELECT uid, label FROM flows",
     "snk5_cached_exploration": f"""{BASE}
         SELECT 'proto' AS dimension, proto AS value, count(*) AS "count"

@@ -18,16 +18,20 @@ from flowlens.models import features as M
 from flowlens.models import training as T
 from flowlens.models.bundle import ModelBundle
 from flowlens.models.split import split_bucket, train_test_split
+from flowlens.operators import arrivals as A
 from flowlens.operators import cleaning as C
+from flowlens.operators import dedup as U
 from flowlens.operators import distributions as D
 from flowlens.operators import evaluation as E
+from flowlens.operators import quantiles as Z
+from flowlens.operators import ranges as R
 from flowlens.operators import signatures as S
 from flowlens.operators import timeline as L
 from flowlens.plans.explore import cached, explore
 from flowlens.plans.offline import count_predictions, score_flows
 from flowlens.plans.reports import label_distribution
 from flowlens.schema import CORRUPT
-from flowlens.session import fresh_path, shared_dir
+from flowlens.session import fresh_path, shared_dir, written
 from flowlens.sources.files import (
     flows_from_events,
     read_delimited,
@@ -48,17 +52,23 @@ from flowlens.sources.topics import (
     stream_topic,
     write_topic,
 )
+from flowlens.streaming.alerts import read_decisions, start_alerts
+from flowlens.streaming.flagging import publish_rules, start_flagging
 from flowlens.streaming.progress import ProgressLog
 from flowlens.streaming.scorer import score_messages, start_scoring
 from flowlens.streaming.sinks import (
+    SCORED,
     Batch,
+    compact_scored,
+    read_scored,
     start_memory,
     start_table,
     stored_columns,
     write_batch,
     write_snapshot,
 )
-from flowlens.streaming.windows import read_alerts, read_counts, start_counts
+from flowlens.streaming.sketches import read_sketches, start_sketches
+from flowlens.streaming.windows import compact_counts, read_alerts, read_counts, start_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -488,16 +498,27 @@ def agg12_classification_report(spark, folder):
     )
 
 
+def by_class(spark: SparkSession, folder: str, flows_: DataFrame) -> DataFrame:
+    """Flows per predicted class (NULL: not scored), with its label, and whether their number is
+    that of the flows with this label, give or take what the model may get wrong."""
+    model = trained(spark, folder).bundle
+    scored = score_flows(flows_, model)
+    counts = count_predictions(scored).withColumnRenamed("count", "found")
+    names = spark.createDataFrame(list(enumerate(model.labels)), "class int, label string")
+    expected = scored.where("label is not null").groupBy(
+        F.when(F.col("reason").isNull(), F.col("label")).alias("of")
+    ).agg(F.count("*").alias("flows"))
+    unlabelled = scored.where("label is null").agg(F.count("*").alias("n")).scalar()
+    named = counts.join(F.broadcast(names), F.col("prediction") == F.col("class"), "left")
+    both = named.join(expected, F.col("label").eqNullSafe(F.col("of")))
+    near = F.abs(F.col("found") - F.col("flows")) <= (1 - RIGHT) * F.col("flows") + unlabelled
+    return both.select("label", "flows", near.alias("counts_agree"))
+
+
 @query
 def agg13_prediction_total(spark, folder):
-    """Flows per label, all scored, and whether the model's counts agree with the labels'."""
-    model = trained(spark, folder).bundle
-    scored = score_flows(flows(spark, folder), model).where("label is not null")
-    predicted = label_distribution(scored).withColumnRenamed("count", "n")
-    labels = scored.groupBy("label").agg(F.count("*").alias("flows"))
-    agree = F.abs(F.col("n") - F.col("flows")) <= (1 - RIGHT) * F.col("flows")
-    both = labels.join(predicted, F.col("label") == F.col("predicted_label"), "left")
-    return both.select("label", "flows", F.coalesce(agree, F.lit(False)).alias("counts_agree"))
+    """Flows per predicted class of flows that all can be scored."""
+    return by_class(spark, folder, flows(spark, folder))
 
 
 @query
@@ -559,6 +580,102 @@ def sig3_flagged_flows(spark, folder):
     return flagged.select("uid", "resp_port", "proto", "risk_ratio", "flagged")
 
 
+@query
+def sig4_refreshed_rules(spark, folder):
+    """The first half of the flows meets rules from a ratio of 3 on, the second those below it."""
+    rows = cleaned(spark, folder)
+    topic, rules = fresh_path(spark, "topic"), fresh_path(spark, "rules")
+    output, offsets = fresh_path(spark, "flagged"), fresh_path(spark, "offsets")
+    signatures = written(S.port_signatures(rows), "signatures")
+    for half, ratio in ((0, F.col("risk_ratio") >= 3.0), (1, F.col("risk_ratio") < 3.0)):
+        publish_rules(signatures.where(ratio), rules, threshold=0.0)
+        write_topic(encode(flows(spark, folder).where(F.col("uid") % 2 == half)), path=topic)
+        stream = C.add_features(C.clean(decode(stream_topic(spark, path=topic))))
+        start_flagging(stream, rules, output, offsets).awaitTermination()
+    flagged = spark.read.parquet(output)
+    uid = F.col("uid").cast("long").alias("uid")
+    return flagged.select(uid, "resp_port", "proto", "risk_ratio", "flagged", "rule_version")
+
+
+@query
+def rng1_port_ranges(spark, folder):
+    return R.port_ranges(cleaned(spark, folder))
+
+
+@query
+def rng2_risky_port_ranges(spark, folder):
+    """Ports at most two apart, hit twice or more and more often than benign flows hit them."""
+    return R.port_ranges(cleaned(spark, folder), gap=2, min_malicious=2, min_ratio=0.5)
+
+
+# Distributions
+
+
+MEASURED = ["duration", "total_bytes", "bytes_per_sec"]
+SHARES = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
+
+
+@query
+def dis1_size_and_time_by_label(spark, folder):
+    """Exact quantiles of the measures of each class, unlabelled flows among them."""
+    found = Z.exact_quantiles(featured(spark, folder), MEASURED, SHARES, by=["label"])
+    return rounded(found, "value")
+
+
+@query
+def dis2_gaps_by_label(spark, folder):
+    """Exact quantiles of the time between the flows of a source, by class."""
+    gaps = A.with_gap(flows(spark, folder))
+    return rounded(Z.exact_quantiles(gaps, ["gap"], SHARES, by=["label"]), "value")
+
+
+@query
+def dis3_gap_of_each_flow(spark, folder):
+    return rounded(A.with_gap(flows(spark, folder)).select("uid", "orig_h", "gap"), "gap")
+
+
+@query
+def dis4_stream_sketches(spark, folder):
+    """Quantiles from sketches of four micro-batches, merged: whether their rank is near enough."""
+    path = fresh_path(spark, "sketches")
+    start_sketches(
+        prediction_stream(spark, folder), path, fresh_path(spark, "offsets"), MEASURED
+    ).awaitTermination()
+    found = Z.sketch_quantiles(read_sketches(spark, path), SHARES)
+    rows = Z._values(C.labelled(featured(spark, folder)), MEASURED, ["label"])
+    ranks = rows.withColumnRenamed("value", "x").join(F.broadcast(found), ["column", "label"])
+    share = lambda c: F.avg(c.cast("double"))
+    near = ranks.groupBy("column", "label", "n", "fraction").agg(
+        (share(F.col("x") < F.col("value")) - 0.03 <= F.col("fraction")).alias("not_above"),
+        (share(F.col("x") <= F.col("value")) + 0.03 >= F.col("fraction")).alias("not_below"),
+    )
+    return near
+
+
+# Records sent again
+
+
+@query
+def ded1_replayed_topic(spark, folder):
+    """A topic that was sent twice, in six micro-batches: each record once."""
+    path = message_topic(spark, folder, files=3)
+    write_topic(encode(flows(spark, folder)).repartition(3), path=path)
+    rows = C.add_features(C.clean(decode(stream_topic(spark, path=path, per_trigger=1))))
+    once = streamed(U.first_seen(rows, within="60 days"))
+    return once.select(F.col("uid").cast("long").alias("uid"), "conn_state", "label", "total_bytes")
+
+
+@query
+def ded2_newest_of_each_record(spark, folder):
+    """Every third record was sent again a minute later with another state, every fifth as it was."""
+    rows = flows(spark, folder)
+    later = rows.where("uid % 3 = 0").withColumns(
+        {"ts": F.col("ts") + 60, "conn_state": F.lit("RSTO")}
+    )
+    sent = rows.unionByName(later).unionByName(rows.where("uid % 5 = 0"))
+    return rounded(U.newest_per_key(sent).select("uid", "ts", "conn_state", "label"), "ts")
+
+
 # Time buckets and alerts
 
 
@@ -593,6 +710,38 @@ def alr3_stream_alerts(spark, folder):
     return alerts.select(text("start"), text("end"), "total", "malicious", "rate")
 
 
+@query
+def alr4_alert_after_each_batch(spark, folder):
+    """The newest day's decision after each of four unordered micro-batches."""
+    topic, path = fresh_path(spark, "topic"), fresh_path(spark, "alerts")
+    offsets = fresh_path(spark, "offsets")
+    for part in (2, 0, 3, 1):
+        write_topic(encode(flows(spark, folder).where(F.col("uid") % 4 == part)), path=topic)
+        rows = C.labelled(C.add_features(C.clean(decode(stream_topic(spark, path=topic)))))
+        rows = rows.withColumn("uid", F.col("uid").cast("long"))
+        rows = rows.withColumn("predicted_label", predicted_label())
+        start_alerts(rows, path, offsets, seconds=DAY, threshold=0.35).awaitTermination()
+    found = read_decisions(spark, path)
+    return found.select("batch_id", text("newest"), "total", "malicious", "rate", "alert")
+
+
+@query
+def tim3_archived_counts(spark, folder):
+    """Counts per hour with three days archived; one of them got a batch later."""
+    path, archive = fresh_path(spark, "window-counts"), fresh_path(spark, "archive")
+    offsets, topic = fresh_path(spark, "offsets"), fresh_path(spark, "topic")
+    for part in range(2):
+        write_topic(encode(flows(spark, folder).where(F.col("uid") % 2 == part)), path=topic)
+        rows = C.labelled(C.add_features(C.clean(decode(stream_topic(spark, path=topic)))))
+        rows = rows.withColumn("uid", F.col("uid").cast("long"))
+        rows = rows.withColumn("predicted_label", predicted_label())
+        start_counts(rows, path, offsets, seconds=3600).awaitTermination()
+        for day in ("2024-01-02", "2024-01-03", "2024-01-04")[part:]:
+            compact_counts(spark, path, archive, day, ended=part == 0)
+    found = read_counts(spark, path, archive=archive)
+    return found.select(text("start"), "predicted_label", "count")
+
+
 # Features and models
 
 
@@ -760,10 +909,8 @@ def _scoring(spark: SparkSession, folder: str, files: int | None = None):
     model = trained(spark, folder).bundle
     path = message_topic(spark, folder, files)
     messages = stream_topic(spark, path=path, per_trigger=1 if files else None)
-    output, quarantine = fresh_path(spark, "scored"), fresh_path(spark, "quarantine")
-    run = start_scoring(
-        messages, model, output, quarantine, fresh_path(spark, "offsets"), available_now=True
-    )
+    output = fresh_path(spark, "scored")
+    run = start_scoring(messages, model, output, fresh_path(spark, "offsets"), available_now=True)
     run.awaitTermination()
     return model, output, run
 
@@ -771,7 +918,7 @@ def _scoring(spark: SparkSession, folder: str, files: int | None = None):
 @query
 def str1_stream_scoring(spark, folder):
     model, output, _ = _scoring(spark, folder)
-    return checked(spark.read.parquet(output), model, "label", "detailed_label", "id_orig_h")
+    return checked(read_scored(spark, output), model, "label", "detailed_label", "id_orig_h")
 
 
 @query
@@ -804,10 +951,10 @@ def str4_empty_batch(spark, folder):
     output, offsets = fresh_path(spark, "scored"), fresh_path(spark, "offsets")
     for _ in range(2):
         start_scoring(
-            stream_topic(spark, path=path, per_trigger=1), model, output,
-            fresh_path(spark, "quarantine"), offsets, available_now=True,
+            stream_topic(spark, path=path, per_trigger=1), model, output, offsets,
+            available_now=True,
         ).awaitTermination()
-    return spark.read.parquet(output).select(F.col("uid").cast("long").alias("uid"), "label")
+    return read_scored(spark, output).select(F.col("uid").cast("long").alias("uid"), "label")
 
 
 @query
@@ -822,6 +969,31 @@ def str5_batch_written_twice(spark, folder):
     return spark.read.parquet(path).select("uid", "batch_id", "predicted_label")
 
 
+@query
+def snk1_archive_and_batches(spark, folder):
+    """Predictions of three batches, a day of which is archived before one is written again."""
+    rows = predictions(spark, folder).withColumns(
+        {"prediction": F.lit(0.0), "probability": F.array(F.lit(1.0), F.lit(0.0)), "kind": F.lit(SCORED)}
+    )
+    rows = rows.withColumn("uid", F.col("uid").cast("string"))
+    path, archive = fresh_path(spark, "scored"), fresh_path(spark, "archive")
+
+    def write(batch_id: int) -> None:
+        part = stored_columns(rows.where(F.col("uid").cast("long") % 3 == batch_id), batch_id, "kind")
+        write_batch(part, path, Batch("query", batch_id))
+
+    write(0)
+    write(1)
+    days = [r.d for r in rows.select(F.to_date("timestamp").cast("string").alias("d")).distinct().orderBy("d").limit(2).collect()]
+    compact_scored(spark, path, archive, days[0])
+    write(2)
+    for day in days:
+        compact_scored(spark, path, archive, day, ended=True)
+    write(1)
+    found = read_scored(spark, path, archive)
+    return found.select(F.col("uid").cast("long").alias("uid"), "batch_id", "predicted_label")
+
+
 @query
 def snk2_memory_table(spark, folder):
     model = trained(spark, folder).bundle
@@ -851,13 +1023,10 @@ def snk3_snapshot(spark, folder):
 
 @query
 def snk4_offline_scoring(spark, folder):
+    """Delimited text to flows per predicted class; those that lack a port have none."""
     path = fresh_path(spark, "delimited")
     write_delimited(sparse_flows(spark, folder), path)
-    model = trained(spark, folder).bundle
-    counts = count_predictions(score_flows(read_delimited(spark, path), model))
-    return counts.groupBy(F.col("prediction").isNotNull().alias("scored")).agg(
-        F.sum("count").alias("rows")
-    )
+    return by_class(spark, folder, read_delimited(spark, path))
 
 
 @query

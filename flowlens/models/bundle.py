@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import IndexToString
+from pyspark.ml.feature import IndexToString, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.models.features import CATEGORIES, NUMERIC, assemblable, feature_names
+from flowlens.models.features import CATEGORIES, assemblable, feature_names
 
 
 @dataclass(frozen=True)
@@ -43,9 +43,19 @@ class ModelBundle:
         indexers = self.pipeline.stages
         return feature_names({c: list(indexers[i].labels) for i, c in enumerate(CATEGORIES)})
 
-    def score(self, df: DataFrame) -> DataFrame:
-        """Add prediction, probability (array) and predicted label, in batch or on a stream."""
-        scored = self.pipeline.transform(df)
+    def score(self, df: DataFrame, handle_invalid: str = "error") -> DataFrame:
+        """Add prediction, probability (array) and predicted label, in batch or on a stream.
+
+        ``handle_invalid`` is the assembler's: an error for a missing input, or ``keep``.
+        """
+        pipeline = self.pipeline
+        if handle_invalid != "error":
+            stages = [
+                s.copy({s.handleInvalid: handle_invalid}) if isinstance(s, VectorAssembler) else s
+                for s in pipeline.stages
+            ]
+            pipeline = PipelineModel(stages=stages)
+        scored = pipeline.transform(df)
         return scored.withColumn("probability", vector_to_array("probability"))
 
     def save(self, path: str) -> None:
@@ -64,14 +74,11 @@ class ModelBundle:
 def score_all(df: DataFrame, bundle: ModelBundle) -> DataFrame:
     """Score every row in one pass: one that lacks an input gets NULLs and a ``reason``.
 
-    Missing inputs are filled for the model, and the row's own columns and NULLs restored after.
+    The assembler passes missing inputs on as NaN, which trees accept; what the model makes of such
+    a row is not given.
     """
-    reason = F.when(~assemblable(), "incomplete").alias("reason")
-    own = F.struct(*NUMERIC).alias("own_")
-    filled = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c in NUMERIC else F.col(c) for c in df.columns]
-    scored = bundle.score(df.select("*", own, reason).select(*filled, "own_", "reason"))
+    reason = F.when(~assemblable(), "incomplete")
+    scored = bundle.score(df.withColumn("reason", reason), handle_invalid="keep")
     given = F.col("reason").isNull()
     out = ("prediction", "probability", "predicted_label")
-    return scored.withColumns(
-        {c: F.col("own_")[c] for c in NUMERIC} | {c: F.when(given, F.col(c)) for c in out}
-    ).drop("own_")
+    return scored.withColumns({c: F.when(given, F.col(c)) for c in out})

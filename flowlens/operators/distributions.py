@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.functions.values import is_malicious
+from flowlens.operators.quantiles import exact_quantiles
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -90,33 +91,34 @@ def distinct_pairs(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*columns).distinct()
 
 
+STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, one row each.
 
-    Meant for tables with one row per batch or per time bucket: the quartiles keep a column's
-    distinct values in one aggregation buffer.
+    The quartiles come from ranks over counted values, so no task holds a column's values.
     """
-    stats = []
-    for c in columns:
-        value = F.col(c).cast("double")
-        quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        stats.append(
-            F.struct(
-                F.count(value).cast("double").alias("count"),
-                F.avg(value).alias("mean"),
-                F.stddev_samp(value).alias("std"),
-                F.min(value).alias("min"),
-                quartiles[0].alias("25%"),
-                quartiles[1].alias("50%"),
-                quartiles[2].alias("75%"),
-                F.max(value).alias("max"),
-            ).alias(c)
-        )
-    names = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
-    rows = F.array(
+    moments = F.array(
         *[
-            F.struct(F.lit(s).alias("statistic"), *[F.col(c)[s].alias(c) for c in columns])
-            for s in names
+            F.struct(F.lit(c).alias("column"), F.lit(s).alias("statistic"), value.alias("value"))
+            for c in columns
+            for x in [F.col(c).cast("double")]
+            for s, value in [
+                ("count", F.count(x).cast("double")), ("mean", F.avg(x)),
+                ("std", F.stddev_samp(x)), ("min", F.min(x)), ("max", F.max(x)),
+            ]
         ]
     )
-    return df.agg(*stats).select(F.inline(rows))
+    rows = df.agg(moments.alias("rows")).select(F.inline("rows"))
+    names = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
+    quartiles = exact_quantiles(df, columns, tuple(names))
+    name = F.coalesce(*[F.when(F.col("fraction") == f, s) for f, s in names.items()])
+    rows = rows.unionByName(quartiles.select("column", name.alias("statistic"), "value"))
+    # An empty table has no quartiles, but a row for each.
+    place = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(s).alias("statistic")) for i, s in enumerate(STATISTICS)]))
+    all_rows = df.sparkSession.range(1).select(place.alias("s")).select("s.*")
+    wide = all_rows.join(rows, "statistic", "left").groupBy("place", "statistic").agg(
+        *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns]
+    )
+    return wide.orderBy("place").drop("place")

@@ -11,7 +11,8 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 
 
-def _content_bytes(df: DataFrame) -> int:
+def content_bytes(df: DataFrame) -> int:
+    """Bytes of all rows as text; runs a job."""
     row = F.octet_length(F.to_json(F.struct("*")))
     return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
@@ -33,7 +34,14 @@ def lookup_join(
     from them and is thus the same when a lost task is run again.
     """
     lookup = written(lookup, "lookup")
-    if _content_bytes(lookup) <= broadcast_bytes:
+    return keyed_join(large, lookup, keys, spread, content_bytes(lookup) <= broadcast_bytes, salts)
+
+
+def keyed_join(
+    large: DataFrame, lookup: DataFrame, keys: list[str], spread: list[str], small: bool, salts: int
+) -> DataFrame:
+    """The join itself, for a lookup table at rest that has been found ``small`` or not."""
+    if small:
         return large.join(F.broadcast(lookup), on=keys, how="left")
     salted = large.withColumn("salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
     copies = lookup.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

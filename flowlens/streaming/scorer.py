@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.storagelevel import StorageLevel
 
 from flowlens.models.bundle import ModelBundle, score_all
-from flowlens.models.features import assemblable
 from flowlens.operators.cleaning import add_features, clean
 from flowlens.schema import CORRUPT
 from flowlens.sources.topics import decode
-from flowlens.streaming.sinks import Batch, BatchWriter, stored_columns, write_batch
+from flowlens.streaming.sinks import (
+    SCORED,
+    UNFIT,
+    Batch,
+    BatchWriter,
+    running_batch,
+    stored_columns,
+    write_batch,
+)
 
 
 def prepare(messages: DataFrame, **options) -> DataFrame:
@@ -25,48 +33,47 @@ def score_messages(messages: DataFrame, bundle: ModelBundle) -> DataFrame:
     return score_all(prepare(messages), bundle)
 
 
+#: Told after each micro-batch: the batch, and its messages by reason (None: scored).
+Report = Callable[[Batch, dict[str | None, int]], None]
+
+
 def start_scoring(
     messages: DataFrame,
     bundle: ModelBundle,
     output: str,
-    quarantine: str,
     checkpoint: str,
     every: str | None = None,
     available_now: bool = False,
     write: BatchWriter = write_batch,
+    report: Report | None = None,
 ) -> StreamingQuery:
-    """Score a stream into ``output``; unfit messages go to ``quarantine``.
+    """Score a stream into ``output``: predictions, and apart from them messages that are unfit.
 
-    Each micro-batch replaces its own folder of both tables, so a batch that is run again
-    after a failure adds nothing twice. An error in a sink ends the query, and the checkpoint
-    repeats the batch on restart. ``write`` may put predictions elsewhere than in a table.
+    Messages are parsed, scored and written in one pass, planned once for all micro-batches, and
+    counted by reason on the way for ``report``. Each micro-batch replaces its own folder, so a
+    batch that is run again after a failure adds nothing twice. An error in a sink ends the query,
+    and the checkpoint repeats the batch on restart. ``write`` may put rows elsewhere than in a
+    table; ``kind`` tells ``scored`` from ``unfit`` ones, which hold the message and a ``reason``.
     """
-    flows = prepare(messages, corrupt=True, keep_value=True)
-    usable = F.col(CORRUPT).isNull() & assemblable()
+    scored = score_all(prepare(messages, corrupt=True, keep_value=True), bundle)
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise(F.col("reason"))
+    scored = scored.withColumn("reason", reason)
+    unfit = F.col("reason").isNotNull()
+    scored = scored.withColumns(
+        {"kind": F.when(unfit, UNFIT).otherwise(SCORED), "value": F.when(unfit, F.col("value"))}
+    )
 
     def store(rows: DataFrame, batch_id: int) -> None:
-        # Parsed once for all uses; the source's rate limit bounds a batch.
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            found = rows.agg(
-                F.count("*").alias("all"),
-                F.count_if(~usable).alias("unfit"),
-            ).first()
-            if found["all"] == 0:
-                return
-            context = rows.sparkSession.sparkContext
-            batch = Batch(context.getLocalProperty("sql.streaming.queryId"), batch_id)
-            if found["all"] > found["unfit"]:
-                scored = bundle.score(rows.where(usable))
-                write(stored_columns(scored, batch_id), output, batch)
-            if found["unfit"]:
-                reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").otherwise("incomplete")
-                unfit = rows.where(~usable).select("value", reason.alias("reason"), "timestamp")
-                write_batch(unfit, quarantine, batch)
-        finally:
-            rows.unpersist()
+        batch, seen = running_batch(rows, batch_id), Observation()
+        counts = [F.count_if(~unfit).alias(SCORED)]
+        counts += [F.count_if(F.col("reason") == r).alias(r) for r in ("malformed", "incomplete")]
+        stored = stored_columns(rows, batch_id, "value", "reason", "kind")
+        write(stored.observe(seen, *counts), output, batch)
+        if report:
+            found = dict(seen.get)
+            report(batch, {None: found.pop(SCORED), **found})
 
-    writer = flows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    writer = scored.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif every:

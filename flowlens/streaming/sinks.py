@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.schema import STORED_NAMES
+from flowlens.streaming.archive import compact_day, read_batches, read_once
+
+#: Kinds of rows in a table of predictions: scored flows, and messages that could not be scored.
+SCORED, UNFIT = "scored", "unfit"
 
 # The columns of a stored prediction, before the bookkeeping columns.
 STORED = [
@@ -18,11 +22,20 @@ STORED = [
 ]
 
 
-def stored_columns(scored: DataFrame, batch_id: int) -> DataFrame:
+STORED_TYPES = (
+    "uid string, timestamp timestamp, id_orig_h string, id_orig_p double, id_resp_h string, "
+    "id_resp_p double, proto string, prediction double, probability array<double>, "
+    "predicted_label string, label string, detailed_label string, processing_time timestamp, "
+    "batch_id long"
+)
+UNFIT_TYPES = "value string, reason string, timestamp timestamp, batch_id long"
+
+
+def stored_columns(scored: DataFrame, batch_id: int, *also: str) -> DataFrame:
     """The columns kept for a prediction, with the time of processing and the batch."""
     return (
         scored.withColumnsRenamed(STORED_NAMES)
-        .select(*STORED)
+        .select(*STORED, *also)
         .withColumns(
             {
                 "processing_time": F.current_timestamp(),
@@ -48,24 +61,55 @@ class Batch:
         return f"{self.query_id}-{self.batch_id}"
 
 
+def running_batch(rows: DataFrame, batch_id: int) -> Batch:
+    """The batch that a stream is running now."""
+    context = rows.sparkSession.sparkContext
+    return Batch(context.getLocalProperty("sql.streaming.queryId"), batch_id)
+
+
+def start_batches(
+    stream: DataFrame,
+    store: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Give each micro-batch to ``store``; without a trigger interval, read what is there and stop."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
+
+
 def write_batch(df: DataFrame, path: str, batch: Batch) -> None:
     """Write a micro-batch to its folder, replacing what an earlier try left there on any day.
 
-    Below it rows lie under the day of their own ``timestamp``, ``event_day``, so that a reader of
-    one day gets exactly its rows.
+    Below it rows lie by ``kind``, if they have one, and under their ``event_day``, by default the
+    day of their own ``timestamp``, so that a reader of one day gets exactly its rows. Rows are
+    dealt out by both first, so each such folder gets few files, however many tasks there are.
     """
-    dated = df.withColumn("event_day", F.to_date("timestamp"))
-    dated.write.mode("overwrite").partitionBy("event_day").parquet(f"{path}/write_key={batch.key}")
+    if "event_day" not in df.columns:
+        df = df.withColumn("event_day", F.to_date("timestamp"))
+    parts = [c for c in ("kind", "event_day") if c in df.columns]
+    dealt = df.hint("rebalance", *parts)
+    dealt.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/write_key={batch.key}")
 
 
-def compact_day(spark: SparkSession, path: str, archive: str, day: str) -> None:
-    """Put a closed day's rows of all batches into few files: ``archive/event_day=day``.
+def read_scored(spark: SparkSession, path: str, archive: str | None = None) -> DataFrame:
+    """Each stored prediction once, from the batches below ``path`` and the archive's closed days."""
+    schema = f"{STORED_TYPES}, kind string"
+    rows = read_once(spark, path, schema, archive)
+    return rows.where(F.col("kind") == SCORED).drop("kind")
 
-    Run again, also after a batch was repeated, it replaces the day. Readers take closed days from
-    the archive; what they hold below ``path`` may be removed by age.
-    """
-    rows = spark.read.parquet(path).where(F.col("event_day") == F.to_date(F.lit(day)))
-    rows.drop("event_day").hint("rebalance").write.mode("overwrite").parquet(f"{archive}/event_day={day}")
+
+def read_unfit(spark: SparkSession, path: str) -> DataFrame:
+    """Messages that could not be scored, with the reason; they stay in their batches."""
+    rows = read_batches(spark, path, f"{UNFIT_TYPES}, kind string")
+    return rows.where(F.col("kind") == UNFIT).drop("kind", "write_key")
+
+
+def compact_scored(spark: SparkSession, path: str, archive: str, day: str, ended: bool = False) -> None:
+    """Put a closed day's predictions of all batches into few files of the archive."""
+    only = lambda rows: rows.where(F.col("kind") == SCORED)
+    compact_day(spark, path, archive, day, f"{STORED_TYPES}, kind string", only, ended)
 
 
 BatchWriter = Callable[[DataFrame, str, Batch], None]

@@ -14,6 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowlens.operators.timeline import with_alert
 from flowlens.schema import MALICIOUS
+from flowlens.streaming.archive import compact_day, read_once
+from flowlens.streaming.sinks import running_batch, start_batches, write_batch
 
 
 def counts_per_window(
@@ -68,7 +70,7 @@ def start_counts(
 ) -> StreamingQuery:
     """Write each micro-batch's rows per bucket and value into its own folder below ``path``.
 
-    A batch that is run again replaces its folder. A batch's counts are few, so they are one file.
+    A batch that is run again replaces its folder. ``compact_counts`` merges the files of a day.
     """
 
     def store(rows: DataFrame, batch_id: int) -> None:
@@ -76,20 +78,29 @@ def start_counts(
         counts = rows.groupBy(bucket.alias("start"), F.col(by).alias("value")).agg(
             F.count("*").alias("count")
         )
-        query_id = rows.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        counts.coalesce(1).write.mode("overwrite").parquet(f"{path}/write_key={query_id}-{batch_id}")
+        dated = counts.withColumn("event_day", F.to_date("start"))
+        write_batch(dated, path, running_batch(rows, batch_id))
 
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).start()
+    return start_batches(stream, store, checkpoint, every)
 
 
-def read_counts(spark: SparkSession, path: str, by: str = "predicted_label") -> DataFrame:
+def read_counts(
+    spark: SparkSession, path: str, by: str = "predicted_label", archive: str | None = None
+) -> DataFrame:
     """Rows per bucket and value over all micro-batches; a bucket without a time is left out."""
-    parts = spark.read.schema(COUNTS).parquet(path).where("start is not null")
+    parts = read_once(spark, path, COUNTS, archive).where("start is not null")
     return parts.groupBy("start", F.col("value").alias(by)).agg(F.sum("count").alias("count"))
 
 
+def compact_counts(spark: SparkSession, path: str, archive: str, day: str, ended: bool = False) -> None:
+    """Add up a closed day's counts of all batches into one row for each bucket and value."""
+
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("start", "value").agg(F.sum("count").alias("count"))
+
+    compact_day(spark, path, archive, day, COUNTS, fold, ended)
+
+
 def read_alerts(
     spark: SparkSession,
     path: str,
@@ -97,12 +108,13 @@ def read_alerts(
     slide: int = 10,
     min_rows: int = 10,
     threshold: float = 0.20,
+    archive: str | None = None,
 ) -> DataFrame:
     """Sliding windows whose malicious rate fires the alert rule, from counts per slide.
 
     ``slide`` is the bucket that the counts were written with, and divides ``seconds``.
     """
-    counts = read_counts(spark, path)
+    counts = read_counts(spark, path, archive=archive)
     first = F.unix_seconds("start") - seconds + slide
     starts = F.explode(F.sequence(first, F.unix_seconds("start"), F.lit(slide)))
     windows = counts.select(starts.alias("at"), "predicted_label", "count").groupBy("at").agg(
