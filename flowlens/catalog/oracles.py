@@ -242,6 +242,9 @@ ORACLES = {
         SELECT uid, strftime("timestamp", {CLOCK}) AS "timestamp", predicted_label
         FROM (SELECT * FROM predictions ORDER BY "timestamp" DESC, uid LIMIT 8000)""",
     "par1_decode": f"{BASE} SELECT * FROM flows",
+    "par1_pruned_report": f"""{BASE}
+        SELECT proto, conn_state, hour_of_day, count(*) AS "count"
+        FROM featured GROUP BY ALL""",
     "par2_quarantine": f"""{BASE}
         SELECT uid, CASE WHEN uid % 13 <> 0 THEN label END AS label, uid % 13 <> 0 AS decoded
         FROM flows""",

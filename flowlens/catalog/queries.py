@@ -28,6 +28,7 @@ from flowlens.operators import ranges as R
 from flowlens.operators import signatures as S
 from flowlens.operators import timeline as L
 from flowlens.plans.explore import cached, explore
+from flowlens.plans.messages import consumed, message_flows
 from flowlens.plans.offline import count_predictions, score_flows
 from flowlens.plans.reports import label_distribution
 from flowlens.schema import CORRUPT
@@ -145,14 +146,17 @@ def streamed(stream: DataFrame) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def prediction_stream(spark: SparkSession, folder: str) -> DataFrame:
+def prediction_stream(spark: SparkSession, folder: str, *measures: str) -> DataFrame:
     """Labelled flows with fixed predictions from four unordered files, one in each batch."""
     path = message_topic(spark, folder, files=4)
-    messages = stream_topic(spark, path=path, per_trigger=1)
-    rows = C.labelled(C.add_features(C.clean(decode(messages))))
-    return rows.withColumn("uid", F.col("uid").cast("long")).withColumn(
-        "predicted_label", predicted_label()
-    )
+    return streamed_predictions(stream_topic(spark, path=path, per_trigger=1), *measures)
+
+
+def streamed_predictions(messages: DataFrame, *measures: str) -> DataFrame:
+    """Labelled flows of a stream with fixed predictions, parsed as far as these need."""
+    rows = message_flows(messages, ["uid", "timestamp", "resp_p", "conn_state", "label", *measures])
+    rows = C.labelled(rows).withColumn("uid", F.col("uid").cast("long"))
+    return rows.withColumn("predicted_label", predicted_label())
 
 
 def counted(spark: SparkSession, folder: str, seconds: int) -> str:
@@ -182,6 +186,9 @@ def forget_trained() -> None:
 def checked(scored: DataFrame, bundle: ModelBundle, *also: str) -> DataFrame:
     """What must hold for every scored flow, whatever the model has learned."""
     total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
+    # Scored once for both uses.
+    kept = ["uid", "label", "prediction", "probability", "predicted_label", *also]
+    scored = written(scored.select(*dict.fromkeys(kept)), "scored")
     index = F.array_position(F.array(*map(F.lit, bundle.labels)), F.col("predicted_label")) - 1
     classes = recalled(scored).select(F.col("label").alias("of_label"), "class_recalled")
     return scored.join(classes, F.col("label") == F.col("of_label"), "left").select(
@@ -274,6 +281,13 @@ def par1_decode(spark, folder):
     return rows.withColumn("uid", F.col("uid").cast("long"))
 
 
+@query
+def par1_pruned_report(spark, folder):
+    """A report over messages whose three columns alone are parsed."""
+    messages = read_topic(spark, path=message_topic(spark, folder))
+    return consumed(messages, lambda rows: D.count_by(rows, "proto", "conn_state", "hour_of_day"))
+
+
 @query
 def par2_quarantine(spark, folder):
     """Every thirteenth message is cut in half."""
@@ -639,7 +653,7 @@ def dis4_stream_sketches(spark, folder):
     """Quantiles from sketches of four micro-batches, merged: whether their rank is near enough."""
     path = fresh_path(spark, "sketches")
     start_sketches(
-        prediction_stream(spark, folder), path, fresh_path(spark, "offsets"), MEASURED
+        prediction_stream(spark, folder, *MEASURED), path, fresh_path(spark, "offsets"), MEASURED
     ).awaitTermination()
     found = Z.sketch_quantiles(read_sketches(spark, path), SHARES)
     rows = Z._values(C.labelled(featured(spark, folder)), MEASURED, ["label"])
@@ -717,9 +731,7 @@ def alr4_alert_after_each_batch(spark, folder):
     offsets = fresh_path(spark, "offsets")
     for part in (2, 0, 3, 1):
         write_topic(encode(flows(spark, folder).where(F.col("uid") % 4 == part)), path=topic)
-        rows = C.labelled(C.add_features(C.clean(decode(stream_topic(spark, path=topic)))))
-        rows = rows.withColumn("uid", F.col("uid").cast("long"))
-        rows = rows.withColumn("predicted_label", predicted_label())
+        rows = streamed_predictions(stream_topic(spark, path=topic))
         start_alerts(rows, path, offsets, seconds=DAY, threshold=0.35).awaitTermination()
     found = read_decisions(spark, path)
     return found.select("batch_id", text("newest"), "total", "malicious", "rate", "alert")
@@ -732,9 +744,7 @@ def tim3_archived_counts(spark, folder):
     offsets, topic = fresh_path(spark, "offsets"), fresh_path(spark, "topic")
     for part in range(2):
         write_topic(encode(flows(spark, folder).where(F.col("uid") % 2 == part)), path=topic)
-        rows = C.labelled(C.add_features(C.clean(decode(stream_topic(spark, path=topic)))))
-        rows = rows.withColumn("uid", F.col("uid").cast("long"))
-        rows = rows.withColumn("predicted_label", predicted_label())
+        rows = streamed_predictions(stream_topic(spark, path=topic))
         start_counts(rows, path, offsets, seconds=3600).awaitTermination()
         for day in ("2024-01-02", "2024-01-03", "2024-01-04")[part:]:
             compact_counts(spark, path, archive, day, ended=part == 0)

@@ -16,6 +16,8 @@ from pyspark.ml.feature import (
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlens.session import written
+
 # The order of the parts of a feature vector.
 NUMERIC = [
     "duration", "orig_bytes", "resp_bytes", "orig_port", "resp_port", "total_bytes",
@@ -93,8 +95,13 @@ def fit_encoding(df: DataFrame) -> PipelineModel:
 
 
 def fit_features(df: DataFrame, words: dict[str, list[str]] | None = None) -> PipelineModel:
-    """The whole feature pipeline; it needs no label, so it also serves unlabelled flows."""
-    words = words or vocabularies(df, CATEGORIES)
+    """The whole feature pipeline; it needs no label, so it also serves unlabelled flows.
+
+    Without ``words``, two passes over ``df`` follow, so its inputs are written once before.
+    """
+    if words is None:
+        df = written(df.select(*NUMERIC, *CATEGORIES), "feature-inputs")
+        words = vocabularies(df, CATEGORIES)
     stages = [*category_indexers(words), encoder(), assembler(), scaler()]
     return Pipeline(stages=stages).fit(df)
 

@@ -59,7 +59,6 @@ def exact_quantiles(
         "key", "part", "fraction", rank, place.alias("place"), "low", "high",
         (F.col("through") - F.col("rows")).alias("before"), "through",
     ).where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through")))
-    hits = written(hits, "wanted-ranks")
     # Ranges without a wanted rank are left out before anything is sorted.
     held = ranged.join(hits.select("key", "part", "before").distinct(), ["key", "part"])
     inside = Window.partitionBy("key", "part").orderBy("value")

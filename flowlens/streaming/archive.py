@@ -1,7 +1,7 @@
 """Closed days of a table of micro-batches, in few files, and a reader that gives each row once.
 
-A table of micro-batches has a folder for each batch, and below it one for each day of its rows
-(``write_key=…/event_day=…``). A compaction puts a day's rows into a new folder of the archive, and
+A table of micro-batches has a folder for each batch (``write_key=…``), whose rows know their day. A
+compaction puts a day's rows into a new folder of the archive, and
 then adds one file to the manifest that names the folder and the batches it took in. That file is
 what makes the folder count: until it is there, and if it never comes, readers take the day from the
 batches. Afterwards they take it from the archive, and from the batches only what is not named, so

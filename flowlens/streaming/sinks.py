@@ -82,15 +82,17 @@ def start_batches(
 def write_batch(df: DataFrame, path: str, batch: Batch) -> None:
     """Write a micro-batch to its folder, replacing what an earlier try left there on any day.
 
-    Below it rows lie by ``kind``, if they have one, and under their ``event_day``, by default the
-    day of their own ``timestamp``, so that a reader of one day gets exactly its rows. Rows are
-    dealt out by both first, so each such folder gets few files, however many tasks there are.
+    Rows that have a ``kind`` lie below it by kind. Each keeps its ``event_day``, by default the day
+    of its own ``timestamp``; a reader of one day gets exactly its rows, and skips files by their
+    statistics. Tasks write what they have made, without a shuffle: a file for each task and kind,
+    until a compaction puts closed days together.
     """
     if "event_day" not in df.columns:
         df = df.withColumn("event_day", F.to_date("timestamp"))
-    parts = [c for c in ("kind", "event_day") if c in df.columns]
-    dealt = df.hint("rebalance", *parts)
-    dealt.write.mode("overwrite").partitionBy(*parts).parquet(f"{path}/write_key={batch.key}")
+    writer = df.write.mode("overwrite")
+    if "kind" in df.columns:
+        writer = writer.partitionBy("kind")
+    writer.parquet(f"{path}/write_key={batch.key}")
 
 
 def read_scored(spark: SparkSession, path: str, archive: str | None = None) -> DataFrame:

@@ -219,11 +219,15 @@ def test_archived_counts(spark, tmp_path):
     assert len(want) == 2
 
 
-def test_few_files_for_each_day(spark, flows, bundle, places, tmp_path):
-    write_topic(encode(flows).repartition(4), path=places["topic"])
+def test_one_file_for_each_task_and_kind(spark, flows, bundle, places, tmp_path):
+    """Rows of many days do not make many files."""
+    write_topic(encode(flows.where("uid % 5 > 0")).coalesce(1), path=places["topic"])
+    write_topic(encode(flows.where("uid % 5 = 0").withColumn("resp_p", F.lit(None))).coalesce(1), path=places["topic"])
     run(spark, bundle, places)
-    for folder in (tmp_path / "output").glob("write_key=*/kind=scored/event_day=*"):
-        assert len(list(folder.glob("*.parquet"))) == 1
+    for kind in ("scored", "unfit"):
+        files = list((tmp_path / "output").glob(f"write_key=*/kind={kind}/*.parquet"))
+        assert 1 <= len(files) <= 2
+    assert sinks.read_scored(spark, places["output"]).select("event_day").distinct().count() > 10
 
 
 def test_new_checkpoint_does_not_replace_old_batches(spark, make_flows, bundle, places):

@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 
 from flowlens.models.features import split_assemblable
 from flowlens.operators.cleaning import add_features, clean, labelled
+from flowlens.operators.distributions import count_by
+from flowlens.plans.messages import columns_used, consumed
 from flowlens.sources.files import read_delimited, write_delimited
 from flowlens.sources.topics import decode, encode, read_topic, split_corrupt, stream_topic, write_topic
 
@@ -112,3 +115,21 @@ def test_null_and_empty_messages_stay_rows_of_nulls(spark):
     rows = decode(messages(spark, None, "", "[]", "{}"), keep_value=True).collect()
     assert sorted(str(r.value) for r in rows) == ["", "None", "[]", "{}"]
     assert all(r.uid is None and r.ts is None for r in rows)
+
+
+def test_only_used_fields_are_parsed(spark, make_flows, tmp_path):
+    """Three columns, one of them derived: three fields, and each message parsed once."""
+    path = str(tmp_path / "topic")
+    write_topic(encode(make_flows({}, {"proto": "udp"}, {"ts": None})), path=path)
+    messages = read_topic(spark, path=path)
+    report = lambda rows: count_by(rows.where("resp_port < 100"), "proto", "hour_of_day")
+    assert columns_used(report, spark) == ["proto", "resp_port", "hour_of_day"]
+    found = consumed(messages, report)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    fields = set(re.findall(r"StructField\(([^,]+),", plan))
+    assert fields == {"proto", "id.resp_p", "ts"}
+    rows = sorted((r.proto, r.hour_of_day or -1, r["count"]) for r in found.collect())
+    assert rows == [("tcp", -1, 1), ("tcp", 18, 1), ("udp", 18, 1)]
+    everything = columns_used(lambda rows: rows.where("ts > 0"), spark)
+    assert len(everything) == 20
