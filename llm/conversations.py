@@ -438,7 +438,10 @@ def repair(turns: DataFrame, ids: DataFrame | None = None, with_turns: bool = Fa
     runs = runs.unionByName(every, allowMissingColumns=True)
     kind = "gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"
     parts = F.struct("part", "codes", "least", "most", "distinct", "head", "tail")
-    audits = runs.groupBy("conv_id").agg(F.collect_list(parts).alias("runs")).mapInArrow(
+    # Aligning costs far more than its few bytes suggest, so these are dealt out by number.
+    tasks = int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    gathered = runs.repartition(tasks, "conv_id").groupBy("conv_id")
+    audits = gathered.agg(F.collect_list(parts).alias("runs")).mapInArrow(
         _audits, "conv_id long, " + kind
     )
     audits = written(audits, "audits")
