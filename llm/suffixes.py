@@ -4,7 +4,8 @@ Which windows of 100 bytes also start earlier is found among suffixes that can s
 
 1. A window belongs to the place of the smallest hash of the 32-byte strings in it. Consecutive
    windows of one place form a fragment. Equal windows belong to equal strings, so fragments are
-   dealt out by the hash of that string; of equal fragments all but the first repeat wholly.
+   dealt out by the hash of that string; of equal fragments, which a 128-bit BLAKE2 digest of their
+   bytes tells, all but the first repeat wholly.
 2. Strings with several different fragments come with their text. The suffixes at the fragments'
    windows, aligned by the shared string, are sorted by merging sorted runs. Two suffixes are
    compared by a binary search, over prefix hashes, for their longest common extension, and by the
@@ -20,6 +21,7 @@ that a window costs one row for each group; the others are repeated spans at onc
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.session import written
-from llm.common import CHUNK, PrefixHash, buckets, chunks, keyed, mix, raw
+from llm.common import CHUNK, PrefixHash, chunks, keyed, mix, raw
 
 WINDOW = 100
 ANCHOR = 32
@@ -64,9 +66,17 @@ def _unpack(blobs: list[bytes], *widths: int) -> list[np.ndarray]:
     return [np.concatenate(p) for p in parts]
 
 
+_SIGN = np.uint64(1 << 63)
+
+
+def _unsigned(keys: np.ndarray) -> np.ndarray:
+    """Keys as unsigned numbers in the same order, negative ones first."""
+    return keys.astype(np.int64).view(np.uint64) ^ _SIGN
+
+
 def _groups(key: np.ndarray, count: int) -> list[tuple[int, np.ndarray]]:
-    """The rows of each group of documents: (group, row numbers)."""
-    group = (key % np.uint64(count)).astype(np.int64)
+    """The rows of each group of documents: (group, row numbers). As pmod of the signed keys."""
+    group = (key ^ _SIGN).view(np.int64) % count
     order = np.argsort(group, kind="stable")
     edges = np.searchsorted(group[order], np.arange(count + 1)).tolist()
     return [(g, order[i:j]) for g, (i, j) in enumerate(zip(edges, edges[1:])) if j > i]
@@ -76,7 +86,7 @@ def _slices(batches):
     """(keys, bytes, offsets, first byte) of about 2 MB; a longer text comes in several, which
     overlap by one byte less than a window, so that each window is in one of them."""
     for batch in chunks(batches):
-        keys = batch.column("key").to_numpy().astype(np.uint64)
+        keys = _unsigned(batch.column("key").to_numpy())
         offsets, data = raw(batch.column("text"))
         if len(data) <= 2 * CHUNK:
             yield keys, data, offsets, 0
@@ -88,11 +98,11 @@ def _slices(batches):
 
 def fragments(data: np.ndarray, offsets: np.ndarray):
     """Runs of windows with one smallest string: row, first window, windows, place and its hash,
-    and the hash of all bytes."""
+    and a digest of all bytes as two numbers."""
     n = len(data) - WINDOW + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
-        return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none, none.astype(np.uint64), np.zeros((0, 2), np.uint64)
     hashes = PrefixHash(data)
     least = (mix(hashes.windows(ANCHOR)) & ~_POSITION) | np.arange(
         len(data) - ANCHOR + 1, dtype=np.uint64
@@ -112,18 +122,21 @@ def fragments(data: np.ndarray, offsets: np.ndarray):
     last = edges[np.searchsorted(edges, first, "right")]
     place = (least[first] & _POSITION).astype(np.int64)
     string = mix(hashes.spans(place, place + ANCHOR))
-    body = mix(hashes.spans(first, last + WINDOW - 1) + (last - first).astype(np.uint64))
+    view, digest = memoryview(np.ascontiguousarray(data)), functools.partial(hashlib.blake2b, digest_size=16)
+    ends = (last + WINDOW - 1).tolist()
+    body = b"".join([digest(view[a:b]).digest() for a, b in zip(first.tolist(), ends)])
+    body = np.frombuffer(body, np.uint64).reshape(-1, 2)
     return row[first], first, last - first, place - first, string, body
 
 
 def _repeats(string: np.ndarray, body: np.ndarray, key: np.ndarray, start: np.ndarray):
     """Order by string, body, document and place; there, which begin a string and a body."""
-    order = np.lexsort((start, key, body, string))
+    order = np.lexsort((start, key, body[:, 1], body[:, 0], string))
     s, b = string[order], body[order]
     new_string = np.ones(len(order), bool)
     new_string[1:] = s[1:] != s[:-1]
     new_body = new_string.copy()
-    new_body[1:] |= b[1:] != b[:-1]
+    new_body[1:] |= (b[1:] != b[:-1]).any(axis=1)
     return order, new_string, new_body
 
 
@@ -138,9 +151,8 @@ def _spans(key, start, count, groups: int) -> list[tuple[int, int, bytes]]:
     ]
 
 
-def _first_pass(docs: DataFrame, groups: int) -> DataFrame:
+def _first_pass(docs: DataFrame, groups: int, count: int) -> DataFrame:
     """(group, kind, blob) by group of documents: repeated spans (0) and fragments to compare (1)."""
-    count = buckets(docs.sparkSession)
 
     def deal(batches):
         for keys, data, offsets, at in _slices(batches):
@@ -159,7 +171,7 @@ def _first_pass(docs: DataFrame, groups: int) -> DataFrame:
                 if len(i):
                     out.append((b, None, _pack(
                         (key[i], 8), (start[i], 6), (size[i], 2), (place[i], 1),
-                        (string[i] & _LOW48, 6), (body[i] & _LOW48, 6),
+                        (string[i] & _LOW48, 6), (body[i, 0], 8), (body[i, 1], 8),
                     )))
             for g, _, blob in _spans(key[again], start[again], size[again], groups):
                 out.append((g % count, g, blob))
@@ -171,9 +183,10 @@ def _first_pass(docs: DataFrame, groups: int) -> DataFrame:
     def settle(table: pa.Table) -> pa.Table:
         group, blobs = table.column("group").to_pylist(), table.column("blob").to_pylist()
         out = [(g, 0, b) for g, b in zip(group, blobs) if g is not None]
-        key, start, size, place, string, body = _unpack(
-            [b for g, b in zip(group, blobs) if g is None], 8, 6, 2, 1, 6, 6
+        key, start, size, place, string, *body = _unpack(
+            [b for g, b in zip(group, blobs) if g is None], 8, 6, 2, 1, 6, 8, 8
         )
+        body = np.stack(body, axis=1)
         order, new_string, new_body = _repeats(string, body, key, start)
         again = order[~new_body]
         out += _spans(key[again], start[again], size[again], groups)
@@ -197,7 +210,7 @@ def _documents(table: pa.Table):
     """Keys in order, and where each text lies in the joined bytes."""
     table = table.sort_by("key").combine_chunks()
     offsets, data = raw(_one(table.column("text")))
-    return table, _one(table.column("key")).to_numpy().astype(np.uint64), offsets, data
+    return table, _unsigned(_one(table.column("key")).to_numpy()), offsets, data
 
 
 def _one(column: pa.ChunkedArray) -> pa.Array:
@@ -485,15 +498,22 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     return strip(keyed(docs), with_text)
 
 
-def strip(docs: DataFrame, with_text: bool = False, group_bytes: int = 8 << 20) -> DataFrame:
+def strip(
+    docs: DataFrame,
+    with_text: bool = False,
+    group_bytes: int = 8 << 20,
+    bucket_bytes: int = 8 << 20,
+) -> DataFrame:
     """``remove_repeats`` of documents that have their keys (key, doc_id, text).
 
     A document is held whole by one task at the end, and with others up to about ``group_bytes``.
+    Strings are dealt into as many buckets as there are ``bucket_bytes`` of text, 128 at least,
+    so that a bucket holds about as many fragments at any size.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(64, -(-size // group_bytes)) | 1
-    count = buckets(docs.sparkSession)
-    first = written(_first_pass(docs, groups), "repeat-candidates")
+    count = max(128, -(-size // bucket_bytes))
+    first = written(_first_pass(docs, groups, count), "repeat-candidates")
     dealt = docs.withColumn("group", F.pmod("key", F.lit(groups)).cast("int")).groupBy("group")
     texts = dealt.cogroup(first.where("kind = 1").groupBy("group")).applyInArrow(
         _with_text(count), "bucket int, blob binary, text binary"

@@ -62,7 +62,7 @@ def brute_removed(rows):
         kept = bytes(b for b, g in zip(data, gone) if not g)
         spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
         out.append((str(i), len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest(), kept))
-    return out
+    return sorted(out)
 
 
 @pytest.mark.parametrize("crowd", [4096, 1])
@@ -75,6 +75,18 @@ def test_repeats_are_removed(docs, no_docs, monkeypatch, crowd):
     assert suffixes.remove_repeats(no_docs).count() == 0
 
 
+def test_repeats_with_any_ids(spark):
+    """Negative ids, zero and the ends of the range, in their order as numbers."""
+    text = "".join(chr(97 + (k * k + k // 7) % 26) for k in range(260))
+    ids = [-5, -2, -1, 0, 3, 2**63 - 1, -(2**63), 127, 65 * 3]
+    rows = [(i, f"{'xyz'[k % 3] * k}{text[k : k + 180]}{k}") for k, i in enumerate(ids)]
+    for r in (rows, rows[1:3], [(-2, text), (-1, text)], [(-5, text), (3, text)]):
+        docs = spark.createDataFrame(r, "doc_id long, text string")
+        found = suffixes.remove_repeats(docs, with_text=True).collect()
+        got = sorted((str(x.doc_id), x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256, x.text.encode()) for x in found)
+        assert got == brute_removed(r)
+
+
 def test_suffixes_are_sorted():
     data = np.random.default_rng(1).integers(97, 99, 3000).astype(np.uint8)
     data[1000:1400] = data[200:600]
