@@ -2,9 +2,15 @@
 
 The probability of a word is that of its class after the class before it, times that of the word
 in its class. Words seen ``frequent`` times or more are clustered by exchange: a word moves to the
-class in which the likelihood of the class bigrams becomes largest; the most frequent words begin as a class each. Rarer ones share a class with
-those of the same count (by powers of two), and words never seen are a share of the class of words
-seen once. The end of a text is a class of its own, and stands before its first word.
+class in which the likelihood of the class bigrams becomes largest; the most frequent words begin
+as a class each. Rarer ones share a class with those of the same count (by powers of two), and words
+never seen are a share of the class of words seen once. The end of a text is a class of its own, and
+stands before its first word.
+
+A round is so many turns. A word's hash says in which turn it may move; the words of a turn are
+judged each by itself against the same table of class bigrams, which is counted anew for the next
+turn. So classes depend on the corpus alone, not on partitions, buckets or settings. A turn after
+which the likelihood is not higher is taken back.
 
 Texts are kept as places in a dictionary for each chunk of some megabytes, so that the tables of
 all words, which grow with the corpus, meet dictionaries and never single tokens. What the driver
@@ -23,13 +29,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowlens.session import fresh_path, written
-from llm.common import buckets, chunks, each, grow, joined, mix, packed, rows, shrink, words
+from flowlens.session import written
+from llm.common import chunks, each, grow, in_place, joined, mix, packed, rows, shrink, words
 
 CLASSES = 32
 #: A word is clustered from so many training tokens on.
 FREQUENT = 32
 ROUNDS = 2
+#: Turns of a round.
+TURNS = 4
+#: Entries of chunk dictionaries in a bucket of words.
+BUCKET = 1 << 18
 #: Classes by count of rarer words, the end, and what is before: see ``_rare``.
 _RARE = 6
 #: Share of the class of words seen once that is kept for words never seen.
@@ -230,10 +240,15 @@ def _first_classes(shape: Shape):
 
 _LEARNED = (
     "chunk long, doc_id array<long>, held_out binary, sizes binary, places binary, counts binary, "
-    "often binary, steps binary, end_at int"
+    "often binary, steps binary, turns binary, end_at int"
 )
 
 
+def _turn(names: np.ndarray) -> np.ndarray:
+    """The turn of each word, by its hash."""
+    return (mix(names ^ np.uint64(0xA5A5F00DCAFE5EED)) % np.uint64(TURNS)).astype(np.uint8)
+
+
 def _with_counts(count: int, shape: Shape):
     """Chunks with the counts of their words; of the frequent ones, by bucket and rank, also places
     and, as ``steps``, how many each bucket has and their ranks."""
@@ -252,11 +267,11 @@ def _with_counts(count: int, shape: Shape):
             steps = np.concatenate([grow(x["ranks"], 1)[0] for x in answers])
             out = [
                 row["chunk"], row["doc_id"], row["held_out"], row["sizes"], row["places"],
-                _wide(counts), shrink(often), shrink(many, steps),
+                _wide(counts), shrink(often), shrink(many, steps), shrink(_turn(names[often])),
                 int(np.flatnonzero(names == _END)[0]),
             ]
             kinds = (
-                pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 6, pa.int32(),
+                pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 7, pa.int32(),
             )
             yield pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in zip(out, kinds)],
@@ -348,16 +363,26 @@ def _bigrams(chunked: DataFrame, shape: Shape) -> np.ndarray:
             own = classes[places]
             before = _before(own, sizes, shape.end)[~out].astype(np.int32)
             total += np.bincount(before * c + own[~out], minlength=c * c)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell])], ["cell", "n"])
 
+    counted = chunked.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     total = np.zeros(c * c, np.int64)
-    for row in chunked.mapInArrow(run, "counts binary").toLocalIterator():  # one for each task
-        total += np.frombuffer(row.counts, np.int64)
+    for row in counted.collect():  # one for each cell
+        total[row.cell] = row.n
     return total.reshape(c, c)
 
 
-def _contexts(chunked: DataFrame, shape: Shape) -> DataFrame:
-    """Training counts of (frequent word, side, neighbour's class), dealt out by word.
+def likelihood(table: np.ndarray) -> float:
+    """What depends on the classes of the log likelihood of the class bigrams."""
+    table = table.astype(np.float64)
+    return float(
+        _entropy(table).sum() - _entropy(table.sum(axis=0)).sum() - _entropy(table.sum(axis=1)).sum()
+    )
+
+
+def _contexts(chunked: DataFrame, shape: Shape, turn: int) -> DataFrame:
+    """Training counts of (frequent word, side, neighbour's class) of a turn, dealt out by word.
 
     ``blob`` holds the ranks of the words, how many pairs each has, and the pairs with their counts.
     """
@@ -368,8 +393,9 @@ def _contexts(chunked: DataFrame, shape: Shape) -> DataFrame:
         for row in each(batches):
             _, classes, sizes, places, out = _chunk(row, shape)
             often = grow(row["often"], 1)[0]
+            moving = grow(row["turns"], 1)[0] == turn
             number = np.full(len(classes), -1, np.int32)
-            number[often] = np.arange(len(often))
+            number[often[moving]] = np.flatnonzero(moving)
             own = classes[places]
             after = np.full_like(own, shape.end)
             after[:-1] = own[1:]
@@ -403,53 +429,58 @@ def _entropy(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange(context: np.ndarray, own: np.ndarray, table: np.ndarray, shape: Shape) -> np.ndarray:
-    """New classes of words, moved one after another.
+def exchange(context: np.ndarray, own: np.ndarray, table: np.ndarray, classes: int) -> np.ndarray:
+    """The best class of each word, each judged as if it alone moved.
 
     ``context`` (words, 2, total) counts the classes before and after each word, ``table`` all
     class bigrams. A word is taken out of its class and put where the sum of n log n over class
-    bigrams, less that over classes twice, becomes largest. Bigrams of a word with itself count as
-    any other of its class.
+    bigrams, less that over classes twice, becomes largest; of equal ones into the first. Bigrams of
+    a word with itself count as any other of its class.
     """
-    table = table.astype(np.float64).copy()
-    k = shape.classes
+    table = table.astype(np.float64)
     out = own.copy()
-    for w in np.argsort(-context[:, 0].sum(axis=1), kind="stable"):
-        left, right = context[w, 0].astype(np.float64), context[w, 1].astype(np.float64)
-        a = out[w]
-        table[:, a] -= left
-        table[a, :] -= right
-        row, column = table.sum(axis=1), table.sum(axis=0)
-        gain = (_entropy(table[:, :k] + left[:, None]) - _entropy(table[:, :k])).sum(axis=0)
-        gain += (_entropy(table[:k] + right) - _entropy(table[:k])).sum(axis=1)
-        gain -= _entropy(row[:k] + right.sum()) - _entropy(row[:k])
-        gain -= _entropy(column[:k] + left.sum()) - _entropy(column[:k])
-        b = int(gain.argmax())
-        out[w] = b
-        table[:, b] += left
-        table[b, :] += right
+    columns, rows_ = table.sum(axis=0), table.sum(axis=1)
+    left_of, right_of = np.ascontiguousarray(table[:, :classes].T), np.ascontiguousarray(table[:classes])
+    plain_left, plain_right = _entropy(left_of), _entropy(right_of)
+    for w in range(len(own)):
+        left, right = context[w, 0], context[w, 1]
+        a, use_l, use_r = int(own[w]), np.flatnonzero(context[w, 0]), np.flatnonzero(context[w, 1])
+        l, r = left[use_l], right[use_r]
+        # Only cells with a count of the word change.
+        t = left_of[:, use_l]
+        gain = (_entropy(t + l) - plain_left[:, use_l]).sum(axis=1)
+        t = right_of[:, use_r]
+        gain += (_entropy(t + r) - plain_right[:, use_r]).sum(axis=1)
+        n_left, n_right = l.sum(), r.sum()
+        gain -= _entropy(columns[:classes] + n_left) - _entropy(columns[:classes])
+        gain -= _entropy(rows_[:classes] + n_right) - _entropy(rows_[:classes])
+        # Its own class is judged without it.
+        gain[a] = (plain_left[a, use_l] - _entropy(left_of[a, use_l] - l)).sum()
+        gain[a] += (plain_right[a, use_r] - _entropy(right_of[a, use_r] - r)).sum()
+        gain[a] -= _entropy(columns[a : a + 1])[0] - _entropy(columns[a : a + 1] - n_left)[0]
+        gain[a] -= _entropy(rows_[a : a + 1])[0] - _entropy(rows_[a : a + 1] - n_right)[0]
+        out[w] = int(gain.argmax())
     return out
 
 
 def _move(table: np.ndarray, shape: Shape):
-    """The frequent words of a bucket with new classes."""
+    """The frequent words of a bucket, those of the turn with new classes."""
 
     def run(known: pa.Table, seen: pa.Table) -> pa.Table:
         classes = joined(known.column("classes").to_pylist(), np.uint8).copy()
         wide = 2 * shape.total
-        blobs = seen.column("blob").to_pylist()
-        for first in range(0, len(classes), 1 << 13):  # dense counts of some words at a time
-            last = min(first + (1 << 13), len(classes))
-            context = np.zeros((last - first) * wide)
-            for blob in blobs:
-                steps, many, pair, times = grow(blob, 4)
-                at = np.repeat(_ranks(steps), many)
-                mine = (at >= first) & (at < last)
-                place = (at[mine] - first) * wide + pair[mine]
-                context[place] += times[mine]  # each word and pair once in a blob
+        blobs = [grow(blob, 4) for blob in seen.column("blob").to_pylist()]
+        at = [np.repeat(_ranks(steps), many) for steps, many, _, _ in blobs]
+        words_ = np.unique(np.concatenate([np.zeros(0, np.int64), *at]))
+        for first in range(0, len(words_), 1 << 13):  # dense counts of some words at a time
+            mine = words_[first : first + (1 << 13)]
+            context = np.zeros(len(mine) * wide)
+            for rank, (_, _, pair, times) in zip(at, blobs):
+                place = np.searchsorted(mine, rank)
+                hit = (place < len(mine)) & (mine[np.minimum(place, len(mine) - 1)] == rank)
+                context[place[hit] * wide + pair[hit]] += times[hit]  # each once in a blob
             context = context.reshape(-1, 2, shape.total)
-            own = classes[first:last].astype(np.int64)
-            classes[first:last] = exchange(context, own, table, shape)
+            classes[mine] = exchange(context, classes[mine].astype(np.int64), table, shape.classes)
         return pa.table(
             {
                 "bucket": known.column("bucket"),
@@ -498,16 +529,6 @@ def _scored(chunked: DataFrame, shape: Shape, table, n: int, v: int) -> DataFram
     )
 
 
-def _in_place(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table bucketed by chunk in the shared folder, so that joins leave it there."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    own = path.rsplit("/", 1)[1].replace("-", "_")
-    buckets_ = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets_, "chunk").option("path", path).saveAsTable(own)
-    return spark.table(own)
-
-
 def score_documents(
     docs: DataFrame, held_out, classes: int = CLASSES, frequent: int = FREQUENT, rounds: int = ROUNDS
 ) -> DataFrame:
@@ -518,10 +539,10 @@ def score_documents(
     counts alone. Uses doc_id and text; other columns are ignored. A null or empty text is the end
     alone. Repeated rows and null ids are rows like any other. An empty table gives no rows.
     """
-    count = buckets(docs.sparkSession)
     held = F.coalesce(held_out, F.lit(False)).alias("held_out")
-    chunked = _in_place(encoded(docs.select("doc_id", "text", held)), "encoded")
-    n = chunked.agg(F.sum("n")).first()[0] or 0
+    chunked = in_place(encoded(docs.select("doc_id", "text", held)), "encoded")
+    found = chunked.agg(F.sum("n"), F.sum(F.octet_length("names")) / 8).first()
+    n, count = found[0] or 0, max(128, int(found[1] or 0) // BUCKET)
     shape = Shape(classes, frequent)
     dictionaries = chunked.select("chunk", "names", "counts").mapInArrow(
         _dictionaries(count), "bucket int, chunk long, names binary, counts binary"
@@ -536,16 +557,18 @@ def score_documents(
         F.collect_list(F.struct("bucket", "counts", "ranks")).alias("answers")
     )
     learned = chunked.drop("counts", "n").join(answers, "chunk")
-    learned = _in_place(learned.mapInArrow(_with_counts(count, shape), _LEARNED), "learned")
+    learned = in_place(learned.mapInArrow(_with_counts(count, shape), _LEARNED), "learned")
     kind = "bucket int, classes binary"
     words_ = counted.where("chunk is null").select("bucket", "names", "often")
     shape = Shape(classes, frequent, _seeds(words_, classes - 1))
     classed = words_.mapInArrow(_first_classes(shape), kind)
-    both = learned
-    for k in range(rounds):
-        table = _bigrams(both, shape)
-        contexts = _contexts(both, shape).groupBy("bucket")
+    both, table = learned, _bigrams(learned, shape)
+    for k in range(rounds * TURNS):
+        contexts = _contexts(both, shape, k % TURNS).groupBy("bucket")
         moved = classed.groupBy("bucket").cogroup(contexts).applyInArrow(_move(table, shape), kind)
-        classed = written(moved, f"classes-{k}")
-        both = _with_classes(learned, classed)
-    return _scored(both, shape, _bigrams(both, shape), n, v)
+        moved = written(moved, f"classes-{k}")
+        after = _with_classes(learned, moved)
+        counted = _bigrams(after, shape)
+        if likelihood(counted) > likelihood(table):
+            classed, both, table = moved, after, counted
+    return _scored(both, shape, table, n, v)

@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 
 from check_oracles import compare, connect
 from llm import brown, near, packing, pieces, quality, suffixes, token_counts
+from llm.common import words
 from llm.components import components
 from llm.tokens import BYTE_BPE, pre_tokens
 
@@ -260,17 +261,115 @@ def test_exchange_finds_the_classes_of_words():
     rng = np.random.default_rng(1)
     kind, own = np.arange(20) % 2, rng.integers(0, 2, 20)
     text = rng.integers(0, 10, 4000) * 2 + np.arange(4000) % 2
-    for _ in range(4):
+    for turn in range(16):
         context = np.zeros((20, 2, shape.total))
         table = np.zeros((shape.total, shape.total))
         for a, b in zip(text, text[1:]):
             context[b, 0, own[a]] += 1
             context[a, 1, own[b]] += 1
             table[own[a], own[b]] += 1
-        own = brown.exchange(context, own, table, shape)
+        moving = np.arange(20) // 2 % 4 == turn % 4
+        own[moving] = brown.exchange(context[moving], own[moving], table, shape.classes)
     assert len({(k, c) for k, c in zip(kind.tolist(), own.tolist())}) == 2
 
 
+def plain_class_scores(rows, held, classes, frequent, rounds):
+    """Scores by counting tokens one after another; words and turns are told by the same hashes."""
+    texts_ = [[*WORD.findall(t.translate(LOWER)), None] for _, t in rows]
+    name = {w: int(words(pa.array([w]))[1][0]) for t in texts_ for w in t if w is not None}
+    train = [t for t, h in zip(texts_, held) if not h]
+    count = Counter(w for t in train for w in t)
+    often = [w for w in count if w is not None and count[w] >= frequent]
+    signed = lambda w: np.uint64(name[w]).astype(np.int64)
+    seeds = sorted(often, key=lambda w: (-count[w], signed(w)))[: classes - 1]
+    own = {w: seeds.index(w) if w in seeds else classes - 1 for w in often}
+    end = classes + 6
+
+    def of(w):
+        return end if w is None else own[w] if w in own else classes + min(max(count[w], 1).bit_length() - 1, 5)
+
+    def bigrams():
+        out = np.zeros((end + 1, end + 1))
+        for t in train:
+            for a, b in zip([None, *t], t):
+                out[of(a), of(b)] += 1
+        return out
+
+    turn_of = {w: int(brown._turn(np.array([name[w]], np.uint64))[0]) for w in often}
+    h = lambda x: x * math.log(x) if x > 0 else 0.0
+    table, moves = bigrams(), 0
+    for turn in [*range(brown.TURNS)] * rounds:
+        before = dict(own)
+        rows_, columns = table.sum(axis=1), table.sum(axis=0)
+        new = {}
+        for w in (w for w in often if turn_of[w] == turn):
+            left, right = Counter(), Counter()
+            for t in train:
+                for a, b, c in zip([None, *t], t, [*t[1:], None]):
+                    if b == w:
+                        left[of(a)] += 1
+                        right[of(c)] += 1
+            gains = []
+            for k in range(classes):
+                sign = -1 if k == own[w] else 1
+                gain = sum(h(table[i, k] + sign * n) - h(table[i, k]) for i, n in left.items())
+                gain += sum(h(table[k, j] + sign * n) - h(table[k, j]) for j, n in right.items())
+                for edge in (columns, rows_):
+                    gain -= h(edge[k] + sign * count[w]) - h(edge[k])
+                gains.append(sign * gain)
+            new[w] = int(np.argmax(np.round(gains, 9)))
+        own |= new
+        counted = bigrams()
+        if brown.likelihood(counted) > brown.likelihood(table):
+            table, moves = counted, moves + 1
+        else:
+            own = before
+    smooth = table + 0.5
+    total = table.sum(axis=0)
+    out = []
+    for t in texts_:
+        score = 0.0
+        for a, b in zip([None, *t], t):
+            score += math.log10(smooth[of(a), of(b)] / smooth[of(a)].sum())
+            if b in count:
+                score += math.log10(count[b] / total[of(b)])
+                score += math.log10(0.5) if of(b) == classes else 0.0
+            else:
+                score += math.log10(0.5)
+        out.append(round(score, 6))
+    return out, moves
+
+
+def test_class_scores_equal_plain_counts(spark):
+    r = np.random.default_rng(3)
+    kinds = [[f"{a}{k}" for k in range(9)] for a in "pqr"]
+    rows = []
+    for i in range(60):
+        text = " ".join(kinds[(k + i) % 3][min(int(r.exponential(3)), 8)] for k in range(int(r.integers(0, 60))))
+        rows.append((i, text + " rare" * (i % 9 == 0) + f" only{i}"))
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows]
+    want, moves = plain_class_scores(rows, held, 6, 5, 2)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    found = brown.score_documents(docs, out, classes=6, frequent=5, rounds=2).collect()
+    assert [round(x.score, 6) for x in sorted(found)] == want
+    assert 2 <= moves <= 8
+
+
+def test_class_scores_are_the_same_in_any_setting(spark, docs, monkeypatch):
+    """Partitions, buckets, chunks and the number of shuffle partitions leave no trace."""
+    seen = []
+    for partitions, bucket, shuffle in ((1, 1 << 18, "3"), (6, 20, "11")):
+        monkeypatch.setattr(brown, "BUCKET", bucket)
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+        try:
+            found = brown.score_documents(docs.repartition(partitions), F.lit(False), classes=5, frequent=3)
+            seen.append(sorted((str(x.doc_id), x.n_tokens, x.score) for x in found.collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert seen[0] == seen[1]
+
+
 def test_held_out_scores_beat_word_counts(spark):
     from llm.queries import op8_class_scores
 
