@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -64,6 +66,68 @@ def test_names_of_wrappers_do_not_mark_the_article():
     assert page(f"<div>{p}</div><div id=comments><article>{p * 3}</article></div>") == text
 
 
+def p(*sizes):
+    return "".join(f"<p>{LONG * n}</p>" for n in sizes)
+
+
+def text(*sizes):
+    return "\n".join((LONG * n).strip() for n in sizes)
+
+
+def test_what_is_around_the_article_does_not_hide_it():
+    form = "<html><body><form action=x><input name=v><nav>menu</nav>{}</form></body></html>"
+    assert html.main_text(form.format(f"<div>{p(5, 4)}</div>")) == text(5, 4)
+    assert html.main_text(form.format(f"<article><h1>T</h1>{p(5)}</article>")) == "T\n" + text(5)
+    inside = "<form><p>Write to us</p><input></form>"
+    assert html.main_text(f"<article>{p(5)}{inside}{p(4)}</article>") == text(5, 4)
+
+
+def test_marked_paragraphs_go():
+    marked = "<p class='advert'>Buy this.</p><p id='cookie-notice'>We use cookies on this page.</p>"
+    assert html.main_text(f"<article>{p(5)}{marked}{p(3)}</article>") == text(5, 3)
+    vague = "<p class='search-result-header'>About.</p>"
+    assert html.main_text(f"<article>{p(5)}{vague}</article>") == text(5) + "\nAbout."
+
+
+def test_vague_names_do_not_hide_what_reads_like_the_article():
+    body = f"<h1>T</h1>{p(4)}<div class='search'>{p(3)}</div><div class='menu'>{p(2)}</div>{p(2)}"
+    links = "<div class=menu><a href=x>One</a><a>Two</a></div><div class=search>Find</div>"
+    assert html.main_text(f"<article>{body}{links}</article>") == "T\n" + text(4, 3, 2, 2)
+    title = "<div class='header'><h1>Title</h1></div>"
+    assert html.main_text(f"<article>{title}{p(5)}</article>") == "Title\n" + text(5)
+
+
+def test_lists_of_comments_go():
+    for name in ("commentlist", "comment-area", "comments", "comment_form"):
+        page = f"<body><div>{p(2)}</div><ol class='{name}'><li>{LONG * 9}</li></ol></body>"
+        assert html.main_text(page) == text(2)
+
+
+def test_clusters_tell_text_from_menus_without_names():
+    """No semantic elements and no names: only the ratio of text to tags tells what is what."""
+    menu = "<ul>" + "".join(f"<li><a href=/{k}>Item {k}</a></li>" for k in range(9)) + "</ul>"
+    body = f"<div><h1>T</h1>{p(5, 1)}<p>Short.</p>{p(4, 6, 3)}</div>"
+    end = "<div><a>Imprint</a> <a>Contact</a></div>"
+    page = f"<body><div>{menu}</div>{body}{end}</body>"
+    want = "\n".join(["T", text(5, 1), "Short.", text(4, 6, 3)])
+    assert html.main_text(page) == want
+    loose = html.main_text(page, clusters=False)
+    assert "Item 3" in loose and "Imprint" in loose and loose != want
+
+
+def test_deep_and_broken_pages_take_linear_time():
+    n = 30_000
+    pages = [
+        "<div>x" * n, "<div>" * n + "</section>" * n, "<li><ul>" + "<div>" * n + "<li></li>" * n,
+        "<div class=ad>x" * n, "<b>" * n + "</i>" * n, "<div class='x menu'><article>x" * n, "<p>" * n,
+    ]
+    for page in pages:
+        begin = time.perf_counter()
+        html.main_text(page)
+        assert time.perf_counter() - begin < 20
+    assert html.main_text("<div>x" * 50) == "\n".join("x" * 50)
+
+
 def test_extract(spark):
     rows = [(1, "u", PAGE, "x"), (1, "u", PAGE, "x"), (None, None, None, None), (2, "v", "", "y"), (3, "w", "<p>" + "long " * 200_000, "z")]
     found = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
