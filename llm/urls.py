@@ -2,10 +2,11 @@
 
 A rule decides where it fits. The rest is judged by templates learned from the urls that rules
 decide: in each host, path segments become branches of a tree; segments with digits, and all
-children of a node that has many and mostly rare ones, become wildcards; sibling branches whose
-share of blocked urls does not differ significantly from their parent's are merged into the
-wildcard too. A template is rejected where the smoothed share of blocked urls among its labelled
-ones is high, and most of its urls are labelled. DataFrame functions only.
+children of a node that has many and mostly rare ones, become wildcards. A branch that two-sample
+tests do not tell from its siblings taken together, neither by the share of labelled urls nor by
+that of blocked ones among these, is merged into the wildcard too. A template is rejected where the
+smoothed share of blocked urls among its labelled ones is high, and most of its urls are labelled.
+DataFrame functions only.
 """
 
 from __future__ import annotations
@@ -57,6 +58,29 @@ def match(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+def _differ(hits: Column, n: Column, all_hits: Column, all_n: Column, z: float) -> Column:
+    """Whether a branch's share of hits differs from that of its siblings: a test of two samples
+    with their pooled share. Where one of the samples is empty, nothing tells them apart."""
+    rest_hits, rest = all_hits - hits, all_n - n
+    pooled = F.try_divide(all_hits, all_n)
+    spread = F.sqrt(pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), n) + F.try_divide(F.lit(1.0), rest)))
+    apart = F.abs(F.try_divide(hits, n) - F.try_divide(rest_hits, rest)) > z * spread
+    return F.coalesce(apart, F.lit(False))
+
+
+def _shared(low: Column, high: Column) -> Column:
+    """How many segments all paths of a node have in common: those of its least and its largest."""
+    differs = F.zip_with(low, high, lambda a, b: ~a.eqNullSafe(b))
+    first = F.array_position(differs, True)
+    return F.when(first == 0, F.size(low)).otherwise(first - 1).cast("int")
+
+
+def _joined(template: Column, segments: Column) -> Column:
+    return F.when(
+        F.size(segments) > 0, F.concat(template, F.lit("/"), F.array_join(segments, "/"))
+    ).otherwise(template)
+
+
 def templates(
     paths: DataFrame,
     many: int = 8,
@@ -65,41 +89,56 @@ def templates(
 ) -> DataFrame:
     """(host, path, template) from (host, path, n, n_labelled, n_bad), one row for each path.
 
-    The tree is as deep as the longest path, whose number of segments is asked first. A node's children all become wildcards if there are at
-    least ``many``, and ``rare`` times as many as urls. Every level is one aggregation over
-    branches and one over nodes; a host with very many urls costs one row for each path and task.
+    A node's children all become wildcards if there are at least ``many``, and ``rare`` times as
+    many as urls. What all paths of a node have in common is passed over in one step, and paths that
+    are used up take no further part. So rounds, of one aggregation over nodes and one over branches,
+    are as many as there are branchings one below the other, however long a path is. Runs the rounds
+    when called; each is written.
     """
+    sums = ["n", "n_labelled", "n_bad"]
     parts = F.filter(F.split("path", "/"), lambda x: x != "")
-    tree = paths.select("*", parts.alias("parts"), F.lit("").alias("template"))
-    depth = tree.agg(F.max(F.size("parts"))).first()[0] or 0
-    for level in range(depth):
-        segment = F.get("parts", F.lit(level))
-        tree = tree.withColumn(
-            "segment", F.when(segment.rlike("[0-9]"), "*").otherwise(segment)
+    parts = F.transform(parts, lambda x: F.when(x.rlike("[0-9]"), F.lit("*")).otherwise(x))
+    tree = paths.select(*paths.columns, parts.alias("rest"), F.lit("").alias("template"))
+    done, level, node = [], 0, ["host", "template"]
+    while True:
+        done.append(tree.where(F.size("rest") == 0).select(*paths.columns, "template"))
+        tree = tree.where(F.size("rest") > 0)
+        if tree.isEmpty():
+            break
+        ends = tree.groupBy(*node).agg(F.min("rest").alias("low"), F.max("rest").alias("high"))
+        ends = ends.select(*node, _shared(F.col("low"), F.col("high")).alias("shared"))
+        tree = tree.join(ends, node).select(
+            *paths.columns,
+            F.slice("rest", F.col("shared") + 1, F.size("rest")).alias("rest"),
+            _joined(F.col("template"), F.slice("rest", 1, F.col("shared"))).alias("template"),
+            F.get("rest", F.col("shared")).alias("segment"),
         )
-        sums = [F.sum(c).alias(c) for c in ("n", "n_labelled", "n_bad")]
-        branch = tree.where("segment is not null").groupBy("host", "template", "segment").agg(*sums)
-        branch = written(branch, f"url-branches-{level}")
-        node = branch.groupBy("host", "template").agg(
-            F.count("*").alias("children"), F.sum("n").alias("all"), F.sum("n_bad").alias("bad")
+        tree = written(tree, f"url-nodes-{level}")
+        branch = tree.where("segment is not null").groupBy(*node, "segment").agg(
+            *[F.sum(c).alias(c) for c in sums]
         )
-        share = F.col("bad") / F.col("all")
-        apart = F.abs(F.col("n_bad") / F.col("n") - share) > z * F.sqrt(
-            share * (1 - share) / F.col("n")
+        of_node = branch.groupBy(*node).agg(
+            F.count("*").alias("children"), *[F.sum(c).alias(f"all_{c}") for c in sums]
         )
-        variable = (F.col("children") >= many) & (F.col("children") >= rare * F.col("all"))
-        named = branch.join(node, ["host", "template"]).select(
-            "host", "template", "segment",
-            F.when(variable | (~apart & (F.col("children") > 1)), "*").otherwise(
-                F.col("segment")
-            ).alias("name"),
+        variable = (F.col("children") >= many) & (F.col("children") >= rare * F.col("all_n"))
+        c = F.col
+        apart = _differ(c("n_labelled"), c("n"), c("all_n_labelled"), c("all_n"), z) | _differ(
+            c("n_bad"), c("n_labelled"), c("all_n_bad"), c("all_n_labelled"), z
         )
-        tree = tree.join(named, ["host", "template", "segment"], "left").select(
-            *paths.columns, "parts",
+        wild = variable | (~apart & (F.col("children") > 1))
+        named = branch.join(of_node, node).select(
+            *node, "segment", F.when(wild, "*").otherwise(F.col("segment")).alias("name")
+        )
+        tree = tree.join(named, [*node, "segment"], "left").select(
+            *paths.columns, F.slice("rest", 2, F.size("rest")).alias("rest"),
             F.concat("template", F.coalesce(F.concat(F.lit("/"), "name"), F.lit(""))).alias("template"),
         )
         tree = written(tree, f"url-tree-{level}")
-    return tree.select(*paths.columns, "template")
+        level += 1
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def purity(tree: DataFrame, prior: float = 0.5, weight: float = 2.0) -> DataFrame:

@@ -138,7 +138,41 @@ def test_extract(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
-def brute_urls(rows):
+def differ(hits, n, all_hits, all_n):
+    rest_hits, rest = all_hits - hits, all_n - n
+    if not n or not rest:
+        return False
+    p = all_hits / all_n
+    return abs(hits / n - rest_hits / rest) > 1.96 * (p * (1 - p) * (1 / n + 1 / rest)) ** 0.5
+
+
+def grow_tree(paths, state):
+    """Templates level by level, without any step that is passed over."""
+    while any(parts for _, parts in state.values()):
+        branch, node, after = {}, {}, {}
+        for key, (template, parts) in state.items():
+            if parts:
+                b = branch.setdefault((key[0], template, parts[0]), [0, 0, 0])
+                for k in range(3):
+                    b[k] += paths[key][k]
+        for (host, template, _), b in branch.items():
+            n = node.setdefault((host, template), [0, 0, 0, 0])
+            n[3] += 1
+            for k in range(3):
+                n[k] += b[k]
+        for key, (template, parts) in state.items():
+            if parts:
+                b, n = branch[key[0], template, parts[0]], node[key[0], template]
+                apart = differ(b[1], b[0], n[1], n[0]) or differ(b[2], b[1], n[2], n[1])
+                wild = n[3] >= 8 and n[3] >= 0.5 * n[0] or not apart and n[3] > 1
+                after[key] = (template + "/" + ("*" if wild else parts[0]), parts[1:])
+            else:
+                after[key] = (template, parts)
+        state = after
+    return {key: template for key, (template, _) in state.items()}
+
+
+def brute_urls(rows, rules=urls.RULES):
     """The tree's verdicts in plain Python."""
     parsed = []
     for page, url in rows:
@@ -148,7 +182,7 @@ def brute_urls(rows):
         host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in rest[:cut])
         path = rest[cut:]
         path = path[: min([path.index(c) for c in "?#" if c in path], default=len(path))]
-        fits = [r for r in urls.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
         best = max(fits, key=lambda r: len(r.name), default=None)
         parsed.append((page, host, path, best))
     paths = {}
@@ -157,44 +191,56 @@ def brute_urls(rows):
         p[0] += 1
         p[1] += rule is not None
         p[2] += rule is not None and rule.verdict == "block"
-    state = {}
-    for key in paths:
-        parts = [x for x in key[1].split("/") if x]
-        state[key] = (parts if len(parts) <= 4 else [*parts[:4], "**"], "")
-    for level in range(5):
-        branch, node = {}, {}
-        for key, (parts, template) in state.items():
-            if level < len(parts):
-                seg = "*" if any(c.isdigit() for c in parts[level]) else parts[level]
-                b = branch.setdefault((key[0], template, seg), [0, 0, 0])
-                for k in range(3):
-                    b[k] += paths[key][k]
-        for (host, template, _), b in branch.items():
-            n = node.setdefault((host, template), [0, 0, 0])
-            n[0] += 1
-            n[1] += b[0]
-            n[2] += b[2]
-        for key, (parts, template) in state.items():
-            if level < len(parts):
-                seg = "*" if any(c.isdigit() for c in parts[level]) else parts[level]
-                b, (children, total, bad) = branch[key[0], template, seg], node[key[0], template]
-                share = bad / total
-                apart = abs(b[2] / b[0] - share) > 1.96 * (share * (1 - share) / b[0]) ** 0.5
-                wild = children >= 8 and children >= 0.5 * total or (not apart and children > 1)
-                state[key] = (parts, template + "/" + ("*" if wild else seg))
+    cut = lambda path: ["*" if any(c.isdigit() for c in x) else x for x in path.split("/") if x]
+    templates = grow_tree(paths, {key: ("", cut(key[1])) for key in paths})
     sums = {}
-    for key, (_, template) in state.items():
+    for key, template in templates.items():
         t = sums.setdefault((key[0], template), [0, 0, 0])
         for k in range(3):
             t[k] += paths[key][k]
     out = []
     for page, host, path, rule in parsed:
-        n, labelled, bad = sums[host, state[host, path][1]]
+        n, labelled, bad = sums[host, templates[host, path]]
         learned = "block" if (bad + 1) / (labelled + 2) >= 0.9 and labelled >= 0.5 * n else "allow"
         out.append((str(page), host, path, rule.name if rule else None, rule.verdict if rule else learned))
     return sorted(out, key=str)
 
 
+def judged(spark, rows, rules=urls.RULES):
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns(
+        {c: F.lit("?") for c in ("host", "path", "n", "template", "html", "rest", "segment", "shared")}
+    )
+    found = urls.judge(pages, rules).collect()
+    return sorted(((str(r.page_id), r.host, r.path, r.rule, r.verdict) for r in found), key=str)
+
+
+def test_templates_decide(spark):
+    """Most of a template's urls are blocked by rules: those that none fits are blocked too."""
+    rules = (urls.Rule("a.com", "/shop/item1", "block"), urls.Rule("a.com", "/good/", "allow"))
+    rows = [(k, f"http://a.com/shop/item{100 + k}/buy") for k in range(60)]
+    rows += [(100 + k, f"http://a.com/shop/item{20 + k}/buy") for k in range(5)]
+    rows += [(200 + k, f"http://a.com/good/{k}") for k in range(20)] + [(300, "http://a.com/other/7")]
+    rows += [(400 + k, f"http://a.com/shop/item{30 + k}/read") for k in range(9)]
+    got = judged(spark, rows, rules)
+    assert got == brute_urls(rows, rules)
+    verdicts = {page: (rule, verdict) for page, _, _, rule, verdict in got}
+    assert all(verdicts[str(100 + k)] == (None, "block") for k in range(5))
+    assert all(verdicts[str(400 + k)] == (None, "allow") for k in range(9))
+    assert verdicts["300"] == (None, "allow")
+
+
+def test_long_urls_take_few_rounds(spark, monkeypatch):
+    """Rounds follow branchings, not segments; paths that are used up are not carried on."""
+    rounds = []
+    kept = urls.written
+    monkeypatch.setattr(urls, "written", lambda df, name: rounds.append(name) or kept(df, name))
+    deep = "/".join(f"s{chr(97 + k % 26)}" for k in range(500))
+    rows = [(1, f"http://h.com/{deep}"), (2, f"http://h.com/{deep}/x"), (3, f"http://h.com/{deep[:600]}/y")]
+    rows += [(4, "http://h.com/"), (5, "http://k.com/a/b"), (6, "http://k.com/a/c")]
+    assert judged(spark, rows) == brute_urls(rows)
+    assert len([r for r in rounds if r.startswith("url-tree")]) <= 4
+
+
 def test_url_verdicts(spark):
     rows = [
         (1, None), (2, ""), (3, "no scheme"), (4, "http://A.Example.NET/en/x?y#z"), (5, "https://example.net/EN/x"),
@@ -204,13 +250,10 @@ def test_url_verdicts(spark):
     rows += [(100 + k, f"http://a.example.com/{'de' if k % 3 else 'en'}/{k}.html") for k in range(60)]
     rows += [(200 + k, f"http://q.example.com/{'de/' if k % 10 else 'dex/'}{k}") for k in range(50)]
     rows += [(300 + k, f"http://host.com/topic{chr(97 + k % 26)}{chr(97 + k // 26)}/x") for k in range(40)]
-    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns(
-        {c: F.lit("?") for c in ("host", "path", "n", "template", "html")}
-    )
-    found = urls.judge(pages).collect()
-    got = sorted(((str(r.page_id), r.host, r.path, r.rule, r.verdict) for r in found), key=str)
-    assert got == brute_urls(rows)
-    assert urls.judge(pages.limit(0)).count() == 0
+    assert judged(spark, rows) == brute_urls(rows)
+    assert judged(spark, [(1, None)]) == [("1", "", "", None, "allow")]
+    none = spark.createDataFrame([], "page_id long, url string")
+    assert urls.judge(none).count() == 0
 
 
 def test_templates_reject_what_is_mostly_blocked(spark):
