@@ -15,6 +15,8 @@ from llm.tokens import BYTE_BPE, pre_tokens
 
 SEQUENCE = 2048
 END = 0
+#: Rounds of open bins at most; the number of a sequence has room for 31.
+ROUNDS = 30
 #: Pre-tokens whose ids a worker keeps, by hash; beyond it the memory is emptied and filled anew.
 REMEMBERED = 600_000
 
@@ -140,11 +142,11 @@ def pack(items: DataFrame, size: int = SEQUENCE, per_group: int = 8192) -> DataF
     """``items`` (key, piece, length and more) with sequence_id and offset.
 
     Items are dealt out by hash into groups of about ``per_group`` and packed group by group,
-    longest first. Bins left open are dealt into a sixteenth as many groups and packed again as
-    single items, and so on until one group holds what is still open; each round has far fewer of
-    them. A sequence's number is made of round, group and bin.
+    longest first. Bins left open are dealt out anew, again about ``per_group`` to a group, and
+    packed as single items. That ends with the round of a single group, or with one that joins
+    fewer than one bin in fifty, where most bins cannot be joined at all: so no group holds more,
+    however many bins stay open. A sequence's number is made of round, group and bin.
     """
-    groups = max(1, -(-items.count() // per_group))
     names = items.columns
 
     def deal(level: int):
@@ -156,21 +158,30 @@ def pack(items: DataFrame, size: int = SEQUENCE, per_group: int = 8192) -> DataF
 
         return run
 
-    def dealt(rows: DataFrame, groups: int, level: int) -> DataFrame:
+    def dealt(rows: DataFrame, n: int, level: int) -> DataFrame:
         schema = rows.selectExpr("*", "0L as sequence_id", "0L as offset").schema
+        groups = max(1, -(-n // per_group))
         group = F.pmod(F.xxhash64("key", "piece", F.lit(level)), F.lit(groups)).cast("int")
         out = rows.withColumn("group", group).groupBy("group").applyInArrow(deal(level), schema)
         return written(out, f"packed-{level}")
 
-    placed = dealt(items, groups, 0)
-    level, last, moves = 0, placed, []
-    while groups > 1:
-        level, groups = level + 1, -(-groups // 16)
-        opened = last.groupBy(F.col("sequence_id").alias("key")).agg(
+    def opened(packed: DataFrame) -> DataFrame:
+        bins = packed.groupBy(F.col("sequence_id").alias("key")).agg(
             F.lit(0).alias("piece"), F.sum("length").alias("length")
         )
-        last = dealt(opened.where(F.col("length") < size), groups, level)
+        return written(bins.where(F.col("length") < size), "open-bins")
+
+    n = items.count()
+    placed = dealt(items, n, 0)
+    moves: list[DataFrame] = []
+    last = placed
+    while n > per_group and len(moves) < ROUNDS:
+        bins = opened(last)
+        n = bins.count()
+        last = dealt(bins, n, len(moves) + 1)
         moves.append(last)
+        if last.select("sequence_id").distinct().count() > 0.98 * n:
+            break
     for move in moves:
         move = move.select(
             F.col("key").alias("sequence_id"), F.col("sequence_id").alias("to"),

@@ -445,6 +445,26 @@ def test_packing(docs, no_docs, per_group):
     assert packing.pack_documents(no_docs).count() == 0
 
 
+def test_groups_stay_bounded_where_nothing_can_be_joined(spark, monkeypatch):
+    """Documents of more than half a sequence never share one; no group gets all open bins."""
+    found = []
+    kept = packing.written
+    monkeypatch.setattr(packing, "written", lambda df, name: found.append((name, kept(df, name))) or found[-1][1])
+    rows = [(k, 0, 1100 + k * 37 % 900) for k in range(6000)] + [(6000 + k, 0, 40 + k % 9) for k in range(300)]
+    items = spark.createDataFrame(rows, "key long, piece int, length int")
+    placed = packing.pack(items, 2048, per_group=256).collect()
+    largest = 0
+    rounds = [df for name, df in found if name.startswith("packed")]
+    for df in rounds:
+        sizes = df.groupBy(F.shiftright("sequence_id", 32)).count().agg(F.max("count")).first()[0]
+        largest = max(largest, sizes)
+    assert largest < 2 * 256 and 2 <= len(rounds) <= 6
+    sums = Counter()
+    for r in placed:
+        sums[r.sequence_id] += r.length
+    assert len(placed) == 6300 and max(sums.values()) <= 2048 and len(sums) == 6000
+
+
 def test_sum_of_squares_chooses_by_counts():
     lengths = np.random.default_rng(0).integers(1, 12, 200)
     got = packing.place(lengths, 12)
