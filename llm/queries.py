@@ -103,6 +103,33 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op4_near_duplicates": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id,
+         list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(words, i, i + 4), ' ') AS shingle
+  FROM docs, unnest(range(1, greatest(len(words) - 3, 2))) AS t(i) WHERE len(words) > 0
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared s JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+  WHERE 100 * s.n >= 75 * (a.n + b.n - s.n)
+), reached AS (
+  SELECT doc_id AS doc, doc_id AS root FROM documents
+  UNION
+  SELECT l.y, r.root FROM reached r JOIN links l ON l.x = r.doc
+), components AS (
+  SELECT doc, min(root) AS component_id FROM reached GROUP BY doc
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d JOIN components ON doc = d.doc_id LEFT JOIN sizes ON sizes.doc_id = d.doc_id""",
     "op9_quality_rules": r"""
 WITH docs AS (
   SELECT row_number() OVER () AS id, doc_id, coalesce(text, '') AS text FROM documents
