@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.session import written
-from llm.common import chunks, each, grow, in_place, joined, mix, packed, rows, shrink, words
+from llm.common import chunks, each, grow, in_place, joined, mix, packed, rows, shrink, word_parts, words
 
 CLASSES = 32
 #: A word is clustered from so many training tokens on.
@@ -99,12 +99,11 @@ def encoded(docs: DataFrame, chunk_bytes: int = 8 << 20) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for batch in chunks(batches, chunk_bytes):
             n = batch.num_rows
-            row, word, first = [], [], 0
-            for part in chunks([batch]):
-                r, w = words(part.column("text"))
-                row.append(r + first)
+            row, word = [], []
+            for number_of, part in word_parts(batch.column("text")):
+                r, w = words(part)
+                row.append(number_of[r])
                 word.append(w)
-                first += part.num_rows
             row = np.concatenate([*row, np.arange(n)])
             word = np.concatenate([*word, np.full(n, _END)])
             order = np.argsort(row, kind="stable")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -43,11 +44,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def buckets(spark: SparkSession) -> int:
-    """Groups for work packed by hash: twice ``spark.sql.shuffle.partitions``, 128 at least."""
-    return max(128, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-
 def keyed(docs: DataFrame, whole: bool = False) -> DataFrame:
     """``docs`` as (key long, doc_id, text): ``key`` is unique and orders rows by (doc_id, text).
 
@@ -109,6 +105,59 @@ def chunks(
             first = last
 
 
+_SAFE = re.compile(r"(?<=\S) (?=\S)")
+
+
+def slices(text: str, limit: int = CHUNK) -> Iterator[str]:
+    """A text in pieces of about ``limit`` characters, cut before a blank between two characters
+    that are not white space; tokens of byte-level files begin there, whatever stands before. A
+    stretch without such a place stays whole."""
+    first = 0
+    while len(text) - first > limit:
+        cut = _SAFE.search(text, first + limit)
+        if cut is None:
+            break
+        yield text[first : cut.start()]
+        first = cut.start()
+    yield text[first:] if first else text
+
+
+def pieces_of(texts: list[str], limit: int = CHUNK) -> Iterator[tuple[list[int], list[str]]]:
+    """Numbers and pieces of texts, about ``limit`` characters at a time."""
+    rows_, parts, size = [], [], 0
+    for k, text in enumerate(texts):
+        for part in slices(text, limit):
+            rows_.append(k)
+            parts.append(part)
+            size += len(part)
+            if size >= limit:
+                yield rows_, parts
+                rows_, parts, size = [], [], 0
+    if parts:
+        yield rows_, parts
+
+
+def word_parts(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[np.ndarray, pa.Array]]:
+    """Row numbers and texts, about ``limit`` bytes at a time; longer texts are cut at white space."""
+    offsets, data = raw(column)
+    first = 0
+    while first < len(offsets) - 1:
+        last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
+        last = min(max(last, first + 1), len(offsets) - 1)
+        if offsets[last] - offsets[first] <= limit:
+            yield np.arange(first, last), column.slice(first, last - first)
+        else:  # one long text
+            at, end = int(offsets[first]), int(offsets[last])
+            while at < end:
+                to = min(at + limit, end)
+                while to < end and not _BLANK[data[to]]:
+                    blank = np.flatnonzero(_BLANK[data[to : to + limit]])
+                    to = min(to + (int(blank[0]) if len(blank) else limit), end)
+                yield np.array([first]), pa.array([data[at:to].tobytes()], pa.binary()).cast(pa.string())
+                at = to
+        first = last
+
+
 class Powers:
     """Powers of an odd number and of its inverse modulo 2**64, made as far as needed."""
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.session import written
-from llm.common import chunks, keyed
+from llm.common import CHUNK, chunks, keyed, slices
 from llm.tokens import BYTE_BPE, pre_tokens
 
 SEQUENCE = 2048
@@ -52,6 +52,19 @@ def _ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, edges
 
 
+def _all_ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The same, with long texts taken piece by piece."""
+    if max(map(len, texts)) <= CHUNK:
+        return _ids(path, texts)
+    out, size = [], []
+    for text in texts:
+        parts = [_ids(path, [part])[0] for part in slices(text)]
+        # A closing id stands after the last piece only.
+        out += [part[:-1] for part in parts[:-1]] + parts[-1:]
+        size.append(sum(map(len, parts)) - len(parts) + 1)
+    return np.concatenate(out), np.concatenate([[0], np.cumsum(size)])
+
+
 def pieces(
     docs: DataFrame, size: int = SEQUENCE, path: str = BYTE_BPE, with_ids: bool = False
 ) -> DataFrame:
@@ -70,7 +83,7 @@ def pieces(
     def run(batches):
         for batch in chunks(batches):
             out: list[list] = [[] for _ in fields]
-            ids, edges = _ids(path, batch.column("text").to_pylist())
+            ids, edges = _all_ids(path, batch.column("text").to_pylist())
             keys, docs = batch.column("key").to_pylist(), batch.column("doc_id").to_pylist()
             for key, doc, first, last in zip(keys, docs, edges.tolist(), edges[1:].tolist()):
                 n = last - first

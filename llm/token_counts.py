@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.session import written
-from llm.common import buckets, chunks, each, grow, rows, shrink
+from llm.common import chunks, each, grow, pieces_of, raw, rows, shrink
 from llm.tokens import BYTE_BPE, pre_tokens
 
 _KIND = (
@@ -47,13 +47,15 @@ def _pieces(blob: bytes) -> list[str]:
     return [data[a:b].decode("utf-8", "surrogatepass") for a, b in zip([8 + 4 * n, *ends], ends)]
 
 
-def frequencies(docs: DataFrame, path: str = BYTE_BPE, chunk_bytes: int = 24 << 20) -> DataFrame:
-    """Two kinds of rows: a chunk's dictionary by bucket, and (bucket null) its documents.
+def frequencies(
+    docs: DataFrame, path: str = BYTE_BPE, chunk_bytes: int = 24 << 20, count: int = 128
+) -> DataFrame:
+    """Two kinds of rows: a chunk's dictionary by one of ``count`` buckets, and (bucket null) its
+    documents.
 
     The dictionary is sorted by bucket. ``docs`` holds for each document the number of its distinct
     pre-tokens, their places in the dictionary as differences, and their frequencies.
     """
-    count = buckets(docs.sparkSession)
 
     def run(batches):
         tokens = pre_tokens(path)
@@ -61,17 +63,18 @@ def frequencies(docs: DataFrame, path: str = BYTE_BPE, chunk_bytes: int = 24 <<
         for batch in chunks(batches, chunk_bytes):
             names = np.zeros(0, np.uint64)
             strings: list[str] = []
-            keys, own, first = [], [], 0
-            for part in chunks([batch]):
-                body, text, starts, ends, hashes = tokens.spans([t or "" for t in part.column("text").to_pylist()])
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            keys, own = [np.zeros(0, np.uint64)], [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            for rows_, parts in pieces_of(texts):
+                body, text, starts, ends, hashes = tokens.spans(parts)
+                text = np.array(rows_, np.int64)[text]
                 found, at, which = np.unique(hashes, return_index=True, return_inverse=True)
                 new = at[~np.isin(found, names)]
                 strings += [body[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())]
                 names = np.concatenate([names, hashes[new]])
                 pair, freq = np.unique((text << 32) + which, return_counts=True)
                 keys.append(found[pair & 0xFFFFFFFF])
-                own.append((first + (pair >> 32), freq))
-                first += part.num_rows
+                own.append((pair >> 32, freq))
             bucket = (names % np.uint64(count)).astype(np.int64)
             order = np.lexsort((names, bucket))
             by_name = np.argsort(names)
@@ -83,14 +86,19 @@ def frequencies(docs: DataFrame, path: str = BYTE_BPE, chunk_bytes: int = 24 <<
             where = place[by_name[np.searchsorted(names, keys, sorter=by_name)]]
             sort = np.lexsort((where, text))
             text, where, freq = text[sort], where[sort], freq[sort]
+            # A pre-token of several pieces of a text counts once, with all its occurrences.
+            new = np.ones(len(text), bool)
+            new[1:] = (text[1:] != text[:-1]) | (where[1:] != where[:-1])
+            at = np.flatnonzero(new)
+            freq = np.add.reduceat(freq, at) if len(at) else freq
+            text, where = text[at], where[at]
             fresh = np.concatenate([[True], text[1:] != text[:-1]])[: len(text)]
             steps = np.where(fresh, where, where - np.concatenate([[0], where[:-1]])[: len(text)])
             sizes = np.bincount(text, minlength=batch.num_rows)
-            texts = batch.column("text").to_pylist()
             out = [
                 (
                     number, None, None, batch.column("doc_id").to_pylist(),
-                    [len((t or "").encode()) for t in texts], shrink(sizes, steps, freq),
+                    np.diff(raw(batch.column("text"))[0]).tolist(), shrink(sizes, steps, freq),
                 )
             ]
             edges = np.searchsorted(bucket[order], np.arange(count + 1)).tolist()
@@ -112,7 +120,10 @@ def count_tokens(docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     repeated doc_id, or a repeated row, is counted as any other row. Special strings inside a text
     count as the library counts them by default. An empty table gives no rows.
     """
-    split = written(frequencies(docs, path), "pre-token-frequencies")
+    # The distinct pre-tokens of some 8 MB of text in a bucket, at any size.
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = max(128, -(-size // (8 << 20)))
+    split = written(frequencies(docs, path, count=count), "pre-token-frequencies")
 
     def answer(table: pa.Table) -> pa.Table:
         lists = [_pieces(x) for x in table.column("pieces").to_pylist()]

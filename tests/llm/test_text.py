@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 from check_oracles import compare, connect
 from llm import brown, near, packing, pieces, quality, suffixes, token_counts
-from llm.common import words
+from llm.common import slices, word_parts, words
 from llm.components import components
 from llm.tokens import BYTE_BPE, pre_tokens
 
@@ -51,6 +51,41 @@ def test_token_counts_are_the_librarys(docs, no_docs):
     assert token_counts.count_tokens(no_docs).count() == 0
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab 1!'s\n　é中<|>\x85"), max_size=60), st.integers(1, 7))
+def test_slices_have_the_tokens_of_the_whole(text, limit):
+    parts = list(slices(text, limit))
+    assert "".join(parts) == text
+    ids = lambda t: pre_tokens().tokenizer.encode(t, add_special_tokens=False).ids
+    assert [i for p in parts for i in ids(p)] == ids(text)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("ab \n\té中"), max_size=40), max_size=5), st.integers(1, 9))
+def test_word_parts_have_the_words_of_the_whole(strings, limit):
+    column = pa.array(strings, pa.string())
+    row, word = words(column)
+    found = [(number[r], w) for number, part in word_parts(column, limit) for r, w in [words(part)]]
+    assert np.concatenate([np.zeros(0, np.int64), *(r for r, _ in found)]).tolist() == row.tolist()
+    assert np.concatenate([np.zeros(0, np.uint64), *(w for _, w in found)]).tolist() == word.tolist()
+
+
+def test_very_long_texts(spark):
+    """Texts of some megabytes beside short ones: counts, ids and words are those of the whole."""
+    text = " ".join(f"Word{k % 700}'s <|endoftext|> {k}!" for k in range(160_000)) + "x" * 3000
+    rows = [(1, "a b"), (2, text), (3, text[:100]), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    tokenizer = Tokenizer.from_file(BYTE_BPE)
+    ids = {i: tokenizer.encode(t or "", add_special_tokens=False).ids for i, t in rows}
+    counted = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs).collect()}
+    assert counted == {i: (len((t or "").encode()), len(ids[i])) for i, t in rows}
+    found = packing.pieces(docs, with_ids=True).orderBy("doc_id", "piece").collect()
+    for i, _ in rows:
+        assert [x for r in found if r.doc_id == i for x in r.ids] == [*ids[i], 0]
+    scored = {r.doc_id: r.n_tokens for r in brown.score_documents(docs, F.lit(False), classes=4, rounds=1).collect()}
+    assert scored == {i: len(WORD.findall(t or "")) + 1 for i, t in rows}
+
+
 def brute_removed(rows):
     seen, out = set(), []
     for i, text in ordered(rows):
