@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from flowlens.functions.values import is_malicious
 from flowlens.operators.quantiles import exact_quantiles
+from flowlens.session import written
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -97,8 +98,10 @@ STATISTICS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, one row each.
 
-    The quartiles come from ranks over counted values, so no task holds a column's values.
+    The quartiles come from ranks over counted values, so no task holds a column's values. The
+    columns are written once for the passes that this takes.
     """
+    df = written(df.select(*columns), "described")
     moments = F.array(
         *[
             F.struct(F.lit(c).alias("column"), F.lit(s).alias("statistic"), value.alias("value"))
@@ -116,9 +119,10 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     name = F.coalesce(*[F.when(F.col("fraction") == f, s) for f, s in names.items()])
     rows = rows.unionByName(quartiles.select("column", name.alias("statistic"), "value"))
     # An empty table has no quartiles, but a row for each.
-    place = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(s).alias("statistic")) for i, s in enumerate(STATISTICS)]))
-    all_rows = df.sparkSession.range(1).select(place.alias("s")).select("s.*")
-    wide = all_rows.join(rows, "statistic", "left").groupBy("place", "statistic").agg(
+    place = F.array_position(F.array(*map(F.lit, STATISTICS)), F.col("statistic"))
+    nothing = F.array(*[F.struct(F.lit(None).cast("string").alias("column"), F.lit(s).alias("statistic"), F.lit(None).cast("double").alias("value")) for s in STATISTICS])
+    rows = rows.unionByName(df.sparkSession.range(1).select(F.inline(nothing)))
+    wide = rows.groupBy("statistic").agg(
         *[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns]
     )
-    return wide.orderBy("place").drop("place")
+    return wide.orderBy(place)
