@@ -280,14 +280,18 @@ def _with_counts(count: int, shape: Shape):
     return run
 
 
-def _ask():
-    """The frequent words of each chunk, dealt out."""
+def _ask(turn: int):
+    """The frequent words of each chunk that may move in a turn, dealt out."""
 
     def run(batches):
         for row in each(batches):
             many, steps = grow(row["steps"], 2)
+            moving = grow(row["turns"], 1)[0] == turn
             edges = np.append(0, np.cumsum(many.astype(np.int64))).tolist()
-            parts = [(b, shrink(steps[i:j])) for b, (i, j) in enumerate(zip(edges, edges[1:])) if j > i]
+            parts = []
+            for b, (i, j) in enumerate(zip(edges, edges[1:])):
+                if moving[i:j].any():
+                    parts.append((b, shrink(_steps(_ranks(steps[i:j])[moving[i:j]]))))
             if parts:
                 b, n = zip(*parts)
                 yield pa.RecordBatch.from_arrays(
@@ -307,33 +311,41 @@ def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
     return asked.drop(["steps"]).append_column("classes", pa.array(out, pa.binary()))
 
 
-def _with_classes(learned: DataFrame, classed: DataFrame) -> DataFrame:
-    """Chunks with the classes of their frequent words, by bucket. The chunks stay in place."""
-    asked = learned.select("chunk", "steps").mapInArrow(
-        _ask(), "bucket int, chunk long, steps binary"
+def _answers(learned: DataFrame, classed: DataFrame, turn: int) -> DataFrame:
+    """The classes of each chunk's frequent words of a turn, by bucket; it lies as the chunks do."""
+    asked = learned.select("chunk", "steps", "turns").mapInArrow(
+        _ask(turn), "bucket int, chunk long, steps binary"
     )
     known = classed.groupBy("bucket")
     answers = asked.groupBy("bucket").cogroup(known).applyInArrow(
         _answer, "bucket int, chunk long, classes binary"
     )
-    answers = answers.groupBy("chunk").agg(
-        F.collect_list(F.struct("bucket", "classes")).alias("answers")
+    answers = answers.where("chunk is not null").groupBy("chunk").agg(
+        F.collect_list(F.struct("bucket", "classes")).alias(f"answers_{turn}")
     )
-    return learned.join(written(answers, "chunk-classes"), "chunk", "left")
+    return in_place(answers, "chunk-classes")
+
+
+def _with_classes(learned: DataFrame, answers: dict[int, DataFrame]) -> DataFrame:
+    """Chunks with the classes of their frequent words, as far as these have had a turn."""
+    for turn in sorted(answers):
+        learned = learned.join(answers[turn], "chunk", "left")
+    return learned
 
 
 def _chunk(row: dict, shape: Shape):
     """A chunk's counts, classes, text sizes, places and held-out tokens."""
     counts = _narrow(row["counts"])
     often = grow(row["often"], 1)[0]
-    if row.get("answers"):
-        answers = sorted(row["answers"], key=lambda x: x["bucket"])
-        own = joined([x["classes"] for x in answers], np.uint8)
-    else:
-        many, steps = grow(row["steps"], 2)
-        ranks = [_ranks(x) for x in np.split(steps, np.cumsum(many.astype(np.int64))[:-1])]
-        bucket = np.repeat(np.arange(len(many)) << 32, many)
-        own = shape.start(bucket + np.concatenate(ranks))
+    many, steps = grow(row["steps"], 2)
+    ranks = [_ranks(x) for x in np.split(steps, np.cumsum(many.astype(np.int64))[:-1])]
+    bucket = np.repeat(np.arange(len(many)) << 32, many)
+    own = shape.start(bucket + np.concatenate(ranks))
+    turns = grow(row["turns"], 1)[0]
+    for turn in range(TURNS):
+        if row.get(f"answers_{turn}"):
+            parts = sorted(row[f"answers_{turn}"], key=lambda x: x["bucket"])
+            own[turns == turn] = joined([x["classes"] for x in parts], np.uint8)
     classes = shape.rare(counts)
     classes[often] = own
     classes[row["end_at"]] = shape.end
@@ -561,13 +573,15 @@ def score_documents(
     words_ = counted.where("chunk is null").select("bucket", "names", "often")
     shape = Shape(classes, frequent, _seeds(words_, classes - 1))
     classed = words_.mapInArrow(_first_classes(shape), kind)
-    both, table = learned, _bigrams(learned, shape)
+    both, table, answers = learned, _bigrams(learned, shape), {}
     for k in range(rounds * TURNS):
-        contexts = _contexts(both, shape, k % TURNS).groupBy("bucket")
+        turn = k % TURNS
+        contexts = _contexts(both, shape, turn).groupBy("bucket")
         moved = classed.groupBy("bucket").cogroup(contexts).applyInArrow(_move(table, shape), kind)
         moved = written(moved, f"classes-{k}")
-        after = _with_classes(learned, moved)
+        mine = answers | {turn: _answers(learned, moved, turn)}
+        after = _with_classes(learned, mine)
         counted = _bigrams(after, shape)
         if likelihood(counted) > likelihood(table):
-            classed, both, table = moved, after, counted
+            classed, both, table, answers = moved, after, counted, mine
     return _scored(both, shape, table, n, v)
