@@ -144,14 +144,14 @@ def test_crowded_strings_are_taken_apart():
     row, first, size, place, string, body = suffixes.fragments(data, offsets)
     results = []
     for crowd in (0, 1):
-        blob = suffixes._pack(*zip((row.astype(np.uint64), first - offsets[row], size, place, string & np.uint64(2**48 - 1), np.full(len(row), crowd)), suffixes._CANDIDATE))
+        blob = suffixes._pack(*zip((suffixes._unsigned(row), first - offsets[row], size, place, string & np.uint64(2**48 - 1), np.full(len(row), crowd)), suffixes._CANDIDATE))
         texts_ = suffixes._with_text(8)(table, pa.table({"blob": pa.array([blob], pa.binary())}))
         spans = []
         for b in range(8):
             part = texts_.filter(pa.compute.equal(texts_.column("bucket"), b))
             spans += suffixes._compare(7)(part).column("blob").to_pylist() if part.num_rows else []
         key, start, count = suffixes._unpack(spans, *suffixes._SPAN)
-        results.append({(k, s + j) for k, s, n in zip(key.tolist(), start.tolist(), count.tolist()) for j in range(n)})
+        results.append({(k - 2**63, s + j) for k, s, n in zip(key.tolist(), start.tolist(), count.tolist()) for j in range(n)})
     seen, want = set(), set()
     for k, text in enumerate(rows):
         for j in range(len(text) - 99):
@@ -169,10 +169,10 @@ def test_a_crowded_window_is_dealt_out_once_for_a_group():
     rows = [np.concatenate([letters(80), common, letters(80)]) for _ in range(30)]
     table = pa.table({"key": pa.array(range(30)), "doc_id": pa.array(range(30)), "text": pa.array([x.tobytes().decode() for x in rows])})
     row, first, size, place, string, _ = suffixes.fragments(np.concatenate(rows), np.arange(0, 30 * 310 + 1, 310))
-    blob = suffixes._pack(*zip((row.astype(np.uint64), first - 310 * row, size, place, string & np.uint64(2**48 - 1), np.ones(len(row), int)), suffixes._CANDIDATE))
+    blob = suffixes._pack(*zip((suffixes._unsigned(row), first - 310 * row, size, place, string & np.uint64(2**48 - 1), np.ones(len(row), int)), suffixes._CANDIDATE))
     dealt = suffixes._with_text(8)(table, pa.table({"blob": pa.array([blob], pa.binary())})).to_pylist()
     key, start, *_ = suffixes._unpack([r["blob"] for r in dealt if r["text"] is not None], *suffixes._FRAGMENT)
-    windows = [rows[int(k)][int(j) : int(j) + 100].tobytes() for k, j in zip(key, start)]
+    windows = [rows[int(k) - 2**63][int(j) : int(j) + 100].tobytes() for k, j in zip(key, start)]
     assert len(windows) == len(set(windows)) == len({x[j : j + 100].tobytes() for x in rows for j in range(211)})
 
 
