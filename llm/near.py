@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowlens.session import written
-from llm.common import chunks, keyed, mix, words
+from llm.common import CHUNK, chunks, keyed, mix, word_parts, words
 from llm.components import components
 
 SHINGLE = 5
@@ -39,9 +39,15 @@ _FRACTION = np.uint64(40)
 _FACTORS = np.random.default_rng(7).integers(1, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def shingles(column: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of each distinct shingle, by row and hash. Fewer words are one shingle."""
-    row, word = words(column)
+def shingles(
+    column: pa.Array, size: int = SHINGLE, limit: int = CHUNK
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of each distinct shingle, by row and hash. Fewer words are one shingle.
+
+    Words are hashed about ``limit`` bytes at a time, so a long text costs its words, not its bytes.
+    """
+    parts = [(at[row], word) for at, part in word_parts(column, limit) for row, word in [words(part)]]
+    row, word = map(np.concatenate, zip(*parts)) if parts else words(column)
     n = len(word)
     count = np.bincount(row, minlength=len(column))
     total = np.zeros(max(n - size + 1, 0), np.uint64)

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -22,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.common import PrefixHash, chunks, mix, raw
+from llm.common import CHUNK, PrefixHash, chunks, mix, raw
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 #: Weight of a piece: the exponential of its score times this.
@@ -190,13 +191,16 @@ class Lattice:
         return ids, count
 
 
-def sample(column: pa.Array, keys: np.ndarray, pieces: Pieces, seed: int = 0):
-    """Sampled ids of all texts, and where each text's begin."""
+def sample(column: pa.Array, keys: np.ndarray, pieces: Pieces, seed: int = 0, begin: int = 0):
+    """Sampled ids of all texts, and where each text's begin.
+
+    With ``begin`` they are later parts of texts, that many bytes from the space before the text.
+    """
     offsets, data = raw(column)
     n = len(offsets) - 1
     full = np.diff(offsets) > 0
     # A space before each text that is not empty.
-    shift = np.concatenate([[0], np.cumsum(full)])
+    shift = np.concatenate([[0], np.cumsum(full & (begin == 0))])
     text = np.full(len(data) + int(shift[-1]), 32, np.uint8)
     text[np.arange(len(data)) + np.repeat(shift[1:], np.diff(offsets))] = data
     offsets = offsets + shift
@@ -215,12 +219,53 @@ def sample(column: pa.Array, keys: np.ndarray, pieces: Pieces, seed: int = 0):
     lattice = Lattice(pieces, text[np.repeat(starts[at], lengths) + inner], lengths)
     row = np.searchsorted(offsets, starts, "right") - 1
     seeds = mix(keys.astype(np.uint64) ^ mix(np.array([seed + 1], np.uint64)))[row]
-    seeds = mix(seeds + (starts - offsets[row]).astype(np.uint64))
+    seeds = mix(seeds + (starts - offsets[row] + begin).astype(np.uint64))
     ids, count = lattice.sample(unit, seeds)
     per_row = np.bincount(row, count, n).astype(np.int64)
     return ids, np.concatenate([[0], np.cumsum(per_row)])
 
 
+def unit_parts(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[pa.Array, int]]:
+    """Texts and the ``begin`` that ``sample`` takes: all at once, or a single long text in parts of
+    about ``limit`` bytes, cut where a unit begins. A unit longer than that stays whole."""
+    _, data = raw(column)
+    if len(column) != 1 or len(data) <= limit:
+        yield column, 0
+        return
+    at = 0
+    while at < len(data):
+        to = at + limit
+        while to < len(data):
+            here = data[to : to + limit] == 32
+            here &= data[to - 1 : to - 1 + len(here)] != 32
+            if here.any():
+                to += int(here.argmax())
+                break
+            to += limit
+        part = data[at:to].tobytes()
+        yield pa.array([part], pa.binary()).cast(pa.string()), at + 1 if at else 0
+        at = to
+
+
+def sampled(
+    column: pa.Array, keys: np.ndarray, pieces: Pieces, seed: int = 0, limit: int = CHUNK
+) -> tuple[np.ndarray, np.ndarray, list[int], list[bool]]:
+    """Ids of all texts, where each text's begin, their checksums, and whether they give the text."""
+    n = len(column)
+    found, count, crc, same = [], np.zeros(n, np.int64), [0] * n, [True] * n
+    for part, begin in unit_parts(column, limit):
+        ids, edges = sample(part, keys, pieces, seed, begin)
+        offsets, data = raw(part)
+        spelled = list(map(pieces.bytes.__getitem__, ids.tolist()))
+        for k, (i, j) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+            crc[k] = zlib.crc32(ids[i:j].astype("<u4"), crc[k])
+            text = b"".join(spelled[i:j])
+            same[k] &= (text if begin else text[1:]) == data[offsets[k] : offsets[k + 1]].tobytes()
+        found.append(ids)
+        count += np.diff(edges)
+    return np.concatenate(found), np.concatenate([[0], np.cumsum(count)]), crc, same
+
+
 def decode(ids, pieces: Pieces) -> str:
     """The text of ids: their bytes, without the space before it."""
     return b"".join(map(pieces.bytes.__getitem__, ids))[1:].decode("utf-8", "replace")
@@ -233,8 +278,9 @@ def encode_documents(
 
     ``ids`` is a segmentation sampled by key doc_id (null: 0) and ``seed``; equal texts with equal
     keys get equal ids. ``round_trip`` tells whether they decode to the text. A null or empty text
-    has no pieces. Other columns are ignored; an empty table gives no rows. Larger ``alpha`` makes
-    the best segmentation likelier.
+    has no pieces. A long text is taken in parts that begin where units do, with the same result.
+    Other columns are ignored; an empty table gives no rows. Larger ``alpha`` makes the best
+    segmentation likelier.
     """
 
     def run(batches):
@@ -242,13 +288,8 @@ def encode_documents(
         for batch in chunks(batches):
             column = batch.column("text")
             keys = np.array([k or 0 for k in batch.column("doc_id").to_pylist()], np.int64)
-            ids, edges = sample(column, keys, pieces, seed)
-            offsets, data = raw(column)
-            spelled = list(map(pieces.bytes.__getitem__, ids.tolist()))
-            crc, same = [], []
-            for k, (i, j) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
-                crc.append(zlib.crc32(ids[i:j].astype("<u4")))
-                same.append(b"".join(spelled[i:j])[1:] == data[offsets[k] : offsets[k + 1]].tobytes())
+            ids, edges, crc, same = sampled(column, keys, pieces, seed)
+            offsets, _ = raw(column)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(np.diff(edges)),

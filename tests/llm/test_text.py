@@ -266,6 +266,32 @@ def test_pieces_are_sampled_by_weight():
     assert library.decode(ids[: edges[1]].tolist()) == "singing"
 
 
+@given(st.text(alphabet=st.sampled_from("ab \n\té中▁"), max_size=60), st.integers(1, 9), st.integers(-9, 9))
+@settings(deadline=None)
+def test_parts_have_the_pieces_of_the_whole(text, limit, key):
+    model, column, keys = pieces.load(), pa.array([text]), np.array([key])
+    ids, edges, crc, same = pieces.sampled(column, keys, model, limit=limit)
+    whole, whole_edges = pieces.sample(column, keys, model)
+    assert ids.tolist() == whole.tolist() and edges.tolist() == whole_edges.tolist()
+    assert crc == [zlib.crc32(whole.astype("<u4"))] and same == [True]
+    parts = [part[0].as_py() for part, _ in pieces.unit_parts(column, limit)]
+    assert "".join(parts) == text and all(part.startswith(" ") for part in parts[1:])
+
+
+def test_a_long_text_has_pieces():
+    text = " ".join(f"word{k % 977} stone{k % 31}" for k in range(400_000))
+    ids, edges, _, same = pieces.sampled(pa.array([text]), np.array([5]), pieces.load())
+    assert same == [True] and edges.tolist() == [0, len(ids)]
+    assert len(list(pieces.unit_parts(pa.array([text])))) > 2
+
+
+@given(st.lists(st.text(alphabet=st.sampled_from("ab \n\té"), max_size=60), max_size=5), st.integers(1, 9))
+def test_parts_have_the_shingles_of_the_whole(strings, limit):
+    column = pa.array(strings, pa.string())
+    for got, whole in zip(near.shingles(column, 3, limit), near.shingles(column, 3)):
+        assert got.tolist() == whole.tolist()
+
+
 def test_class_scores(docs, no_docs):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
     found = brown.score_documents(docs, held, classes=4, frequent=4).collect()
