@@ -55,17 +55,24 @@ def exact_quantiles(
     place = F.col("fraction") * (F.col("all") - 1)
     ranks = totals.select("*", wanted).withColumns({"low": F.floor(place), "high": F.ceil(place)})
     rank = F.explode(F.array_distinct(F.array("low", "high"))).alias("rank")
-    hits = ranks.select(
-        "key", "part", "fraction", rank, place.alias("place"), "low", "high",
-        (F.col("through") - F.col("rows")).alias("before"), "through",
-    ).where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through")))
-    # Ranges without a wanted rank are left out before anything is sorted.
-    held = ranged.join(hits.select("key", "part", "before").distinct(), ["key", "part"])
+    before = F.col("through") - F.col("rows")
+    hit = F.struct("fraction", place.alias("place"), "low", "high", "rank").alias("hit")
+    hits = (
+        ranks.select("*", rank, before.alias("before"))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through")))
+        .groupBy("key", "part")
+        .agg(F.first("before").alias("before"), F.collect_list(hit).alias("hits"))
+    )
+    # Ranges without a wanted rank are left out before anything is sorted; a range has two ranks
+    # for each fraction at most.
     inside = Window.partitionBy("key", "part").orderBy("value")
-    held = held.withColumn("last", F.col("before") + F.sum("n").over(inside) - 1).drop("before")
-    found = held.join(hits, ["key", "part"]).where(
-        (F.col("rank") <= F.col("last")) & (F.col("rank") > F.col("last") - F.col("n"))
+    held = ranged.join(hits, ["key", "part"]).withColumn(
+        "last", F.col("before") + F.sum("n").over(inside) - 1
+    )
+    own = F.filter(
+        "hits", lambda h: (h["rank"] <= F.col("last")) & (h["rank"] > F.col("last") - F.col("n"))
     )
+    found = held.select("key", "value", F.inline(own))
     ends = found.groupBy("key", "fraction").agg(
         F.min("value").alias("lower"), F.max("value").alias("upper"),
         F.first("place").alias("place"), F.first("low").alias("low"), F.first("high").alias("high"),
