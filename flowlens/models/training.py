@@ -23,7 +23,7 @@ from flowlens.models.features import (
     vocabularies,
 )
 from flowlens.models.split import flow_key, train_test_split
-from flowlens.operators.cleaning import labelled
+from flowlens.operators.cleaning import derived_once, labelled
 from flowlens.operators.evaluation import class_weights
 from flowlens.session import shared_dir, written
 
@@ -71,7 +71,7 @@ def train(
     """
     shared_dir(flows.sparkSession)  # long tree lineages are cut by checkpoints in it
     classifier = classifier or boosted_trees()
-    usable = labelled(flows).where(assemblable())
+    usable = labelled(derived_once(flows) if stage else flows).where(assemblable())
     if stage:
         usable = written(usable.repartition(flow_key(usable)), "training")
     train_rows, test_rows = train_test_split(usable)

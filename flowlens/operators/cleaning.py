@@ -48,6 +48,16 @@ def labelled(df: DataFrame) -> DataFrame:
     return df.where(F.col("label").isNotNull())
 
 
+def derived_once(df: DataFrame) -> DataFrame:
+    """The same rows; a later filter does not derive its columns a second time.
+
+    The optimizer moves a filter below projections, where it repeats all that its columns are made
+    of, in one generated method that is too long for the JVM to compile. It does not move one past
+    an inlined array of one. All columns are computed, so this is for rows that are written whole.
+    """
+    return df.select(F.inline(F.array(F.struct("*"))))
+
+
 def malicious(df: DataFrame, label: str = "label") -> DataFrame:
     return df.where(is_malicious(label))
 

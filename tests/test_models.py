@@ -208,3 +208,21 @@ def test_timed_scoring_counts_every_flow(boosted, parsed):
     counts, seconds = timed_scoring(parsed, boosted.bundle)
     assert sum(r["count"] for r in counts) == parsed.count()
     assert seconds > 0
+
+
+def test_staged_rows_are_derived_once(flows, monkeypatch):
+    """The filter of usable rows stays above what its columns are made of."""
+    staged = {}
+
+    def stop(df, name):
+        staged[name] = df
+        raise StopIteration
+
+    monkeypatch.setattr(T, "written", stop)
+    with pytest.raises(StopIteration):
+        T.train(flows, stage=True)
+    plan = staged["training"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("get_json_object(") == 1
+    usable = C.labelled(flows).where(M.assemblable())
+    assert staged["training"].schema.names == usable.schema.names
+    assert staged["training"].exceptAll(usable).isEmpty() and usable.exceptAll(staged["training"]).isEmpty()
