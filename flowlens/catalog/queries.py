@@ -27,6 +27,7 @@ from flowlens.operators import quantiles as Z
 from flowlens.operators import ranges as R
 from flowlens.operators import signatures as S
 from flowlens.operators import timeline as L
+from flowlens.operators.joins import lookup_join
 from flowlens.plans.explore import cached, explore
 from flowlens.plans.messages import consumed, message_flows
 from flowlens.plans.offline import count_predictions, score_flows
@@ -183,15 +184,22 @@ def forget_trained() -> None:
     _trained.clear()
 
 
-def checked(scored: DataFrame, bundle: ModelBundle, *also: str) -> DataFrame:
-    """What must hold for every scored flow, whatever the model has learned."""
+def checked(
+    scored: DataFrame, bundle: ModelBundle, *also: str, at_rest: bool = False
+) -> DataFrame:
+    """What must hold for every scored flow, whatever the model has learned.
+
+    Flows are scored once for both uses; ``at_rest``: they have been, and come from a table.
+    """
     total = F.aggregate("probability", F.lit(0.0), lambda a, x: a + x)
-    # Scored once for both uses.
     kept = ["uid", "label", "prediction", "probability", "predicted_label", *also]
-    scored = written(scored.select(*dict.fromkeys(kept)), "scored")
+    scored = scored.select(*dict.fromkeys(kept))
+    if not at_rest:
+        scored = written(scored, "scored")
     index = F.array_position(F.array(*map(F.lit, bundle.labels)), F.col("predicted_label")) - 1
-    classes = recalled(scored).select(F.col("label").alias("of_label"), "class_recalled")
-    return scored.join(classes, F.col("label") == F.col("of_label"), "left").select(
+    # A label may hold most rows, so flows are not shuffled by it.
+    classes = recalled(scored).select("label", "class_recalled")
+    return lookup_join(scored, classes, ["label"], spread=["uid"]).select(
         F.col("uid").cast("long").alias("uid"),
         F.col("predicted_label").isin(bundle.labels).alias("label_known"),
         (index == F.col("prediction")).alias("label_matches_index"),
@@ -928,7 +936,8 @@ def _scoring(spark: SparkSession, folder: str, files: int | None = None):
 @query
 def str1_stream_scoring(spark, folder):
     model, output, _ = _scoring(spark, folder)
-    return checked(read_scored(spark, output), model, "label", "detailed_label", "id_orig_h")
+    scored = read_scored(spark, output)
+    return checked(scored, model, "label", "detailed_label", "id_orig_h", at_rest=True)
 
 
 @query

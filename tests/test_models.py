@@ -226,3 +226,19 @@ def test_staged_rows_are_derived_once(flows, monkeypatch):
     usable = C.labelled(flows).where(M.assemblable())
     assert staged["training"].schema.names == usable.schema.names
     assert staged["training"].exceptAll(usable).isEmpty() and usable.exceptAll(staged["training"]).isEmpty()
+
+
+def test_checked_flows_are_not_shuffled_by_label(spark, boosted):
+    from flowlens.catalog.queries import checked
+
+    rows = [
+        ("1", "Benign", 0.0, [0.9, 0.1], "Benign"), ("2", "Malicious", 0.0, [0.9, 0.1], "Benign"),
+        ("3", None, 1.0, [0.2, 0.8], "Malicious"), ("3", "Benign", None, None, None),
+    ]
+    names = "uid string, label string, prediction double, probability array<double>, predicted_label string"
+    found = checked(spark.createDataFrame(rows, names), boosted.bundle, "label")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert sorted(((r.uid, r.label or "", r.class_recalled) for r in found.collect())) == [
+        (1, "Benign", True), (2, "Malicious", False), (3, "", True), (3, "Benign", True),
+    ]
